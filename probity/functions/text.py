@@ -45,24 +45,32 @@ def words(c: Column | str) -> Column:
     return F.filter(F.split(normalize_text(c), " "), lambda w: w != "")
 
 
+def chunks(c: Column | str, chunk_size: int = 10) -> Column:
+    """Consecutive ``chunk_size``-word chunks of the normalised text, each
+    re-joined with single spaces.  One greedy regex pass over the text, so
+    the cost is linear in its length."""
+    pattern = rf"[^ ]+(?: +[^ ]+){{0,{chunk_size - 1}}}"
+    found = F.regexp_extract_all(normalize_text(c), F.lit(pattern), 0)
+    return F.transform(found, lambda ch: F.regexp_replace(ch, " +", " "))
+
+
 def chunk_hashes(c: Column | str, chunk_size: int = 10, max_chunks: int | None = None) -> Column:
     """Array of 8-hex-digit md5 prefixes, one per ``chunk_size``-word chunk.
 
     ``max_chunks=None`` hashes the whole text; ``max_chunks=5`` reproduces the
     fuzzy hash's original first-50-words view.
     """
-    w = words(c)
-    n_chunks = F.ceil(F.size(w) / F.lit(chunk_size)).cast("int")
+    ch = chunks(c, chunk_size)
     if max_chunks is not None:
-        n_chunks = F.least(n_chunks, F.lit(max_chunks))
-    hashes = F.transform(
-        F.sequence(F.lit(0), n_chunks - 1),
-        lambda i: F.substring(F.md5(F.array_join(F.slice(w, i * chunk_size + 1, chunk_size), " ")), 1, 8))
-    return F.when(n_chunks > 0, hashes).otherwise(F.array().cast("array<string>"))
+        ch = F.slice(ch, 1, max_chunks)
+    return F.transform(ch, lambda x: F.substring(F.md5(x), 1, 8))
+
 
+def fuzzy_hash(c: Column | str, chunk_size: int = 10, max_chunks: int | None = None) -> Column:
+    """Chunk hashes joined by ``-`` (``''`` for an empty text).
 
-def fuzzy_hash(c: Column | str, chunk_size: int = 10, max_chunks: int | None = 5) -> Column:
-    """Chunk hashes joined by ``-`` (``''`` for an empty text)."""
+    Whole text by default; ``max_chunks=5`` gives the original first-5-chunk
+    form (kept for compatibility, not used by the registered queries)."""
     return F.array_join(chunk_hashes(c, chunk_size, max_chunks), "-")
 
 

@@ -46,6 +46,13 @@ def parse_iso(c: Column | str) -> Column:
     return F.to_timestamp(F.regexp_replace(col, "Z$", "+00:00"))
 
 
+def micros_between(a: Column | str, b: Column | str) -> Column:
+    """|a - b| in whole microseconds (exact, integer)."""
+    ca = F.col(a) if isinstance(a, str) else a
+    cb = F.col(b) if isinstance(b, str) else b
+    return F.abs(F.unix_micros(ca.cast("timestamp")) - F.unix_micros(cb.cast("timestamp")))
+
+
 def seconds_between(a: Column | str, b: Column | str) -> Column:
     """|a - b| in seconds (microsecond precision)."""
     ca = F.col(a) if isinstance(a, str) else a

@@ -60,13 +60,20 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str],
           .select(*right.columns,
                   F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_bl"), one) - 1)).alias("_gi"),
                   F.pmod(F.col("_rs"), F.coalesce(F.col("_br"), one)).cast("int").alias("_gj")))
-    on = [lg[k] == rg[k] for k in keys] + [lg["_gi"] == rg["_gi"], lg["_gj"] == rg["_gj"]]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
+    lg, rg = lg.alias("_L"), rg.alias("_R")
+
+    def L(c):
+        return F.col(f"_L.`{c}`")
+
+    def R(c):
+        return F.col(f"_R.`{c}`")
+
+    cond = L("_gi") == R("_gi")
+    for c in [*keys, "_gj"]:
+        cond = cond & (L(c) == R(c))
     if condition is not None:
         cond = cond & condition
     joined = lg.join(rg, cond, "inner")
-    return joined.select(*[lg[k] for k in keys],
-                         *[lg[c] for c in left.columns if c not in keys],
-                         *[rg[c] for c in right.columns if c not in keys])
+    return joined.select(*[L(k).alias(k) for k in keys],
+                         *[L(c) for c in left.columns if c not in keys],
+                         *[R(c) for c in right.columns if c not in keys])
