@@ -80,4 +80,5 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all():
     # Importing the query modules fills REGISTRY.
-    from probity.plans import q_collusion, q_dashboards, q_kpis, q_rollups, q_text  # noqa: F401
+    from probity.plans import (q_collusion, q_dashboards, q_kpis, q_quality,  # noqa: F401
+                               q_rollups, q_text)
