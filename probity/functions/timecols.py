@@ -41,9 +41,10 @@ def bucket_start(ts: Column | str, minutes: int) -> Column:
 
 
 def parse_iso(c: Column | str) -> Column:
-    """ISO-8601 text (``Z`` or an offset allowed) -> timestamp."""
+    """ISO-8601 text (``Z`` or an offset allowed) -> timestamp; null when
+    unparsable (never an error, so one bad message cannot stop a stream)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.to_timestamp(F.regexp_replace(col, "Z$", "+00:00"))
+    return F.try_to_timestamp(F.regexp_replace(col, "Z$", "+00:00"))
 
 
 def micros_between(a: Column | str, b: Column | str) -> Column:

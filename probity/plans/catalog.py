@@ -81,5 +81,4 @@ def oracle_sql() -> dict[str, str]:
 def _load_all():
     # Importing the query modules fills REGISTRY.
     from probity.plans import (q_archive, q_collusion, q_dashboards, q_kpis,  # noqa: F401
-                               q_quality,
-                               q_rollups, q_text)
+                               q_quality, q_rollups, q_stream, q_text)

@@ -47,8 +47,25 @@ def norm(v):
     return v
 
 
+def coarse(v):
+    """Sort key that is insensitive to last-digit float differences."""
+    if isinstance(v, float):
+        return round(v, 3)
+    if isinstance(v, tuple):
+        return tuple(coarse(x) for x in v)
+    return v
+
+
 def rows_key(rows):
-    return sorted((tuple(norm(x) for x in r) for r in rows), key=repr)
+    return sorted((tuple(norm(x) for x in r) for r in rows), key=lambda r: repr(coarse(r)))
+
+
+def close(a, b):
+    if isinstance(a, float) and isinstance(b, float):
+        return abs(a - b) <= 1.5e-6 + 1e-9 * max(abs(a), abs(b))
+    if isinstance(a, tuple) and isinstance(b, tuple):
+        return len(a) == len(b) and all(close(x, y) for x, y in zip(a, b))
+    return a == b
 
 
 def duck_connect(sf_dir):
@@ -80,10 +97,9 @@ def compare(spark, con, name, build, sql, sf_dir):
     if len(srows) != len(orows):
         return "ROWCOUNT", len(srows), len(orows), t1 - t0
     a, b = rows_key(srows), rows_key(orows)
-    if a != b:
-        for x, y in zip(a, b):
-            if x != y:
-                return f"VALUES e.g. {x} vs {y}", len(srows), len(orows), t1 - t0
+    for x, y in zip(a, b):
+        if not close(x, y):
+            return f"VALUES e.g. {x} vs {y}", len(srows), len(orows), t1 - t0
     return "OK", len(srows), len(orows), t1 - t0
 
 
