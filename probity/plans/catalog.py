@@ -80,5 +80,5 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all():
     # Importing the query modules fills REGISTRY.
-    from probity.plans import (q_archive, q_collusion, q_dashboards, q_kpis,  # noqa: F401
-                               q_quality, q_rollups, q_stream, q_text)
+    from probity.plans import (q_archive, q_basic, q_collusion, q_dashboards,  # noqa: F401
+                               q_kpis, q_quality, q_rollups, q_stream, q_text)
