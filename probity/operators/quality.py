@@ -71,9 +71,13 @@ EMAIL_RE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 class Rule:
     table: str
     name: str
-    violation: Column      # true where the row breaks the rule
+    make: object           # () -> Column, true where the row breaks the rule
     sql: str               # the same predicate in SQL
 
+    @property
+    def violation(self) -> Column:
+        return self.make()
+
 
 def _q(v):
     return "'" + str(v).replace("'", "''") + "'"
@@ -84,32 +88,30 @@ def row_rules() -> list[Rule]:
     rules: list[Rule] = []
     for t, cols in REQUIRED.items():
         for c in cols:
-            rules.append(Rule(t, f"required:{c}", F.col(c).isNull(), f"{c} IS NULL"))
+            rules.append(Rule(t, f"required:{c}", lambda c=c: F.col(c).isNull(), f"{c} IS NULL"))
     for (t, c), vals in ENUMS.items():
-        rules.append(Rule(t, f"enum:{c}", ~F.col(c).isin(vals),
+        rules.append(Rule(t, f"enum:{c}", lambda c=c, vals=vals: ~F.col(c).isin(vals),
                           f"{c} NOT IN ({', '.join(_q(v) for v in vals)})"))
     for (t, c), (lo, hi) in RANGES.items():
-        v = F.col(c) < lo
-        s = f"{c} < {lo}"
-        if hi is not None:
-            v = v | (F.col(c) > hi)
-            s = f"({s} OR {c} > {hi})"
-        rules.append(Rule(t, f"range:{c}", v, s))
+        s = f"{c} < {lo}" if hi is None else f"({c} < {lo} OR {c} > {hi})"
+        rules.append(Rule(t, f"range:{c}", lambda c=c, lo=lo, hi=hi: (
+            F.col(c) < lo if hi is None else (F.col(c) < lo) | (F.col(c) > hi)), s))
     cross = [
-        ("students", "email_format", ~F.col("email").rlike(EMAIL_RE),
+        ("students", "email_format", lambda: ~F.col("email").rlike(EMAIL_RE),
          f"NOT regexp_matches(email, '{EMAIL_RE}')"),
-        ("courses", "credits_positive", F.col("credits") <= 0, "credits <= 0"),
-        ("exams", "duration_positive", F.col("duration_minutes") <= 0, "duration_minutes <= 0"),
-        ("exams", "total_marks_positive", F.col("total_marks") <= 0, "total_marks <= 0"),
-        ("questions", "max_marks_positive", F.col("max_marks") <= 0, "max_marks <= 0"),
-        ("exam_attempts", "hash_length_64", F.length("answer_hash") != 64,
+        ("courses", "credits_positive", lambda: F.col("credits") <= 0, "credits <= 0"),
+        ("exams", "duration_positive", lambda: F.col("duration_minutes") <= 0,
+         "duration_minutes <= 0"),
+        ("exams", "total_marks_positive", lambda: F.col("total_marks") <= 0, "total_marks <= 0"),
+        ("questions", "max_marks_positive", lambda: F.col("max_marks") <= 0, "max_marks <= 0"),
+        ("exam_attempts", "hash_length_64", lambda: F.length("answer_hash") != 64,
          "length(answer_hash) <> 64"),
-        ("session_logs", "end_after_start", F.col("session_end") <= F.col("session_start"),
-         "session_end <= session_start"),
+        ("session_logs", "end_after_start",
+         lambda: F.col("session_end") <= F.col("session_start"), "session_end <= session_start"),
     ]
     for c in ["tab_switches", "focus_loss_count", "copy_count", "screenshot_attempts",
               "warnings_issued", "idle_time_seconds"]:
-        cross.append(("session_logs", f"non_negative:{c}", F.col(c) < 0, f"{c} < 0"))
+        cross.append(("session_logs", f"non_negative:{c}", lambda c=c: F.col(c) < 0, f"{c} < 0"))
     rules += [Rule(*r) for r in cross]
     return rules
 

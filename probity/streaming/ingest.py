@@ -105,11 +105,9 @@ def upsert(batch: DataFrame, target: str, key: str, ts: str | None = None) -> di
     semi-join on the partition columns lets dynamic partition pruning skip
     every other day.  Only the key column of the target is read.
     """
-    from pyspark.sql import Observation
-
     spark = batch.sparkSession
-    seen, kept = Observation("seen"), Observation("kept")
-    b = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
+    b = batch.persist()        # one micro-batch: bounded, recomputable from the source
+    rows = b.count()
     if ts is not None:
         b = b.withColumns({"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)})
     b = b.dropDuplicates([key])
@@ -119,12 +117,14 @@ def upsert(batch: DataFrame, target: str, key: str, ts: str | None = None) -> di
             days = b.select("year", "month", "day").distinct()
             existing = existing.join(days, ["year", "month", "day"], "left_semi")
         b = b.join(existing.select(key), key, "left_anti")
-    out = b.observe(kept, F.count(F.lit(1)).alias("inserted"))
-    w = out.write.mode("append")
+    new = b.persist()
+    inserted = new.count()
+    w = new.write.mode("append")
     if ts is not None:
         w = w.partitionBy("year", "month", "day")
     w.parquet(target)
-    rows, inserted = seen.get.get("rows", 0), kept.get.get("inserted", 0)
+    new.unpersist()
+    batch.unpersist()
     return {"rows": rows, "inserted": inserted, "duplicates": rows - inserted}
 
 
