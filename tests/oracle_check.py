@@ -57,7 +57,7 @@ def coarse(v):
 
 
 def rows_key(rows):
-    return sorted((tuple(norm(x) for x in r) for r in rows), key=lambda r: repr(coarse(r)))
+    return sorted((tuple(norm(x) for x in r) for r in rows), key=lambda r: (repr(coarse(r)), repr(r)))
 
 
 def close(a, b):
