@@ -36,33 +36,39 @@ def answer_members(attempts: DataFrame, group: list[str] = GROUP) -> DataFrame:
     return attempts.groupBy(*group, "student_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _member_pairs(attempts: DataFrame, cell_rows: int) -> DataFrame:
+    """(s_l < s_r) pairs of every answer group with the two multiplicities."""
+    m = answer_members(attempts)
+    left = m.select(*GROUP, F.col("student_id").alias("s_l"), F.col("n").alias("n_l"))
+    right = m.select(*GROUP, F.col("student_id").alias("s_r"), F.col("n").alias("n_r"))
+    return grid_join(left, right, GROUP, F.col("s_l"), F.col("s_r"),
+                     condition=F.col("s_l") < F.col("s_r"), cell_rows=cell_rows, self_join=True)
+
+
 def hash_match_pairs(attempts: DataFrame, cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
     """Student pairs (student_1 < student_2) with an equal answer hash on
     the same exam question; ``attempt_pairs`` counts the matching attempt
     pairs (one per row of the original row-level self-join)."""
-    m = answer_members(attempts)
-    left = m.select(*GROUP, F.col("student_id").alias("s_l"), F.col("n").alias("n_l"))
-    right = m.select(*GROUP, F.col("student_id").alias("s_r"), F.col("n").alias("n_r"))
-    j = grid_join(left, right, GROUP, F.col("s_l"), F.col("s_r"),
-                  condition=F.col("s_l") < F.col("s_r"), cell_rows=cell_rows)
+    j = _member_pairs(attempts, cell_rows)
     return (j.groupBy(F.col("s_l").alias("student_1"), F.col("s_r").alias("student_2"),
                       "exam_id", "question_id")
             .agg(F.sum(F.col("n_l") * F.col("n_r")).alias("attempt_pairs")))
 
 
 def kpi_answer_similarity(attempts: DataFrame, cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
-    """A5: matching attempt pairs per (student_1, student_2, exam); plus the
-    number of distinct matching questions (quirk Q5)."""
-    p = hash_match_pairs(attempts, cell_rows)
-    return (p.groupBy("student_1", "student_2", "exam_id")
-            .agg(F.sum("attempt_pairs").alias("matching_questions"),
-                 F.count(F.lit(1)).alias("matching_questions_distinct")))
+    """A5: matching attempt pairs per (student_1, student_2, exam) -- one
+    aggregate straight after the pair join (partial aggregation in the join's
+    stage).  The distinct-question count of quirk Q5 is in ``answer_jaccard``."""
+    j = _member_pairs(attempts, cell_rows)
+    return (j.groupBy(F.col("s_l").alias("student_1"), F.col("s_r").alias("student_2"), "exam_id")
+            .agg(F.sum(F.col("n_l") * F.col("n_r")).alias("matching_questions")))
 
 
 def answer_jaccard(attempts: DataFrame, cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
     """Q7: per pair and exam, distinct matched questions / union of the two
     students' answered questions (the documented Jaccard form)."""
-    sim = kpi_answer_similarity(attempts, cell_rows)
+    sim = (hash_match_pairs(attempts, cell_rows).groupBy("student_1", "student_2", "exam_id")
+           .agg(F.count(F.lit(1)).alias("matching_questions_distinct")))
     answered = (attempts.groupBy("student_id", "exam_id")
                 .agg(F.countDistinct("question_id").alias("answered")))
     a1 = answered.select(F.col("student_id").alias("student_1"), "exam_id",
@@ -113,17 +119,21 @@ def collusion_pairs(attempts: DataFrame, as_of, lookback: str = "2 hours", min_m
     absolute time gap (s), sorted set of questions; count >= 3; similarity
     = count / 50; C2 risk level; ``detected_at`` = as_of."""
     m = hash_match_windowed(attempts, as_of, lookback, once, cell_rows)
-    g = (m.groupBy("student_1_id", "student_2_id", "exam_id")
+    keys = ["student_1_id", "student_2_id", "exam_id"]
+    # one aggregate after the join; the question set per pair is bounded by
+    # the questions of one exam.  Integer microsecond sums are exact, so the
+    # average does not depend on partitioning or summation order.
+    g = (m.groupBy(*keys)
          .agg(F.count(F.lit(1)).alias("matching_questions_count"),
-              # average of exact integer microseconds, then scaled: the
-              # result does not depend on summation order
-              (F.avg("time_diff_us") / 1e6).alias("avg_time_difference_seconds"),
+              F.sum("time_diff_us").alias("us"),
               F.array_sort(F.collect_set("question_id")).alias("questions"))
          .filter(F.col("matching_questions_count") >= min_matches))
-    return g.select("student_1_id", "student_2_id", "exam_id", "matching_questions_count",
-                    "avg_time_difference_seconds", "questions",
-                    (F.col("matching_questions_count") / 50).alias("similarity_score"),
-                    risk_level_collusion("matching_questions_count").alias("risk_level"),
+    n = F.col("matching_questions_count")
+    return g.select(*keys, n.alias("matching_questions_count"),
+                    (F.col("us") / n / 1e6).alias("avg_time_difference_seconds"),
+                    "questions",
+                    (n / 50).alias("similarity_score"),
+                    risk_level_collusion(n).alias("risk_level"),
                     as_column(as_of).alias("detected_at"))
 
 
@@ -154,7 +164,7 @@ def pair_suspicion(answers: DataFrame, threshold: int = 5,
     left = m.select(*g, F.col("student_id").alias("s_l"), F.col("n").alias("n_l"))
     right = m.select(*g, F.col("student_id").alias("s_r"), F.col("n").alias("n_r"))
     j = grid_join(left, right, g, F.col("s_l"), F.col("s_r"),
-                  condition=F.col("s_l") < F.col("s_r"), cell_rows=cell_rows)
+                  condition=F.col("s_l") < F.col("s_r"), cell_rows=cell_rows, self_join=True)
     agg = (j.groupBy(F.col("s_l").alias("student_1"), F.col("s_r").alias("student_2"))
            .agg(F.sum(F.col("n_l") * F.col("n_r")).alias("matching_questions"),
                 F.array_sort(F.collect_set("question_id")).alias("questions")))

@@ -26,12 +26,17 @@ from pyspark.sql import functions as F
 DEFAULT_CELL_ROWS = 4096
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: list[str],
+def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str],
              cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
-    """Grid shape for keys with more than ``cell_rows`` rows on either side."""
+    """Grid shape for keys with more than ``cell_rows`` rows on either side
+    (``right=None``: a self-join, one count serves both sides)."""
     lk = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
-    rk = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
-    return (lk.join(rk, keys)
+    if right is None:
+        both = lk.withColumn("_nr", F.col("_nl"))
+    else:
+        rk = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
+        both = lk.join(rk, keys)
+    return (both
             .filter((F.col("_nl") > cell_rows) | (F.col("_nr") > cell_rows))
             .select(*keys,
                     F.ceil(F.col("_nl") / cell_rows).cast("int").alias("_bl"),
@@ -41,14 +46,23 @@ def hot_keys(left: DataFrame, right: DataFrame, keys: list[str],
 def grid_join(left: DataFrame, right: DataFrame, keys: list[str],
               left_salt: Column, right_salt: Column,
               condition: Column | None = None,
-              cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
+              cell_rows: int = DEFAULT_CELL_ROWS, self_join: bool = False,
+              partitions: int | None = None) -> DataFrame:
     """Inner equi-join of ``left`` and ``right`` on ``keys`` (+ ``condition``).
 
     ``left`` and ``right`` must not share non-key column names.
     ``left_salt``/``right_salt`` are stable per-row values (an id) used to
-    spread a hot key's rows over grid cells.
+    spread a hot key's rows over grid cells.  ``self_join=True`` says both
+    sides are projections of the same rows (key sizes are counted once).
+
+    Both sides are hash-partitioned on (keys, cell) into ``partitions``
+    (default: the session's shuffle partitions).  The join's output is far
+    larger than its input, so sizing its tasks by input bytes -- what AQE's
+    partition coalescing does -- would funnel all pairs into a few tasks; an
+    explicit partition count is left as is.
     """
-    hot = hot_keys(left, right, keys, cell_rows)
+    hot = hot_keys(left, None if self_join else right, keys, cell_rows)
+    n = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     one = F.lit(1)
     lg = (left.withColumn("_ls", F.xxhash64(left_salt))
           .join(hot, keys, "left")
@@ -60,7 +74,8 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str],
           .select(*right.columns,
                   F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_bl"), one) - 1)).alias("_gi"),
                   F.pmod(F.col("_rs"), F.coalesce(F.col("_br"), one)).cast("int").alias("_gj")))
-    lg, rg = lg.alias("_L"), rg.alias("_R")
+    part = [*keys, "_gi", "_gj"]
+    lg, rg = lg.repartition(n, *part).alias("_L"), rg.repartition(n, *part).alias("_R")
 
     def L(c):
         return F.col(f"_L.`{c}`")

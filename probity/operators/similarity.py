@@ -73,7 +73,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                & (F.col("n_b") >= F.col("n_a") * t - EPS)
                & (F.col("n_a") >= F.col("n_b") * t - EPS))
     cand = (grid_join(a, b, ["tok"], F.col("id_a"), F.col("id_b"), condition=size_ok,
-                      cell_rows=cell_rows)
+                      cell_rows=cell_rows, self_join=True)
             .select("id_a", "id_b").distinct())
     ra = reps.select(F.col("id").alias("id_a"), F.array_join("toks", "-").alias("h_a"))
     rb = reps.select(F.col("id").alias("id_b"), F.array_join("toks", "-").alias("h_b"))

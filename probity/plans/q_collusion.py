@@ -22,7 +22,7 @@ def q_j1(t):
 
 @register("kpi_answer_similarity", sql=f"""
 SELECT a1.student_id AS student_1, a2.student_id AS student_2, a1.exam_id,
-       count(*) AS matching_questions, count(DISTINCT a1.question_id) AS matching_questions_distinct
+       count(*) AS matching_questions
 {_MATCH_JOIN}
 GROUP BY 1, 2, 3""")
 def q_a5(t):
