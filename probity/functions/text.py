@@ -17,6 +17,10 @@ WHITESPACE_RUN = r"[\t\n\x0B\f\r\x1C-\x1F\x{85}\p{Z}]+"
 DROPPED_CHARS = r"[^\p{L}\p{N}_ \-+=/*()\[\]{}]"
 
 
+# A text has at least one word after normalisation iff it holds one of these.
+KEPT_CHAR = r"[\p{L}\p{N}_\-+=/*()\[\]{}]"
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -40,6 +44,11 @@ def answer_hash(c: Column | str, algorithm: str = "sha256") -> Column:
     raise ValueError(f"Unsupported algorithm: {algorithm}")
 
 
+def has_words(c: Column | str) -> Column:
+    """Cheap test on the raw text: does normalisation leave any word?"""
+    return _c(c).rlike(KEPT_CHAR)
+
+
 def words(c: Column | str) -> Column:
     """Whitespace-separated words of the normalised text (empty text -> [])."""
     return F.filter(F.split(normalize_text(c), " "), lambda w: w != "")

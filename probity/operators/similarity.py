@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from probity.functions.text import chunk_hashes, jaccard_fuzzy
+from probity.functions.text import chunk_hashes, has_words, jaccard_fuzzy
 from probity.operators.pairs import DEFAULT_CELL_ROWS, grid_join
 
 EPS = 1e-9
@@ -28,10 +28,14 @@ EPS = 1e-9
 
 def token_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                chunk_size: int = 10, max_chunks: int | None = None) -> DataFrame:
-    """(id, toks): sorted distinct chunk hashes of each non-empty text."""
+    """(id, toks): sorted distinct chunk hashes of each non-empty text.
+
+    Empty texts are dropped by a cheap test on the raw text: a filter on
+    ``size(toks)`` would be pushed below the projection and hash every text
+    twice."""
     toks = F.array_sort(F.array_distinct(chunk_hashes(text_col, chunk_size, max_chunks)))
-    return (docs.select(F.col(id_col).alias("id"), toks.alias("toks"))
-            .filter(F.size("toks") > 0))
+    return (docs.filter(has_words(text_col))
+            .select(F.col(id_col).alias("id"), toks.alias("toks")))
 
 
 def copy_classes(sets: DataFrame) -> DataFrame:

@@ -81,3 +81,10 @@ def test_reference_samples_similarity(spark):
     r = df.select(text.jaccard_fuzzy(text.fuzzy_hash("a"), text.fuzzy_hash("b")).alias("same"),
                   text.jaccard_fuzzy(text.fuzzy_hash("a"), text.fuzzy_hash("c")).alias("diff")).first()
     assert r.same == 1.0 and r.diff == 0.0
+
+
+def test_has_words_equals_nonempty_normalisation(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for r in df.select("i", text.has_words("t").alias("h"),
+                       (F.size(text.words("t")) > 0).alias("w")).collect():
+        assert r.h == r.w == bool(py_normalize(texts[r.i]).split())
