@@ -93,7 +93,12 @@ def kpi_suspicion(attempts: DataFrame, sessions: DataFrame, dedup_sessions: bool
     # The AI and variance KPIs share their key set, so J5's first join is the
     # fused aggregate itself; only the session side needs a join.
     joined = k.join(irr, PAIR, "left").fillna(0)
-    max_var = F.coalesce(F.nullif(scalar_max(joined, "response_variance"), F.lit(0.0)), F.lit(100.0))
+    # The left join only repeats pair rows, so the maximum over the joined,
+    # zero-filled frame is the maximum of coalesce(variance, 0) over the pair
+    # aggregate itself -- no need to evaluate the join twice.
+    max_var = F.coalesce(F.nullif(
+        k.select(F.coalesce("response_variance", F.lit(0.0)).alias("v")).select(F.max("v")).scalar(),
+        F.lit(0.0)), F.lit(100.0))
     score = (F.col("avg_ai_usage_score") * 0.4
              + (1 - F.col("response_variance") / max_var) * 0.3
              + F.col("irregularity_score") * 0.3)

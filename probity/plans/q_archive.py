@@ -226,3 +226,17 @@ SELECT key, 5.0::DOUBLE AS ttl_seconds, 'evict' AS state FROM snap""")
 def q_k7(t):
     later = t.as_of + F.make_dt_interval(secs=F.lit(55))
     return S.freshness(_snapshot(t), later)
+
+
+@register("kpi_snapshot_health", doubles=("health",), sql=_SNAP_SQL + """
+SELECT count(*) FILTER (WHERE key IN ('kpi:avg_response_time:all', 'kpi:accuracy_rate:all',
+                                      'kpi:high_risk_students')) AS fresh,
+       3 AS tracked,
+       count(*) FILTER (WHERE key IN ('kpi:avg_response_time:all', 'kpi:accuracy_rate:all',
+                                      'kpi:high_risk_students')) / 3 AS health
+FROM snap""")
+def q_k7_health(t):
+    later = t.as_of + F.make_dt_interval(secs=F.lit(20))      # 40 s left: fresh
+    return S.freshness_health(_snapshot(t), later, ["kpi:avg_response_time:all",
+                                                    "kpi:accuracy_rate:all",
+                                                    "kpi:high_risk_students"])

@@ -25,12 +25,18 @@ CORRUPT = "_corrupt_record"
 
 def read_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
                 topic: str | None = None, schema: T.StructType | None = None,
-                options: dict | None = None) -> DataFrame:
+                options: dict | None = None, max_per_trigger: int | None = None) -> DataFrame:
     """S3: subscribe to ``topic`` from the earliest offset (``kafka``), or
-    tail files under ``path`` (``json``/``text``/``parquet``)."""
+    tail files under ``path`` (``json``/``text``/``parquet``).
+
+    R3: ``max_per_trigger`` bounds a micro-batch (offsets for Kafka, files
+    for a file source) -- the buffered-insert size of the original consumer."""
     r = spark.readStream.format(fmt)
     if fmt == "kafka":
         r = r.option("subscribe", topic).option("startingOffsets", "earliest")
+    if max_per_trigger is not None:
+        r = r.option("maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger",
+                     max_per_trigger)
     if schema is not None:
         r = r.schema(schema)
     r = r.options(**(options or {}))

@@ -13,6 +13,8 @@ which keeps streaming state independent of the 2-hour horizon.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,50 +88,80 @@ def stream_high_risk(attempts: DataFrame, k: int = 20, threshold: float = 0.7) -
 
 
 def ingest_table(attempts: DataFrame, name: str = "ingest", on_batch=None) -> str:
-    """decode/dedup/upsert the stream into a table folder; optionally
-    run ``on_batch(spark, table_path, batch_id)`` after each upsert.  Returns
-    the table folder."""
+    """dedup/upsert the stream into a table folder partitioned by day;
+    optionally run ``on_batch(spark, table_path, batch_max_ts)`` after each
+    upsert.  Returns the table folder."""
     spark = attempts.sparkSession
     table = work_dir(spark, f"table-{name}")
 
     def fn(batch: DataFrame, batch_id: int):
         upsert(batch.drop("event_ts"), table, "attempt_id", ts="submission_timestamp")
         if on_batch is not None:
-            on_batch(batch.sparkSession, table, batch_id)
+            # one small aggregate over the micro-batch, not over the table
+            batch_max = batch.agg(F.max("submission_timestamp")).first()[0]
+            on_batch(batch.sparkSession, table, batch_max)
 
     run_available_now(dedup(attempts, "attempt_id"), fn, name)
     return table
 
 
-def _table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("year", "month", "day")
+def recent_partitions(spark: SparkSession, table: str, as_of: dt.datetime,
+                      lookback: dt.timedelta) -> DataFrame:
+    """Rows of the day-partitioned table newer than ``as_of - lookback``:
+    a literal predicate on the partition columns prunes every older day."""
+    start = as_of - lookback
+    t = spark.read.parquet(table)
+    t = t.filter(F.make_date("year", "month", "day") >= F.lit(start.date()))
+    return t.drop("year", "month", "day")
+
+
+def _refresh(out: str, lookback: str, compute):
+    """foreachBatch hook: advance ``as_of`` (running max event time) and
+    republish ``compute(recent_rows, all_rows, as_of)``."""
+    state = {"as_of": None}
+    delta = _parse_interval(lookback)
+
+    def refresh(sp: SparkSession, table: str, batch_max):
+        if batch_max is None:
+            return
+        as_of = batch_max if state["as_of"] is None else max(state["as_of"], batch_max)
+        state["as_of"] = as_of
+        recent_rows = recent_partitions(sp, table, as_of, delta)
+        all_rows = sp.read.parquet(table).drop("year", "month", "day")
+        compute(recent_rows, all_rows, as_of).write.mode("overwrite").parquet(out)
+
+    return refresh
+
+
+def _parse_interval(spec: str) -> dt.timedelta:
+    n, unit = spec.split()
+    unit = unit.rstrip("s")
+    names = {"minute": "minutes", "hour": "hours", "day": "days"}
+    return dt.timedelta(**{names[unit]: int(n)})
 
 
 def stream_rolling_kpis(attempts: DataFrame, lookback: str = "2 hours") -> DataFrame:
     """After every micro-batch, recompute the A9 rollup over the last
-    ``lookback`` of the ingested table and publish it (overwrite)."""
+    ``lookback`` of the ingested table (recent day partitions only) and
+    publish it (overwrite)."""
     spark = attempts.sparkSession
     out = work_dir(spark, "rolling-kpis")
-
-    def refresh(sp: SparkSession, table: str, batch_id: int):
-        t = _table(sp, table)
-        as_of = t.select(F.max("submission_timestamp")).scalar()
-        rollups.aggregated_kpis(t, as_of, lookback).write.mode("overwrite").parquet(out)
-
-    ingest_table(attempts, "rolling", refresh)
+    hook = _refresh(out, lookback,
+                    lambda recent_rows, _all, as_of: rollups.aggregated_kpis(recent_rows, as_of, lookback))
+    ingest_table(attempts, "rolling", hook)
     return spark.read.parquet(out)
 
 
 def stream_collusion(attempts: DataFrame, lookback: str = "2 hours") -> DataFrame:
-    """After every micro-batch, recompute collusion pairs for the recent
-    window against the whole ingested table (J2 + A20)."""
+    """After every micro-batch, recompute collusion pairs: recent rows
+    (pruned read) against all rows of the same answer groups (J2 + A20)."""
     spark = attempts.sparkSession
     out = work_dir(spark, "collusion")
 
-    def refresh(sp: SparkSession, table: str, batch_id: int):
-        t = _table(sp, table)
-        as_of = t.select(F.max("submission_timestamp")).scalar()
-        collusion.collusion_pairs(t, as_of, lookback).write.mode("overwrite").parquet(out)
+    def compute(recent_rows, all_rows, as_of):
+        groups = recent_rows.select(*collusion.GROUP).distinct()
+        candidates = all_rows.join(groups, collusion.GROUP, "left_semi")
+        return collusion.collusion_pairs(candidates, as_of, lookback)
 
-    ingest_table(attempts, "collusion", refresh)
+    ingest_table(attempts, "collusion", _refresh(out, lookback, compute))
     return spark.read.parquet(out)
