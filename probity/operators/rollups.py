@@ -33,26 +33,29 @@ def aggregated_kpis(attempts: DataFrame, as_of=None, lookback: str | None = "7 d
 
 
 def time_series_kpis(attempts: DataFrame, as_of=None, lookback: str | None = "7 days",
-                     minutes: int = 5) -> DataFrame:
-    """A10: (bucket, exam) averages and counts, newest bucket first."""
+                     minutes: int = 5, ordered: bool = False) -> DataFrame:
+    """A10: (bucket, exam) averages and counts.  ``ordered=True`` returns the
+    dashboard order (newest bucket first) at the price of a range shuffle; a
+    published table does not need it."""
     a = attempts if as_of is None or lookback is None else recent(
         attempts, "submission_timestamp", as_of, lookback)
-    return (a.groupBy(bucket_start("submission_timestamp", minutes).alias("timestamp"), "exam_id")
-            .agg(F.avg("ai_usage_score").alias("avg_ai_score"),
-                 F.avg("response_time").alias("avg_response_time"),
-                 F.count(F.lit(1)).alias("total_events"))
-            .orderBy(F.desc("timestamp"), "exam_id"))
+    out = (a.groupBy(bucket_start("submission_timestamp", minutes).alias("timestamp"), "exam_id")
+           .agg(F.avg("ai_usage_score").alias("avg_ai_score"),
+                F.avg("response_time").alias("avg_response_time"),
+                F.count(F.lit(1)).alias("total_events")))
+    return out.orderBy(F.desc("timestamp"), "exam_id") if ordered else out
 
 
 def ai_trend(attempts: DataFrame, as_of=None, lookback: str | None = "2 hours",
-             minutes: int = 10) -> DataFrame:
-    """10-minute buckets of average AI score (round 3) and count, oldest first."""
+             minutes: int = 10, ordered: bool = False) -> DataFrame:
+    """10-minute buckets of average AI score (round 3) and count;
+    ``ordered=True`` sorts oldest first for display."""
     a = attempts if as_of is None or lookback is None else recent(
         attempts, "submission_timestamp", as_of, lookback)
-    return (a.groupBy(bucket_start("submission_timestamp", minutes).alias("timestamp"))
-            .agg(F.round(F.avg("ai_usage_score"), 3).alias("avg_ai_score"),
-                 F.count(F.lit(1)).alias("count"))
-            .orderBy("timestamp"))
+    out = (a.groupBy(bucket_start("submission_timestamp", minutes).alias("timestamp"))
+           .agg(F.round(F.avg("ai_usage_score"), 3).alias("avg_ai_score"),
+                F.count(F.lit(1)).alias("count")))
+    return out.orderBy("timestamp") if ordered else out
 
 
 def avg_response_time_all(attempts: DataFrame, empty_as_zero: bool = False) -> DataFrame:

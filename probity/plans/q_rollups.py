@@ -8,7 +8,6 @@ from probity.operators import rollups
 from probity.plans.catalog import register
 
 RECENT_7D = "submission_timestamp >= (SELECT t FROM as_of) - INTERVAL 7 DAY"
-RECENT_2H = "submission_timestamp >= (SELECT t FROM as_of) - INTERVAL 2 HOUR"
 
 _A9 = f"""
 SELECT student_id, exam_id,

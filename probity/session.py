@@ -58,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="probity-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:

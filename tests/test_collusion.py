@@ -5,7 +5,6 @@ import itertools
 
 from pyspark.sql import functions as F
 
-from probity.functions import text
 from probity.operators import collusion, similarity
 from probity.operators.pairs import grid_join
 

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from probity.functions.bands import ai_usage_bucket
 from probity.operators import kpis, rollups

@@ -3,8 +3,6 @@ data against the watermark."""
 
 import datetime as dt
 import json
-import os
-import uuid
 
 from pyspark.sql import functions as F
 
