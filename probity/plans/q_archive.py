@@ -210,12 +210,13 @@ def _snapshot(t):
 
 
 @register("kpi_snapshot_write", sql=_SNAP_SQL + """
-SELECT key, value_json, (SELECT w FROM ts) AS written_at, (SELECT e FROM ts) AS expires_at FROM snap""")
+SELECT key, CAST(value_json AS VARCHAR) AS value_json, (SELECT w FROM ts) AS written_at,
+       (SELECT e FROM ts) AS expires_at FROM snap""")
 def q_k5(t):
     return _snapshot(t)
 
 
-@register("kpi_snapshot_read", sql=_SNAP_SQL + " SELECT key, value_json FROM snap")
+@register("kpi_snapshot_read", sql=_SNAP_SQL + " SELECT key, CAST(value_json AS VARCHAR) AS value_json FROM snap")
 def q_k6(t):
     later = t.as_of + F.make_dt_interval(secs=F.lit(30))
     return S.read_snapshot(_snapshot(t), later).select("key", "value_json")

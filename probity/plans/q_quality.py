@@ -24,7 +24,7 @@ def _report_sql() -> str:
                  "count(CASE WHEN a.marks_obtained > q.max_marks THEN 1 END) "
                  "FROM exam_attempts a LEFT JOIN questions q ON a.question_id = q.question_id")
     for table, key in Q.UNIQUE_KEYS:
-        parts.append(f"SELECT '{table}', 'unique:{key}', coalesce(sum(n), 0), "
+        parts.append(f"SELECT '{table}', 'unique:{key}', CAST(coalesce(sum(n), 0) AS BIGINT), "
                      f"count(CASE WHEN n > 1 THEN 1 END) "
                      f"FROM (SELECT {key}, count(*) AS n FROM {table} GROUP BY {key}) g")
     for child, col, parent, key in Q.FOREIGN_KEYS:

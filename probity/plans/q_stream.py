@@ -77,9 +77,10 @@ def q_r2(t):
 
 @register("publish_stream", sql="""
 SELECT attempt_id AS key,
-       to_json({'attempt_id': attempt_id, 'student_id': student_id, 'exam_id': exam_id,
+       CAST(to_json({'attempt_id': attempt_id, 'student_id': student_id, 'exam_id': exam_id,
                 'answer_hash': answer_hash,
-                'submission_timestamp': strftime(submission_timestamp, '%Y-%m-%dT%H:%M:%S.%f')}) AS value
+                'submission_timestamp': strftime(submission_timestamp, '%Y-%m-%dT%H:%M:%S.%f')})
+         AS VARCHAR) AS value
 FROM exam_attempts""")
 def q_k9(t):
     a = t.attempts.select("attempt_id", "student_id", "exam_id", "answer_hash", "submission_timestamp")
