@@ -48,14 +48,13 @@ def parse_iso(c: Column | str) -> Column:
 
 
 def micros_between(a: Column | str, b: Column | str) -> Column:
-    """|a - b| in whole microseconds (exact, integer)."""
+    """|a - b| in whole microseconds (exact, integer; no time-zone
+    conversion, so the session time zone and DST never matter)."""
     ca = F.col(a) if isinstance(a, str) else a
     cb = F.col(b) if isinstance(b, str) else b
-    return F.abs(F.unix_micros(ca.cast("timestamp")) - F.unix_micros(cb.cast("timestamp")))
+    return F.abs(F.timestamp_diff("MICROSECOND", cb, ca))
 
 
 def seconds_between(a: Column | str, b: Column | str) -> Column:
     """|a - b| in seconds (microsecond precision)."""
-    ca = F.col(a) if isinstance(a, str) else a
-    cb = F.col(b) if isinstance(b, str) else b
-    return F.abs(F.unix_micros(ca.cast("timestamp")) - F.unix_micros(cb.cast("timestamp"))) / 1e6
+    return micros_between(a, b) / 1e6

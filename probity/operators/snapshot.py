@@ -82,8 +82,7 @@ def read_snapshot(snapshot: DataFrame, as_of, keys: list[str] | None = None,
 def freshness(snapshot: DataFrame, as_of, evict_below: int = 10, fresh_above: int = 30) -> DataFrame:
     """K7: seconds to expiry per key and its state: ``evict`` (0 < ttl <
     10 s), ``fresh`` (ttl > 30 s), ``expired`` (ttl <= 0) or ``stale``."""
-    ttl = (F.unix_micros(F.col("expires_at").cast("timestamp"))
-           - F.unix_micros(as_column(as_of).cast("timestamp"))) / 1e6
+    ttl = F.timestamp_diff("MICROSECOND", as_column(as_of), F.col("expires_at")) / 1e6
     return snapshot.select("key", ttl.alias("ttl_seconds")).withColumn(
         "state", F.when(F.col("ttl_seconds") <= 0, "expired")
         .when(F.col("ttl_seconds") < evict_below, "evict")
