@@ -27,6 +27,7 @@ from probity.functions.bands import (risk_level_collusion, risk_level_suspicion,
                                      suspicion_from_count)
 from probity.functions.timecols import as_column, interval, micros_between
 from probity.operators.pairs import DEFAULT_CELL_ROWS, grid_join
+from probity.session import materialize
 
 GROUP = ["exam_id", "question_id", "answer_hash"]
 
@@ -37,8 +38,11 @@ def answer_members(attempts: DataFrame, group: list[str] = GROUP) -> DataFrame:
 
 
 def _member_pairs(attempts: DataFrame, cell_rows: int) -> DataFrame:
-    """(s_l < s_r) pairs of every answer group with the two multiplicities."""
-    m = answer_members(attempts)
+    """(s_l < s_r) pairs of every answer group with the two multiplicities.
+
+    The member table feeds three branches (both join sides and the key
+    sizes), so it is materialized once instead of being shuffled thrice."""
+    m = materialize(answer_members(attempts), "members")
     left = m.select(*GROUP, F.col("student_id").alias("s_l"), F.col("n").alias("n_l"))
     right = m.select(*GROUP, F.col("student_id").alias("s_r"), F.col("n").alias("n_r"))
     return grid_join(left, right, GROUP, F.col("s_l"), F.col("s_r"),
@@ -160,7 +164,7 @@ def pair_suspicion(answers: DataFrame, threshold: int = 5,
     """Student pairs sharing (question, hash) groups -> match count,
     sorted distinct questions, min(n / threshold, 1), C3 risk level."""
     g = ["question_id", "answer_hash"]
-    m = answer_members(answers, g)
+    m = materialize(answer_members(answers, g), "members")
     left = m.select(*g, F.col("student_id").alias("s_l"), F.col("n").alias("n_l"))
     right = m.select(*g, F.col("student_id").alias("s_r"), F.col("n").alias("n_r"))
     j = grid_join(left, right, g, F.col("s_l"), F.col("s_r"),

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from probity.functions.text import chunk_hashes, has_words, jaccard_fuzzy
 from probity.operators.pairs import DEFAULT_CELL_ROWS, grid_join
+from probity.session import materialize
 
 EPS = 1e-9
 
@@ -61,7 +62,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
     """(doc_a, doc_b, jaccard) for distinct token sets with Jaccard >= t, a < b."""
     t = float(min_jaccard)
-    reps = representatives(token_sets(docs, id_col, text_col, chunk_size, max_chunks))
+    # hashing the corpus is the expensive step and three branches reuse it
+    reps = materialize(representatives(token_sets(docs, id_col, text_col, chunk_size, max_chunks)),
+                       "token-sets")
     reps = reps.withColumn("n", F.size("toks"))
     tok = reps.select("id", "n", F.explode("toks").alias("tok"))
     freq = tok.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))

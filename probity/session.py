@@ -85,3 +85,14 @@ def is_local_fs(path: str) -> bool:
 
 __all__ = ["get_session", "checkpoint_dir", "work_dir", "DEFAULT_CONF",
            "local_path", "is_local_fs"]
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared work folder and read it
+    back.  Used for intermediates that several branches of one plan reuse
+    (Spark cannot share an exchange between branches whose pruned columns
+    differ); it also cuts the lineage, so a lost executor re-reads the files
+    instead of recomputing the upstream shuffle."""
+    path = work_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
