@@ -103,9 +103,13 @@ def hash_match_windowed(attempts: DataFrame, as_of, lookback: str = "2 hours",
     left = (a.filter(_recent_flag(F.col("submission_timestamp"), as_of, lookback))
             .select(*GROUP, F.col("student_id").alias("s_l"),
                     F.col("submission_timestamp").alias("t_l"), F.col("attempt_id").alias("id_l")))
-    right = a.select(*GROUP, F.col("student_id").alias("s_r"),
+    # only answer groups touched by a recent attempt can match: with the
+    # usual 2-hour window this keeps the right side to recently active groups
+    active = left.select(*GROUP).distinct()
+    right = (a.join(active, GROUP, "left_semi")
+             .select(*GROUP, F.col("student_id").alias("s_r"),
                      F.col("submission_timestamp").alias("t_r"), F.col("attempt_id").alias("id_r"),
-                     _recent_flag(F.col("submission_timestamp"), as_of, lookback).alias("r_recent"))
+                     _recent_flag(F.col("submission_timestamp"), as_of, lookback).alias("r_recent")))
     cond = F.col("s_l") != F.col("s_r")
     if once:
         cond = cond & (~F.col("r_recent") | (F.col("s_l") < F.col("s_r")))
