@@ -1,6 +1,7 @@
 """Registered queries: answer-hash collusion and text similarity
 (J1, J7, A5, Q7, A19, A20, A21, T6, T7)."""
 
+from probity.functions.bands import similarity_band
 from probity.functions.text import answer_hash
 from probity.operators import collusion, similarity
 from probity.plans.catalog import register
@@ -161,6 +162,26 @@ def q_t7(t):
     return similarity.near_duplicates(t.raw("documents"), "doc_id", "text", 0.8)
 
 
+@register("near_duplicate_bands", doubles=("jaccard",), sql=f"""
+, ch AS ({tokens_sql("doc_id", "text", "documents")}
+), reps AS (
+  SELECT min(id) AS id, any_value(toks) AS toks FROM ch GROUP BY array_to_string(toks, ',')
+), tk AS (
+  SELECT id, len(toks) AS n, unnest(toks) AS tok FROM reps
+), inter AS (
+  SELECT a.id AS doc_a, b.id AS doc_b, count(*) AS i, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM tk a JOIN tk b ON a.tok = b.tok AND a.id < b.id GROUP BY 1, 2
+)
+SELECT doc_a, doc_b, i / (na + nb - i) AS jaccard,
+       CASE WHEN i / (na + nb - i) > 0.80 THEN 'strong' WHEN i / (na + nb - i) >= 0.60 THEN 'possible'
+            ELSE 'coincidental' END AS similarity_band
+FROM inter WHERE i / (na + nb - i) >= 0.6""")
+def q_t7_bands(t):
+    """T7 at the C8 'possible' threshold (0.6), with the C8 band."""
+    nd = similarity.near_duplicates(t.raw("documents"), "doc_id", "text", 0.6)
+    return nd.withColumn("similarity_band", similarity_band("jaccard"))
+
+
 @register("copy_classes", sql=f"""
 , ch AS ({tokens_sql("doc_id", "text", "documents")}
 ), c AS (
