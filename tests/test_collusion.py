@@ -76,3 +76,22 @@ def test_near_duplicates_match_brute_force(spark):
         assert got == want, t
     classes = {r.id: r.representative for r in similarity.copy_classes(similarity.token_sets(df)).collect()}
     assert classes[3] == 1 and classes[1] == 1
+
+
+def test_windowed_pairs_count_both_sides_when_both_recent(spark):
+    import datetime as dt
+    as_of = dt.datetime(2024, 1, 10, 12)
+    recent, old = as_of - dt.timedelta(minutes=5), as_of - dt.timedelta(days=3)
+    rows = []
+    for q in ("Q1", "Q2", "Q3"):
+        rows += [(f"a{q}", "S1", "E", q, "h", recent), (f"b{q}", "S2", "E", q, "h", recent),
+                 (f"c{q}", "S3", "E", q, "h", old)]
+    df = spark.createDataFrame(rows, "attempt_id string, student_id string, exam_id string, "
+                                     "question_id string, answer_hash string, submission_timestamp timestamp_ntz")
+    two = {(r.student_1_id, r.student_2_id): r.matching_questions_count
+           for r in collusion.collusion_pairs(df, as_of, "2 hours").collect()}
+    one = {(r.student_1_id, r.student_2_id): r.matching_questions_count
+           for r in collusion.collusion_pairs(df, as_of, "2 hours", once=True).collect()}
+    # S1-S2 both recent: seen from both sides (quirk Q6); pairs with the old S3 once
+    assert two == {("S1", "S2"): 6, ("S1", "S3"): 3, ("S2", "S3"): 3}
+    assert one == {("S1", "S2"): 3, ("S1", "S3"): 3, ("S2", "S3"): 3}

@@ -71,3 +71,14 @@ def test_top_k_ties_broken_by_key(spark):
     rows = [(f"a{i}", f"S{i}", "E", "Q", 1.0, True, 0.9, "h", T0) for i in (3, 1, 2)]
     out = rollups.high_risk_students_top(att(spark, rows), 2).collect()
     assert [r.student_id for r in out] == ["S1", "S2"]
+
+
+def test_missing_variance_is_most_suspicious(spark):
+    # one-attempt pair: sample stddev NULL -> filled with 0 -> normalised 1 (quirk Q2)
+    a = att(spark, [("a", "S1", "E", "Q", 5.0, True, 0.0, "h", T0),
+                    ("b", "S2", "E", "Q", 5.0, True, 0.0, "h", T0),
+                    ("c", "S2", "E", "Q", 25.0, True, 0.0, "h", T0)])
+    sessions = spark.createDataFrame([], "student_id string, exam_id string, tab_switches int, "
+                                         "focus_loss_count int, idle_time_seconds double")
+    s = {r.student_id: r.suspicion_score for r in kpis.kpi_suspicion(a, sessions).collect()}
+    assert s["S1"] == pytest.approx(0.3) and s["S2"] == pytest.approx(0.0)

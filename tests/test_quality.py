@@ -35,3 +35,34 @@ def test_outliers_and_missing(spark):
     assert [r.attempt_id for r in Q.outlier_flags(df).collect()] == ["big"]
     mr = {r.column: r.missing_rate for r in Q.missing_rate(df).collect()}
     assert mr["response_time"] == 1 / 32 and mr["attempt_id"] == 0.0
+
+
+def test_constraint_report_flags_each_planted_violation(spark):
+    t = dt.datetime(2024, 1, 1)
+    students = spark.createDataFrame(
+        [("S1", "n", "a@b.co", "Data Science", 2, "Europe", 0.5, t),
+         ("S1", None, "not-an-email", "Poetry", 9, "Mars", 1.5, t)], schemas.STUDENTS)
+    courses = spark.createDataFrame([("C1", "c", "I", "i", 7, "Statistics", 0)], schemas.COURSES)
+    exams = spark.createDataFrame([("E1", "C9", "e", t, 0, 100, "viva", True)], schemas.EXAMS)
+    questions = spark.createDataFrame([("Q1", "E1", 1, 3, "MCQ", 5, 60, "x")], schemas.QUESTIONS)
+    attempts = spark.createDataFrame(
+        [("A1", "S7", "E1", "Q1", -1.0, True, 1.5, 0, 0, "short", "x", t, 9, False)],
+        schemas.EXAM_ATTEMPTS)
+    sessions = spark.createDataFrame(
+        [("L1", "S1", "E1", 0, 0.0, 0, 0, 0, "Desktop", "Chrome", "ip", t, t + dt.timedelta(1), 0)],
+        schemas.SESSION_LOGS)
+    tables = {"students": students, "courses": courses, "exams": exams, "questions": questions,
+              "exam_attempts": attempts, "session_logs": sessions}
+    rep = {(r.table, r.rule): r.violations for r in Q.constraint_report(tables).collect()}
+    planted = [("students", "required:name"), ("students", "enum:program"), ("students", "enum:region"),
+               ("students", "range:academic_year"), ("students", "range:skill_level"),
+               ("students", "email_format"), ("students", "unique:student_id"),
+               ("courses", "range:difficulty_level"), ("courses", "credits_positive"),
+               ("exams", "enum:exam_type"), ("exams", "duration_positive"), ("exams", "fk:course_id->courses"),
+               ("exam_attempts", "range:response_time"), ("exam_attempts", "range:ai_usage_score"),
+               ("exam_attempts", "hash_length_64"), ("exam_attempts", "marks_le_max"),
+               ("exam_attempts", "fk:student_id->students")]
+    for key in planted:
+        assert rep[key] == 1, key
+    clean = [k for k in rep if k not in planted]
+    assert all(rep[k] == 0 for k in clean), [k for k in clean if rep[k]]
