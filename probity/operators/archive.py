@@ -156,10 +156,15 @@ def archive_quality(archive: DataFrame, key: str, required: list[str]) -> DataFr
     for c in required:
         any_null = F.col(c).isNull() if any_null is None else (any_null | F.col(c).isNull())
         nulls = nulls + F.col(c).isNull().cast("int")
-    return archive.agg(
-        F.avg((~any_null).cast("double")).alias("completeness"),
-        F.sum(nulls).cast("long").alias("null_count"),
-        (F.count(F.lit(1)) - F.countDistinct(key)).alias("duplicate_count"))
+    # per-key partial sums first (two plain aggregates, no Expand): the
+    # duplicate count is rows minus non-null distinct keys
+    per_key = archive.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
+                                       F.sum((~any_null).cast("long")).alias("complete"),
+                                       F.sum(nulls).alias("nulls"))
+    return per_key.agg(
+        (F.sum("complete") / F.sum("n")).alias("completeness"),
+        F.sum("nulls").cast("long").alias("null_count"),
+        (F.sum("n") - F.count(F.when(F.col(key).isNotNull(), 1))).cast("long").alias("duplicate_count"))
 
 
 def monthly_trend(archive: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:

@@ -194,9 +194,11 @@ def suspicious_leaderboard(attempts: DataFrame, k: int = 20, min_score: float =
     """0.6 * avg AI + 0.4 * (count(distinct case correct then 1) / n),
     > 0.5, top 20.  The distinct term is 0 or 1 (quirk Q21); the intended
     accuracy form is returned beside it."""
+    # count(distinct case when correct then 1) is 1 if any attempt is correct,
+    # else 0 -- i.e. a max, which needs no Expand / distinct aggregation
     g = attempts.groupBy("student_id").agg(
         F.avg("ai_usage_score").alias("avg_ai"),
-        F.countDistinct(F.when(F.col("is_correct"), 1)).alias("dc"),
+        F.max(F.when(F.col("is_correct"), 1).otherwise(0)).alias("dc"),
         F.count(F.lit(1)).alias("n"),
         F.avg(F.when(F.col("is_correct"), 1).otherwise(0)).alias("acc"))
     out = g.select("student_id",
@@ -211,9 +213,12 @@ def shared_answers(attempts: DataFrame) -> DataFrame:
 
     ``matching_answers`` (count of distinct hashes per hash) is always 1
     (quirk Q22); ``students`` and ``attempts`` carry the information."""
+    # grouped by the hash, its distinct count is 1 (0 for a null hash); only
+    # the student count needs a distinct aggregation
     g = attempts.groupBy("answer_hash").agg(
         F.countDistinct("student_id").alias("students"),
-        F.countDistinct("answer_hash").alias("matching_answers"),
+        F.max(F.when(F.col("answer_hash").isNotNull(), 1).otherwise(0)).cast("long")
+        .alias("matching_answers"),
         F.count(F.lit(1)).alias("attempts"))
     return g.filter(F.col("students") >= 2)
 
