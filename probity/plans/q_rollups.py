@@ -122,6 +122,14 @@ def q_a24(t):
     return rollups.event_rate(t.attempts, t.as_of, 2)
 
 
+@register("event_rate_5m", doubles=("rate",), sql="""
+SELECT count(*) / 5.0::DOUBLE AS rate, CASE WHEN count(*) / 5.0::DOUBLE < 100 THEN 'low' ELSE 'ok' END AS status
+FROM exam_attempts WHERE submission_timestamp >= (SELECT t FROM as_of) - INTERVAL 5 MINUTE""")
+def q_a24_5m(t):
+    """A24, smoke-test form: 5-minute window, 100 events/min threshold."""
+    return rollups.event_rate(t.attempts, t.as_of, 5, low_rate=100.0)
+
+
 @register("minimum_data_gate", sql="""
 SELECT count(*) >= 100 AS ok, count(*) AS n FROM exam_attempts""")
 def q_a25(t):

@@ -116,6 +116,20 @@ def q_r1(t):
                         else F.col(c) for c in ATTEMPT_COLS])
 
 
+@register("stream_microbatch", doubles=("response_time", "ai_usage_score"),
+          sql="SELECT * FROM exam_attempts")
+def q_r3(t):
+    """The same ingest in bounded micro-batches (2 message files per
+    trigger): several upserts, each idempotent, same final table."""
+    msgs = I.read_stream(t.spark, "text", _messages(t), max_per_trigger=2)
+    d = (I.decode(msgs, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"]).filter("_valid")
+         .withColumn("event_ts", F.col("submission_timestamp")))
+    table = W.ingest_table(d, "microbatch")
+    out = t.spark.read.parquet(table)
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "submission_timestamp"
+                        else F.col(c) for c in ATTEMPT_COLS])
+
+
 @register("stream_progress")
 def q_r5(t):
     d = I.dedup(_stream(t), "attempt_id")
