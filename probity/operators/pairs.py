@@ -13,7 +13,9 @@ combination meets in exactly one cell, and no cell holds more than about
 
 Keys at or below ``cell_rows`` on both sides get a 1 x 1 grid (no copies).
 The hot-key table has at most ``rows / cell_rows`` entries by construction;
-it is joined normally and AQE broadcasts it from its runtime size when small.
+it is written once and counted: no hot keys means no extra join at all, a
+count under ``max_broadcast_keys`` means a broadcast, and only beyond that a
+shuffle join (whose skewed partitions AQE splits).
 Cell assignment hashes a stable row attribute (never ``rand()``), so a
 recomputed task after an executor loss lands every row in the same cell.
 """
@@ -23,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from probity.session import materialize
+
 DEFAULT_CELL_ROWS = 4096
 
 
@@ -47,7 +51,8 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str],
               left_salt: Column, right_salt: Column,
               condition: Column | None = None,
               cell_rows: int = DEFAULT_CELL_ROWS, self_join: bool = False,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None,
+              max_broadcast_keys: int = 100_000) -> DataFrame:
     """Inner equi-join of ``left`` and ``right`` on ``keys`` (+ ``condition``).
 
     ``left`` and ``right`` must not share non-key column names.
@@ -61,19 +66,28 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str],
     partition coalescing does -- would funnel all pairs into a few tasks; an
     explicit partition count is left as is.
     """
-    hot = hot_keys(left, None if self_join else right, keys, cell_rows)
+    hot = materialize(hot_keys(left, None if self_join else right, keys, cell_rows), "hot-keys")
+    n_hot = hot.count()          # a small job over the written hot-key table
     n = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     one = F.lit(1)
-    lg = (left.withColumn("_ls", F.xxhash64(left_salt))
-          .join(hot, keys, "left")
-          .select(*left.columns,
-                  F.pmod(F.col("_ls"), F.coalesce(F.col("_bl"), one)).cast("int").alias("_gi"),
-                  F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_br"), one) - 1)).alias("_gj")))
-    rg = (right.withColumn("_rs", F.xxhash64(right_salt))
-          .join(hot, keys, "left")
-          .select(*right.columns,
-                  F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_bl"), one) - 1)).alias("_gi"),
-                  F.pmod(F.col("_rs"), F.coalesce(F.col("_br"), one)).cast("int").alias("_gj")))
+    if n_hot == 0:               # the common case: no key needs splitting
+        lg = left.select(*left.columns, F.lit(0).alias("_gi"), F.lit(0).alias("_gj"))
+        rg = right.select(*right.columns, F.lit(0).alias("_gi"), F.lit(0).alias("_gj"))
+    else:
+        # attach grid shapes without routing a hot key's rows to one task:
+        # broadcast the (counted) hot-key table when it is small enough,
+        # otherwise a shuffle join whose skewed partitions AQE splits
+        h = F.broadcast(hot) if n_hot <= max_broadcast_keys else hot
+        lg = (left.withColumn("_ls", F.xxhash64(left_salt))
+              .join(h, keys, "left")
+              .select(*left.columns,
+                      F.pmod(F.col("_ls"), F.coalesce(F.col("_bl"), one)).cast("int").alias("_gi"),
+                      F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_br"), one) - 1)).alias("_gj")))
+        rg = (right.withColumn("_rs", F.xxhash64(right_salt))
+              .join(h, keys, "left")
+              .select(*right.columns,
+                      F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_bl"), one) - 1)).alias("_gi"),
+                      F.pmod(F.col("_rs"), F.coalesce(F.col("_br"), one)).cast("int").alias("_gj")))
     part = [*keys, "_gi", "_gj"]
     lg, rg = lg.repartition(n, *part).alias("_L"), rg.repartition(n, *part).alias("_R")
 

@@ -95,3 +95,13 @@ def test_windowed_pairs_count_both_sides_when_both_recent(spark):
     # S1-S2 both recent: seen from both sides (quirk Q6); pairs with the old S3 once
     assert two == {("S1", "S2"): 6, ("S1", "S3"): 3, ("S2", "S3"): 3}
     assert one == {("S1", "S2"): 3, ("S1", "S3"): 3, ("S2", "S3"): 3}
+
+
+def test_grid_split_on_fixture_equals_unsplit(spark):
+    from conftest import SF_CHECK
+    from probity.sources.tables import Tables
+    t = Tables(spark, SF_CHECK)
+    base = collusion.kpi_answer_similarity(t.attempts)
+    split = collusion.kpi_answer_similarity(t.attempts, cell_rows=7)   # ~20-row groups -> 3x3 grids
+    assert base.exceptAll(split).count() == 0 and split.exceptAll(base).count() == 0
+    assert split.count() == 44278
