@@ -130,6 +130,27 @@ def q_r3(t):
                         else F.col(c) for c in ATTEMPT_COLS])
 
 
+@register("stream_ingest_stats", sql="""
+SELECT 2 * count(*) AS input_rows, count(*) AS inserted, count(*) AS duplicates FROM exam_attempts""")
+def q_r5_stats(t):
+    """Every message is published twice (two message folders); the
+    stream reports input rows from its progress and inserted / skipped rows
+    from the idempotent upsert."""
+    base = work_dir(t.spark, "messages-twice")
+    msgs = I.encode(t.attempts, ts_fields=["submission_timestamp"])
+    msgs.write.text(f"{base}/copy=1")
+    msgs.write.text(f"{base}/copy=2")
+    src = I.read_stream(t.spark, "text", base, max_per_trigger=1)
+    d = (I.decode(src, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"]).filter("_valid")
+         .withColumn("event_ts", F.col("submission_timestamp")))
+    stats, query = [], []
+    W.ingest_table(d, "stats", stats=stats, query=query)
+    inputs = sum(p["input_rows"] or 0 for p in I.progress(query[0]))
+    inserted = sum(s["inserted"] for s in stats)
+    row = [(int(inputs), int(inserted), int(inputs - inserted))]
+    return t.spark.createDataFrame(row, "input_rows long, inserted long, duplicates long")
+
+
 @register("stream_progress")
 def q_r5(t):
     d = I.dedup(_stream(t), "attempt_id")

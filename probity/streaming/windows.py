@@ -107,21 +107,28 @@ def stream_high_risk(attempts: DataFrame, k: int = 20, threshold: float = 0.7,
     return spark.read.parquet(out)
 
 
-def ingest_table(attempts: DataFrame, name: str = "ingest", on_batch=None) -> str:
+def ingest_table(attempts: DataFrame, name: str = "ingest", on_batch=None,
+                 stats: list | None = None, query: list | None = None) -> str:
     """dedup/upsert the stream into a table folder partitioned by day;
     optionally run ``on_batch(spark, table_path, batch_max_ts)`` after each
-    upsert.  Returns the table folder."""
+    upsert.  ``stats`` collects the upsert counts per micro-batch and
+    ``query`` receives the finished StreamingQuery (R5).  Returns the table
+    folder."""
     spark = attempts.sparkSession
     table = work_dir(spark, f"table-{name}")
 
     def fn(batch: DataFrame, batch_id: int):
-        upsert(batch.drop("event_ts"), table, "attempt_id", ts="submission_timestamp")
+        counts = upsert(batch.drop("event_ts"), table, "attempt_id", ts="submission_timestamp")
+        if stats is not None:
+            stats.append({"batch": batch_id, **counts})
         if on_batch is not None:
             # one small aggregate over the micro-batch, not over the table
             batch_max = batch.agg(F.max("submission_timestamp")).first()[0]
             on_batch(batch.sparkSession, table, batch_max)
 
-    run_available_now(dedup(attempts, "attempt_id"), fn, name)
+    q = run_available_now(dedup(attempts, "attempt_id"), fn, name)
+    if query is not None:
+        query.append(q)
     return table
 
 
