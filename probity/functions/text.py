@@ -60,7 +60,10 @@ def chunks(c: Column | str, chunk_size: int = 10) -> Column:
     the cost is linear in its length."""
     pattern = rf"[^ ]+(?: +[^ ]+){{0,{chunk_size - 1}}}"
     found = F.regexp_extract_all(normalize_text(c), F.lit(pattern), 0)
-    return F.transform(found, lambda ch: F.regexp_replace(ch, " +", " "))
+    # dropped punctuation between two spaces leaves a double space; only
+    # those (rare) chunks need re-joining with single spaces
+    return F.transform(found, lambda ch: F.when(F.instr(ch, "  ") > 0,
+                                                F.regexp_replace(ch, " +", " ")).otherwise(ch))
 
 
 def chunk_hashes(c: Column | str, chunk_size: int = 10, max_chunks: int | None = None) -> Column:

@@ -60,7 +60,11 @@ SELECT CAST(sum(records) AS BIGINT) AS record_count,
        list_sort(list(format('year={}/month={}/day={}', year, month, day))) AS partitions
 FROM (SELECT year, month, day, count(*) AS records FROM arc GROUP BY 1, 2, 3) p""")
 def q_k8(t):
-    return A.manifest(_archived(t), t._archive_path).select("record_count", "partitions")
+    arc = _archived(t)
+    out = work_dir(t.spark, "manifest")
+    A.write_manifest(arc, t._archive_path, out)          # one JSON document
+    schema = "location string, record_count long, partitions array<string>"
+    return t.spark.read.schema(schema).json(out).select("record_count", "partitions")
 
 
 @register("delete_archived", sql=ARCHIVE_SQL + """
