@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.operators import collusion, rollups
-from probity.session import work_dir
+from probity.session import materialize, work_dir
 from probity.streaming.ingest import dedup, run_available_now, upsert
 
 
@@ -34,9 +34,15 @@ def tumbling(df: DataFrame, minutes: int, keys: list[str], aggs: list, ts: str =
             .select("window_start", *keys, *[c for c in g.columns if c not in ("w", *keys)]))
 
 
-def _append_with_batch(path: str):
+def _append_with_batch(path: str, keys: list[str] | None = None, compact_every: int | None = None):
+    """foreachBatch sink: append the batch's updated rows under ``_batch=<id>``;
+    every ``compact_every`` batches compact the folder (same thread as the
+    stream, so compaction never races an append)."""
     def fn(batch: DataFrame, batch_id: int):
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(path)
+        (batch.withColumn("_batch", F.lit(batch_id)).write.mode("append")
+         .partitionBy("_batch").parquet(path))
+        if compact_every and keys and (batch_id + 1) % compact_every == 0:
+            compact(batch.sparkSession, path, keys, batch_id)
     return fn
 
 
@@ -48,11 +54,38 @@ def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
             .select(*keys, *[F.col(f"v.{c}").alias(c) for c in vals]))
 
 
-def run_update_window(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+def compact(spark: SparkSession, path: str, keys: list[str], batch_id: int) -> None:
+    """Collapse the sink to one row per key, in an order that is safe to
+    interrupt:
+
+    1. the current rows are written once to the work folder (a path cannot
+       be overwritten while it is being read);
+    2. they replace partition ``_batch=<batch_id>`` (dynamic partition
+       overwrite) -- that partition now holds every current row;
+    3. only then are the older batch partitions, all superseded, deleted.
+
+    Stopping before 3 leaves superseded rows that ``latest`` ignores; a
+    failure in 2 fails the micro-batch, which the stream retries.
+    """
+    cur = materialize(latest(spark, path, keys).withColumn("_batch", F.lit(batch_id)),
+                      "sink-compact")
+    (cur.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_batch").parquet(path))
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("_batch=") and int(name.split("=", 1)[1]) < batch_id:
+            fs.delete(status.getPath(), True)
+
+
+def run_update_window(df: DataFrame, name: str, keys: list[str],
+                      compact_every: int | None = 50) -> DataFrame:
     """Drain ``df`` (an update-mode aggregate) into a sink; return the result."""
     spark = df.sparkSession
     out = work_dir(spark, f"sink-{name}")
-    run_available_now(df, _append_with_batch(out), name, output_mode="update")
+    run_available_now(df, _append_with_batch(out, keys, compact_every), name, output_mode="update")
     return latest(spark, out, keys)
 
 

@@ -68,3 +68,31 @@ def test_late_event_beyond_watermark_is_dropped(spark, tmp_path):
     q2.awaitTermination()
     res = {(r.window_start, r.total_events) for r in W.latest(spark, sink, ["window_start", "exam_id"]).collect()}
     assert res == {(dt.datetime(2024, 1, 1, 15, 0), 2)}
+
+
+def test_sink_compaction_keeps_latest_and_drops_superseded_rows(spark, tmp_path):
+    src = tmp_path / "src"
+    src.mkdir()
+    base = dt.datetime(2024, 1, 1, 12, 0)
+    # four files -> four micro-batches; the same 5-minute window is updated each time
+    for i in range(4):
+        (src / f"b{i}.json").write_text(json.dumps(
+            {"attempt_id": f"A{i}", "exam_id": "E", "ai_usage_score": 0.5, "response_time": 1.0,
+             "submission_timestamp": (base + dt.timedelta(minutes=i % 2)).isoformat()}))
+    schema = ("attempt_id string, exam_id string, ai_usage_score double, response_time double, "
+              "submission_timestamp timestamp")
+    results = {}
+    for every in (None, 1):
+        stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(src))
+                  .withColumn("event_ts", F.col("submission_timestamp")))
+        agg = W.tumbling(I.dedup(stream, "attempt_id"), 5, ["exam_id"],
+                         [F.count(F.lit(1)).alias("total_events")])
+        sink = work_dir(spark, "compact-sink")
+        keys = ["window_start", "exam_id"]
+        I.run_available_now(agg, W._append_with_batch(sink, keys, every), f"compact{every}",
+                            output_mode="update")
+        results[every] = ([tuple(r) for r in W.latest(spark, sink, keys).collect()],
+                          spark.read.parquet(sink).count())
+    assert results[None][0] == results[1][0] == [(dt.datetime(2024, 1, 1, 12, 0), "E", 4)]
+    assert results[None][1] == 4          # one updated row per batch, all kept
+    assert results[1][1] == 1             # compaction keeps only the current row
