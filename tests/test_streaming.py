@@ -96,3 +96,12 @@ def test_sink_compaction_keeps_latest_and_drops_superseded_rows(spark, tmp_path)
     assert results[None][0] == results[1][0] == [(dt.datetime(2024, 1, 1, 12, 0), "E", 4)]
     assert results[None][1] == 4          # one updated row per batch, all kept
     assert results[1][1] == 1             # compaction keeps only the current row
+
+
+def test_state_based_high_risk_equals_batch(spark):
+    from conftest import SF_SMALL
+    from probity.operators import rollups
+    from probity.sources.tables import Tables
+    got = W.stream_high_risk_state(I.attempts_stream(spark, SF_SMALL)).collect()
+    want = rollups.high_risk_students_top(Tables(spark, SF_SMALL).attempts, 20).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
