@@ -8,6 +8,7 @@ from probity.functions.timecols import older_than, recent
 from probity.operators import collusion, kpis, rollups
 from probity.plans.catalog import register
 from probity.plans.q_rollups import _A9
+from probity.sources.tables import scan_limit
 
 ATT = "exam_attempts"
 
@@ -20,7 +21,7 @@ def q_s1(t):
 @register("scan_limit", doubles=("response_time",), sql=f"""
 SELECT attempt_id, student_id, response_time FROM {ATT} ORDER BY attempt_id LIMIT 100""")
 def q_s5(t):
-    return t.attempts.select("attempt_id", "student_id", "response_time").orderBy("attempt_id").limit(100)
+    return scan_limit(t.attempts.select("attempt_id", "student_id", "response_time"), 100, ["attempt_id"])
 
 
 @register("scan_by_key", doubles=("response_time",), sql=f"""

@@ -34,6 +34,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, fmt: str = "parquet"
     return reader.load(path) if path else reader.load()
 
 
+def scan_limit(df: DataFrame, n: int = 100, order_by: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows.  Unordered it is a peek (``CollectLimit``
+    reads only as many splits as it needs); with ``order_by`` it is a
+    deterministic top-n (per-task top-n, then a merge of n rows per task)."""
+    return df.orderBy(*order_by).limit(n) if order_by else df.limit(n)
+
+
 def zero_pad_id(prefix: str, c: Column | str, width: int) -> Column:
     """``prefix`` + zero-padded integer id (e.g. ``ATT000000042``)."""
     col = F.col(c) if isinstance(c, str) else c
