@@ -105,3 +105,24 @@ def test_grid_split_on_fixture_equals_unsplit(spark):
     split = collusion.kpi_answer_similarity(t.attempts, cell_rows=7)   # ~20-row groups -> 3x3 grids
     assert base.exceptAll(split).count() == 0 and split.exceptAll(base).count() == 0
     assert split.count() == 44278
+
+
+def _pairs_fixture(spark, n_questions):
+    import datetime as dt
+    as_of = dt.datetime(2024, 1, 10, 12)
+    ts = as_of - dt.timedelta(minutes=5)
+    rows = []
+    for q in range(n_questions):
+        qid = f"Q{q:03d}"
+        rows += [(f"a{q}", "S1", "E", qid, "h", ts), (f"b{q}", "S2", "E", qid, "h", ts)]
+    df = spark.createDataFrame(rows, "attempt_id string, student_id string, exam_id string, "
+                                     "question_id string, answer_hash string, submission_timestamp timestamp_ntz")
+    return df, as_of
+
+
+def test_collusion_question_sets_bitmask_and_fallback(spark):
+    for n in (5, 70):      # <= 64 questions: bit_or encoding; 70: exact collect_set fallback
+        df, as_of = _pairs_fixture(spark, n)
+        r = collusion.collusion_pairs(df, as_of, "2 hours", once=True).first()
+        assert r.matching_questions_count == n
+        assert list(r.questions) == [f"Q{q:03d}" for q in range(n)]
