@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from probity.llm import nativewords as nw
+from probity.llm.common import Scratch
 
 WINDOW = 10
 BROADCAST_ROWS = 500_000
@@ -60,21 +61,25 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     before = F.coalesce(F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     fresh = F.greatest(F.lit(0), end - F.greatest("at", before))
     # equal rows of ``documents`` repeat every hit; the k = 0 rows count them
+    scratch = Scratch(docs.sparkSession, "decontam")
     per = (found.withColumn("fresh", fresh).groupBy(*KEY)
            .agg(F.max("n_words").alias("n_words"), F.sum("fresh").alias("n_hit"),
                 F.sum(F.when(F.col("k") == 0, 1).otherwise(0)).cast("int").alias("copies"),
                 F.collect_set(F.when(F.col("k") > 0, F.col("wid"))).alias("wids")))
-    per = per.withColumn("hit_key", F.sha2(F.to_json(F.array_sort("wids")), 256))
+    # written once: the texts are scanned a single time
+    per = scratch.write(per.withColumn("hit_key", F.sha2(F.to_json(F.array_sort("wids")), 256)))
     # documents with the same hit windows share one list of items
     groups = per.filter(F.size("wids") > 0).groupBy("hit_key").agg(F.any_value("wids").alias("wids"))
     named = wins.filter("item_id is not null").select(F.xxhash64("win").alias("wid"), F.col("item_id").cast("string").alias("item"))
     items_of = (groups.select("hit_key", F.explode("wids").alias("wid")).join(named, "wid").select("hit_key", "item").distinct()
                 .groupBy("hit_key").agg(F.array_sort(F.collect_list("item")).alias("items")))
-    out = per.drop("wids").join(items_of, "hit_key", "left")
-    items_col = F.coalesce("items", F.array().cast("array<string>"))
-    out = out.select(
+    none = F.array().cast("array<string>")
+    clean = per.filter(F.size("wids") == 0).drop("wids", "hit_key").withColumn("items", none)
+    dirty = per.filter(F.size("wids") > 0).drop("wids").join(items_of, "hit_key", "left").drop("hit_key").withColumn(
+        "items", F.coalesce("items", none))
+    out = clean.unionByName(dirty).select(
         *KEY, F.col("n_words").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"),
-        F.size(items_col).cast("long").alias("n_items"), F.sha2(F.array_join(items_col, ","), 256).alias("items_sha256"),
+        F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     return out.drop("copy")
 
