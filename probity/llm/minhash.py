@@ -40,6 +40,7 @@ from probity.llm.common import Scratch, components
 
 BANDS, ROWS = 64, 7
 BLOCK = 512
+BROADCAST_ROWS = 1_000_000   # of 28 bytes each
 SHINGLE = 5
 
 
@@ -227,7 +228,9 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, scratch: Scr
               .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
               .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
               .select("rep", "cluster", "blk", F.least("blk", "o").alias("p"), F.greatest("blk", "o").alias("q")))
-    member = base.join(placed, base.doc_id == placed.rep).select("cluster", "p", "q", "blk", "doc_id", "text")
+    placed = scratch.write(placed)
+    small = placed.count() <= BROADCAST_ROWS      # else the texts are shuffled to them
+    member = base.join(F.broadcast(placed) if small else placed, base.doc_id == placed.rep).select("cluster", "p", "q", "blk", "doc_id", "text")
     links = scratch.write(
         member.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q", "doc_id")
         .mapInArrow(_compare(num, den), "a long, b long"))
