@@ -41,7 +41,7 @@ def answer_hash(c: Column | str, algorithm: str = "sha256") -> Column:
         return F.sha2(n, 256)
     if algorithm == "md5":
         return F.md5(n)
-    raise ValueError(f"Unsupported algorithm: {algorithm}")
+    raise ValueError(f"no such digest: {algorithm!r} (sha256 or md5)")
 
 
 def has_words(c: Column | str) -> Column:
@@ -66,24 +66,16 @@ def chunks(c: Column | str, chunk_size: int = 10) -> Column:
                                                 F.regexp_replace(ch, " +", " ")).otherwise(ch))
 
 
-def chunk_hashes(c: Column | str, chunk_size: int = 10, max_chunks: int | None = None) -> Column:
-    """Array of 8-hex-digit md5 prefixes, one per ``chunk_size``-word chunk.
+def chunk_hashes(c: Column | str, chunk_size: int = 10, digits: int = 8) -> Column:
+    """Array of md5 prefixes of ``digits`` hex digits, one per ``chunk_size``-word
+    chunk of the whole text.  8 digits make the fuzzy hash; joins over a corpus
+    take all 32."""
+    return F.transform(chunks(c, chunk_size), lambda x: F.substring(F.md5(x), 1, digits))
 
-    ``max_chunks=None`` hashes the whole text; ``max_chunks=5`` reproduces the
-    fuzzy hash's original first-50-words view.
-    """
-    ch = chunks(c, chunk_size)
-    if max_chunks is not None:
-        ch = F.slice(ch, 1, max_chunks)
-    return F.transform(ch, lambda x: F.substring(F.md5(x), 1, 8))
-
-
-def fuzzy_hash(c: Column | str, chunk_size: int = 10, max_chunks: int | None = None) -> Column:
-    """Chunk hashes joined by ``-`` (``''`` for an empty text).
 
-    Whole text by default; ``max_chunks=5`` gives the original first-5-chunk
-    form (kept for compatibility, not used by the registered queries)."""
-    return F.array_join(chunk_hashes(c, chunk_size, max_chunks), "-")
+def fuzzy_hash(c: Column | str, chunk_size: int = 10) -> Column:
+    """Chunk hashes joined by ``-`` (``''`` for an empty text)."""
+    return F.array_join(chunk_hashes(c, chunk_size), "-")
 
 
 def jaccard_fuzzy(a: Column | str, b: Column | str) -> Column:

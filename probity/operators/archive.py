@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from probity.functions.exact import mean
 from probity.functions.timecols import as_column, interval
 
 PARTS = ["year", "month", "day"]
@@ -175,7 +176,7 @@ def monthly_trend(archive: DataFrame, year: int | None = None, month: int | None
         a = a.filter(F.col("year") == year)
     if month is not None:
         a = a.filter(F.col("month") == month)
-    return a.groupBy("year", "month").agg(F.avg("ai_usage_score").alias("avg_ai_score"),
+    return a.groupBy("year", "month").agg(mean("ai_usage_score").alias("avg_ai_score"),
                                           F.count(F.lit(1)).alias("attempts"))
 
 
@@ -183,8 +184,8 @@ def student_history(archive: DataFrame, student_id: str | None = None) -> DataFr
     """Average response time and accuracy per (student, exam)."""
     a = archive if student_id is None else archive.filter(F.col("student_id") == student_id)
     return a.groupBy("student_id", "exam_id").agg(
-        F.avg("response_time").alias("avg_response_time"),
-        (F.avg(F.col("is_correct").cast("int")) * 100).alias("accuracy_rate"))
+        mean("response_time").alias("avg_response_time"),
+        (mean(F.col("is_correct").cast("int")) * 100).alias("accuracy_rate"))
 
 
 def log_run(spark: SparkSession, started: float, rows_archived: DataFrame,

@@ -128,33 +128,13 @@ def collusion_pairs(attempts: DataFrame, as_of, lookback: str = "2 hours", min_m
     = count / 50; C2 risk level; ``detected_at`` = as_of."""
     m = hash_match_windowed(attempts, as_of, lookback, once, cell_rows)
     keys = ["student_1_id", "student_2_id", "exam_id"]
-    # Question set per pair.  With <= 64 distinct questions per exam (checked
-    # by one small aggregate) it is a bit_or of 1 << (question rank in its
-    # exam): 8 bytes per pair in a codegen'd hash aggregate instead of a hash
-    # set in an object aggregate, decoded against the sorted question list of
-    # the exam.  Otherwise an exact collect_set, bounded by one exam's
-    # questions.  Integer microsecond sums are exact either way.
-    # every match has a recent attempt on its question, so ranking the recent
-    # attempts' questions (a cheap scan) covers all questions in ``m``
-    recent_q = (attempts.filter(_recent_flag(F.col("submission_timestamp"), as_of, lookback))
-                .select("exam_id", "question_id").distinct())
-    ranks = recent_q.withColumn("q_rank", F.dense_rank().over(
-        Window.partitionBy("exam_id").orderBy("question_id")) - 1)
-    max_rank = ranks.agg(F.max("q_rank")).first()[0]
+    # the question set is bounded by one exam's questions; integer microsecond
+    # sums are exact in any order
     n = F.col("matching_questions_count")
-    base = [F.count(F.lit(1)).alias("matching_questions_count"), F.sum("time_diff_us").alias("us")]
-    if max_rank is None or max_rank < 64:
-        g = (m.join(ranks, ["exam_id", "question_id"])
-             .groupBy(*keys).agg(*base, F.bit_or(F.expr("shiftleft(1L, q_rank)")).alias("bits"))
-             .filter(n >= min_matches))
-        lists = ranks.groupBy("exam_id").agg(F.array_sort(F.collect_list("question_id")).alias("qs"))
-        questions = F.expr("transform(filter(sequence(0, 63), i -> ((bits >> i) & 1) = 1), "
-                           "i -> element_at(qs, i + 1))")
-        g = g.join(lists, "exam_id").withColumn("questions", questions)
-    else:
-        g = (m.groupBy(*keys)
-             .agg(*base, F.array_sort(F.collect_set("question_id")).alias("questions"))
-             .filter(n >= min_matches))
+    g = (m.groupBy(*keys)
+         .agg(F.count(F.lit(1)).alias("matching_questions_count"), F.sum("time_diff_us").alias("us"),
+              F.array_sort(F.collect_set("question_id")).alias("questions"))
+         .filter(n >= min_matches))
     return g.select(*keys, n.alias("matching_questions_count"),
                     (F.col("us") / n / 1e6).alias("avg_time_difference_seconds"),
                     "questions",

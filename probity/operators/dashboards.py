@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from probity.functions.exact import mean
 from probity.functions.bands import risk_level_attempt, session_indicators
 from probity.functions.timecols import bucket_start
 
@@ -61,9 +62,9 @@ def star(attempts: DataFrame, students: DataFrame | None = None, exams: DataFram
 
 
 def kpi_aggs():
-    return [F.avg("response_time").alias("avg_response_time"),
-            (F.avg(F.when(F.col("is_correct"), 1).otherwise(0)) * 100).alias("accuracy_rate"),
-            F.avg("ai_usage_score").alias("avg_ai_score"),
+    return [mean("response_time").alias("avg_response_time"),
+            (mean(F.when(F.col("is_correct"), 1).otherwise(0)) * 100).alias("accuracy_rate"),
+            mean("ai_usage_score").alias("avg_ai_score"),
             F.stddev_pop("response_time").alias("response_variance"),
             F.count(F.lit(1)).alias("total_attempts")]
 
@@ -84,7 +85,7 @@ def top10_suspicious(suspicion: DataFrame, k: int = 10) -> DataFrame:
 def ai_by_program_risk(kpis: DataFrame, students: DataFrame) -> DataFrame:
     """Average AI score and pair count by program x risk level."""
     j = kpis.join(students.select("student_id", "program"), "student_id", "left")
-    return j.groupBy("program", "risk_level").agg(F.avg("avg_ai_score").alias("avg_ai_score"),
+    return j.groupBy("program", "risk_level").agg(mean("avg_ai_score").alias("avg_ai_score"),
                                                   F.count(F.lit(1)).alias("pairs"))
 
 
@@ -105,7 +106,7 @@ def collusion_summary(pairs: DataFrame) -> DataFrame:
     """Total cases, high-risk (>= 10 matches) pairs, average matches."""
     return pairs.agg(F.count(F.lit(1)).alias("total_cases"),
                      F.count(F.when(F.col("risk_level") == "High", 1)).alias("high_similarity_pairs"),
-                     F.avg("matching_questions_count").alias("avg_matching_questions"))
+                     mean("matching_questions_count").alias("avg_matching_questions"))
 
 
 def top20_collusion_pairs(pairs: DataFrame, k: int = 20) -> DataFrame:
@@ -131,9 +132,9 @@ def time_gap_distribution(pairs: DataFrame, width_minutes: int = 10) -> DataFram
 
 def session_averages(sessions: DataFrame) -> DataFrame:
     """G11."""
-    return sessions.agg(F.avg("tab_switches").alias("avg_tab_switches"),
-                        F.avg("focus_loss_count").alias("avg_focus_loss"),
-                        F.avg("idle_time_seconds").alias("avg_idle_time"))
+    return sessions.agg(mean("tab_switches").alias("avg_tab_switches"),
+                        mean("focus_loss_count").alias("avg_focus_loss"),
+                        mean("idle_time_seconds").alias("avg_idle_time"))
 
 
 def distribution(sessions: DataFrame, column: str) -> DataFrame:
@@ -144,7 +145,7 @@ def distribution(sessions: DataFrame, column: str) -> DataFrame:
 def tab_switches_over_time(sessions: DataFrame, bucket: str = "1 hour") -> DataFrame:
     """Average tab switches per time bucket of the session start."""
     return (sessions.groupBy(F.window("session_start", bucket)["start"].alias("bucket"))
-            .agg(F.avg("tab_switches").alias("avg_tab_switches"),
+            .agg(mean("tab_switches").alias("avg_tab_switches"),
                  F.count(F.lit(1)).alias("sessions")))
 
 
@@ -187,7 +188,7 @@ def trend_top5_exams(attempts: DataFrame, minutes: int = 10, n: int = 5) -> Data
     top = F.broadcast(top_n_keys(attempts, "exam_id", n))  # n rows by construction
     a = attempts.join(top, "exam_id")
     return (a.groupBy(bucket_start("submission_timestamp", minutes).alias("bucket"), "exam_id")
-            .agg(F.avg("ai_usage_score").alias("avg_ai_usage")))
+            .agg(mean("ai_usage_score").alias("avg_ai_usage")))
 
 
 def suspicious_leaderboard(attempts: DataFrame, k: int = 20, min_score: float = 0.5) -> DataFrame:
@@ -197,10 +198,10 @@ def suspicious_leaderboard(attempts: DataFrame, k: int = 20, min_score: float =
     # count(distinct case when correct then 1) is 1 if any attempt is correct,
     # else 0 -- i.e. a max, which needs no Expand / distinct aggregation
     g = attempts.groupBy("student_id").agg(
-        F.avg("ai_usage_score").alias("avg_ai"),
+        mean("ai_usage_score").alias("avg_ai"),
         F.max(F.when(F.col("is_correct"), 1).otherwise(0)).alias("dc"),
         F.count(F.lit(1)).alias("n"),
-        F.avg(F.when(F.col("is_correct"), 1).otherwise(0)).alias("acc"))
+        mean(F.when(F.col("is_correct"), 1).otherwise(0)).alias("acc"))
     out = g.select("student_id",
                    (F.col("avg_ai") * 0.6 + (F.col("dc") / F.col("n")) * 0.4).alias("suspicion_score"),
                    (F.col("avg_ai") * 0.6 + F.col("acc") * 0.4).alias("suspicion_intended"))

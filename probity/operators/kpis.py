@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from probity.functions.exact import mean
 from probity.functions.bands import suspicion_band
 
 PAIR = ["student_id", "exam_id"]
@@ -25,16 +26,16 @@ def accuracy_expr():
 def pair_kpis(attempts: DataFrame) -> DataFrame:
     """A1-A4 fused: avg response time, accuracy, sample stddev, avg AI score."""
     return attempts.groupBy(*PAIR).agg(
-        F.avg("response_time").alias("avg_response_time"),
+        mean("response_time").alias("avg_response_time"),
         accuracy_expr().alias("accuracy_rate"),
         F.stddev_samp("response_time").alias("response_variance"),
-        F.avg("ai_usage_score").alias("avg_ai_usage_score"),
+        mean("ai_usage_score").alias("avg_ai_usage_score"),
     )
 
 
 def kpi_avg_response_time(attempts: DataFrame) -> DataFrame:
     """A1."""
-    return attempts.groupBy(*PAIR).agg(F.avg("response_time").alias("avg_response_time"))
+    return attempts.groupBy(*PAIR).agg(mean("response_time").alias("avg_response_time"))
 
 
 def kpi_accuracy_rate(attempts: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def kpi_response_variance(attempts: DataFrame) -> DataFrame:
 
 def kpi_ai_usage(attempts: DataFrame) -> DataFrame:
     """A4."""
-    return attempts.groupBy(*PAIR).agg(F.avg("ai_usage_score").alias("avg_ai_usage_score"))
+    return attempts.groupBy(*PAIR).agg(mean("ai_usage_score").alias("avg_ai_usage_score"))
 
 
 def kpi_session_irregularity(sessions: DataFrame, clip: bool = False) -> DataFrame:

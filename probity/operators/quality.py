@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from probity.functions.exact import mean
 from probity import schemas
 
 # The validator enumerations.
@@ -309,7 +310,7 @@ def outlier_flags(df: DataFrame, column: str = "response_time", key: str = "atte
 
     Mean and deviation are scalar subqueries (one small job each), not a join.
     """
-    stats = df.agg(F.avg(column).alias("m"), F.stddev_pop(column).alias("s"))
+    stats = df.agg(mean(column).alias("m"), F.stddev_pop(column).alias("s"))
     m = stats.select("m").scalar()
     s = stats.select("s").scalar()
     return (df.select(key, column, ((F.col(column) - m) / s).alias("z_score"))
@@ -318,7 +319,7 @@ def outlier_flags(df: DataFrame, column: str = "response_time", key: str = "atte
 
 def missing_rate(df: DataFrame) -> DataFrame:
     """Share of nulls per column."""
-    aggs = [F.avg(F.col(c).isNull().cast("int")).alias(c) for c in df.columns]
+    aggs = [mean(F.col(c).isNull().cast("int")).alias(c) for c in df.columns]
     one = df.agg(*aggs)
     return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
                                                    F.col(c).alias("missing_rate"))
@@ -328,7 +329,7 @@ def missing_rate(df: DataFrame) -> DataFrame:
 def distribution_summary(df: DataFrame, column: str = "response_time",
                          by: list[str] | None = None) -> DataFrame:
     """Mean, population stddev, min, max (and count) of ``column``."""
-    aggs = [F.avg(column).alias("mean"), F.stddev_pop(column).alias("std"),
+    aggs = [mean(column).alias("mean"), F.stddev_pop(column).alias("std"),
             F.min(column).alias("min"), F.max(column).alias("max"),
             F.count(column).alias("count")]
     return df.groupBy(*(by or [])).agg(*aggs)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from probity.functions.exact import mean, total
 from probity.functions.bands import ai_usage_bucket, risk_level_pair
 from probity.functions.timecols import bucket_start, recent
 
@@ -22,9 +23,9 @@ def aggregated_kpis(attempts: DataFrame, as_of=None, lookback: str | None = "7 d
     a = attempts if as_of is None or lookback is None else recent(
         attempts, "submission_timestamp", as_of, lookback)
     g = a.groupBy(*PAIR).agg(
-        F.avg("response_time").alias("avg_response_time"),
-        (F.avg(F.when(F.col("is_correct"), 1).otherwise(0)) * 100).alias("accuracy_rate"),
-        F.avg("ai_usage_score").alias("avg_ai_score"),
+        mean("response_time").alias("avg_response_time"),
+        (mean(F.when(F.col("is_correct"), 1).otherwise(0)) * 100).alias("accuracy_rate"),
+        mean("ai_usage_score").alias("avg_ai_score"),
         F.stddev_pop("response_time").alias("response_variance"),
         F.count(F.lit(1)).alias("total_attempts"),
         F.max("submission_timestamp").alias("last_updated"),
@@ -40,8 +41,8 @@ def time_series_kpis(attempts: DataFrame, as_of=None, lookback: str | None = "7
     a = attempts if as_of is None or lookback is None else recent(
         attempts, "submission_timestamp", as_of, lookback)
     out = (a.groupBy(bucket_start("submission_timestamp", minutes).alias("timestamp"), "exam_id")
-           .agg(F.avg("ai_usage_score").alias("avg_ai_score"),
-                F.avg("response_time").alias("avg_response_time"),
+           .agg(mean("ai_usage_score").alias("avg_ai_score"),
+                mean("response_time").alias("avg_response_time"),
                 F.count(F.lit(1)).alias("total_events")))
     return out.orderBy(F.desc("timestamp"), "exam_id") if ordered else out
 
@@ -53,7 +54,7 @@ def ai_trend(attempts: DataFrame, as_of=None, lookback: str | None = "2 hours",
     a = attempts if as_of is None or lookback is None else recent(
         attempts, "submission_timestamp", as_of, lookback)
     out = (a.groupBy(bucket_start("submission_timestamp", minutes).alias("timestamp"))
-           .agg(F.round(F.avg("ai_usage_score"), 3).alias("avg_ai_score"),
+           .agg(F.round(mean("ai_usage_score"), 3).alias("avg_ai_score"),
                 F.count(F.lit(1)).alias("count")))
     return out.orderBy("timestamp") if ordered else out
 
@@ -61,7 +62,7 @@ def ai_trend(attempts: DataFrame, as_of=None, lookback: str | None = "2 hours",
 def avg_response_time_all(attempts: DataFrame, empty_as_zero: bool = False) -> DataFrame:
     """Global average response time, round 2.  No row on empty input
     (or one row with 0 when ``empty_as_zero``)."""
-    g = attempts.agg(F.avg("response_time").alias("avg"), F.count(F.lit(1)).alias("n"))
+    g = attempts.agg(mean("response_time").alias("avg"), F.count(F.lit(1)).alias("n"))
     if empty_as_zero:
         return g.select(F.round(F.coalesce(F.col("avg"), F.lit(0.0)), 2).alias("value"))
     return g.filter(F.col("n") > 0).select(F.round("avg", 2).alias("value"))
@@ -69,7 +70,7 @@ def avg_response_time_all(attempts: DataFrame, empty_as_zero: bool = False) -> D
 
 def avg_response_time_by_exam(attempts: DataFrame) -> DataFrame:
     """A13."""
-    return attempts.groupBy("exam_id").agg(F.round(F.avg("response_time"), 2).alias("value"))
+    return attempts.groupBy("exam_id").agg(F.round(mean("response_time"), 2).alias("value"))
 
 
 def accuracy_rate_all(attempts: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def ai_usage_bucket_pct(attempts: DataFrame) -> DataFrame:
 
 def student_ai(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy("student_id").agg(
-        F.avg("ai_usage_score").alias("avg_ai"), F.count(F.lit(1)).alias("attempts"))
+        mean("ai_usage_score").alias("avg_ai"), F.count(F.lit(1)).alias("attempts"))
 
 
 def high_risk_students_top(attempts: DataFrame, k: int = 20, threshold: float = 0.7) -> DataFrame:
@@ -117,7 +118,7 @@ def high_risk_count(attempts: DataFrame, threshold: float = 0.7) -> DataFrame:
 def top_students_by_ai(attempts: DataFrame, k: int = 100) -> DataFrame:
     """Top 100 students by average AI score."""
     return (attempts.groupBy("student_id")
-            .agg(F.avg("ai_usage_score").alias("avg_ai_score"), F.count(F.lit(1)).alias("count"))
+            .agg(mean("ai_usage_score").alias("avg_ai_score"), F.count(F.lit(1)).alias("count"))
             .orderBy(F.desc("avg_ai_score"), "student_id").limit(k))
 
 
@@ -145,7 +146,7 @@ def minimum_data_gate(attempts: DataFrame, minimum: int = 100) -> DataFrame:
 def student_live_trend(attempts: DataFrame) -> DataFrame:
     """Per student average and sum of the AI score."""
     return attempts.groupBy("student_id").agg(
-        F.avg("ai_usage_score").alias("avg_score"), F.sum("ai_usage_score").alias("ai_usage"))
+        mean("ai_usage_score").alias("avg_score"), total("ai_usage_score").alias("ai_usage"))
 
 
 def high_risk_students(kpis: DataFrame, students: DataFrame, exams: DataFrame,

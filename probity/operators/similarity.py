@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from probity.functions.text import chunk_hashes, has_words, jaccard_fuzzy
+from probity.functions.text import chunk_hashes, has_words
 from probity.operators.pairs import DEFAULT_CELL_ROWS, grid_join
 from probity.session import materialize
 
@@ -28,13 +28,13 @@ EPS = 1e-9
 
 
 def token_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               chunk_size: int = 10, max_chunks: int | None = None) -> DataFrame:
-    """(id, toks): sorted distinct chunk hashes of each non-empty text.
+               chunk_size: int = 10) -> DataFrame:
+    """(id, toks): sorted distinct chunk hashes (full md5) of each non-empty text.
 
     Empty texts are dropped by a cheap test on the raw text: a filter on
     ``size(toks)`` would be pushed below the projection and hash every text
     twice."""
-    toks = F.array_sort(F.array_distinct(chunk_hashes(text_col, chunk_size, max_chunks)))
+    toks = F.array_sort(F.array_distinct(chunk_hashes(text_col, chunk_size, 32)))
     return (docs.filter(has_words(text_col))
             .select(F.col(id_col).alias("id"), toks.alias("toks")))
 
@@ -58,12 +58,11 @@ def representatives(sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_jaccard: float = 0.8, chunk_size: int = 10,
-                    max_chunks: int | None = None,
                     cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
     """(doc_a, doc_b, jaccard) for distinct token sets with Jaccard >= t, a < b."""
     t = float(min_jaccard)
     # hashing the corpus is the expensive step and three branches reuse it
-    reps = materialize(representatives(token_sets(docs, id_col, text_col, chunk_size, max_chunks)),
+    reps = materialize(representatives(token_sets(docs, id_col, text_col, chunk_size)),
                        "token-sets")
     reps = reps.withColumn("n", F.size("toks"))
     tok = reps.select("id", "n", F.explode("toks").alias("tok"))
@@ -74,6 +73,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
            .withColumn("rk", F.row_number().over(w))
            .filter(F.col("rk") <= prefix_len)
            .select("tok", "id", "n"))
+    # both sides and the hot-key count read the prefixes: computed once
+    pre = materialize(pre, "prefixes")
     a = pre.select("tok", F.col("id").alias("id_a"), F.col("n").alias("n_a"))
     b = pre.select("tok", F.col("id").alias("id_b"), F.col("n").alias("n_b"))
     size_ok = ((F.col("id_a") < F.col("id_b"))
@@ -82,9 +83,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cand = (grid_join(a, b, ["tok"], F.col("id_a"), F.col("id_b"), condition=size_ok,
                       cell_rows=cell_rows, self_join=True)
             .select("id_a", "id_b").distinct())
-    ra = reps.select(F.col("id").alias("id_a"), F.array_join("toks", "-").alias("h_a"))
-    rb = reps.select(F.col("id").alias("id_b"), F.array_join("toks", "-").alias("h_b"))
+    ra = reps.select(F.col("id").alias("id_a"), F.col("toks").alias("t_a"), F.col("n").alias("n_a"))
+    rb = reps.select(F.col("id").alias("id_b"), F.col("toks").alias("t_b"), F.col("n").alias("n_b"))
+    both = F.size(F.array_intersect("t_a", "t_b"))
     v = cand.join(ra, "id_a").join(rb, "id_b")
     return (v.select(F.col("id_a").alias("doc_a"), F.col("id_b").alias("doc_b"),
-                     jaccard_fuzzy("h_a", "h_b").alias("jaccard"))
+                     (both / (F.col("n_a") + F.col("n_b") - both)).alias("jaccard"))
             .filter(F.col("jaccard") >= t))

@@ -9,6 +9,7 @@ hashes compare numbers, not the last bits of a floating-point sum order.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -50,17 +51,35 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
+def exact_sql(sql: str) -> str:
+    """Write ``avg(x)`` and the AI-score sum as decimal sums, like ``functions.exact``."""
+    def outer(s, name, make):
+        at = 0
+        while (m := re.search(rf"\b{name}\(", s[at:])):
+            a, k, depth = at + m.start(), at + m.end(), 1
+            while depth:
+                depth += {"(": 1, ")": -1}.get(s[k], 0)
+                k += 1
+            new = make(s[at + m.end():k - 1])
+            s, at = s[:a] + new + s[k:], a + len(new)
+        return s
+
+    exact = "CAST(sum(CAST({0} AS DECIMAL(28,10))) AS DOUBLE)"
+    sql = sql.replace("sum(ai_usage_score)", exact.format("ai_usage_score"))
+    return outer(sql, "avg", lambda x: f"({exact.format(x)} / count({x}))")
+
+
 def oracle(q: Query) -> str | None:
     if q.sql is None:
         return None
     if not q.doubles:
-        return q.sql
+        return exact_sql(q.sql)
     # Round like Spark's round(): half-up on the shortest decimal form of the
     # double (DuckDB's round() multiplies first and can tip near-ties).
     rep = ", ".join(
         f"CASE WHEN isfinite({c}) THEN CAST(CAST(CAST({c} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 6))"
         f"::DOUBLE ELSE {c} END AS {c}" for c in q.doubles)
-    return f"SELECT * REPLACE ({rep}) FROM ({q.sql}) AS oracle_q"
+    return f"SELECT * REPLACE ({rep}) FROM ({exact_sql(q.sql)}) AS oracle_q"
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -59,7 +59,7 @@ _A20 = """
   WHERE l.submission_timestamp >= (SELECT t FROM as_of) - INTERVAL 7 DAY {extra}
 )
 SELECT student_1_id, student_2_id, exam_id, count(*) AS matching_questions_count,
-       avg(us) / 1e6 AS avg_time_difference_seconds,
+       mean(us) / 1e6 AS avg_time_difference_seconds,
        list_sort(list_distinct(list(question_id))) AS questions,
        count(*) / 50 AS similarity_score,
        CASE WHEN count(*) >= 10 THEN 'High' WHEN count(*) >= 5 THEN 'Medium' ELSE 'Low' END AS risk_level,

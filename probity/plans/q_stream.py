@@ -87,10 +87,13 @@ def q_k9(t):
     return I.encode(a, key="attempt_id", ts_fields=["submission_timestamp"]).select("key", "value")
 
 
-def _messages(t):
-    """K9 output written as JSON lines (one message per attempt)."""
+def _messages(t, rows=None, ts=("submission_timestamp",)):
+    """K9 output written as JSON lines: one message per row, in eight files or
+    more, so that a stream of two files per trigger takes several batches and
+    sees event times out of order."""
     path = work_dir(t.spark, "messages")
-    I.encode(t.attempts, ts_fields=["submission_timestamp"]).write.text(path)
+    rows = t.attempts if rows is None else rows
+    I.encode(rows, ts_fields=list(ts)).repartition(8, F.xxhash64("value")).write.text(path)
     return path
 
 
@@ -108,9 +111,7 @@ def q_s4(t):
           sql="SELECT * FROM exam_attempts")
 def q_r1(t):
     msgs = I.read_stream(t.spark, "text", _messages(t))
-    d = (I.decode(msgs, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"]).filter("_valid")
-         .withColumn("event_ts", F.col("submission_timestamp")))
-    table = W.ingest_table(d, "ingest")
+    table = W.ingest_table(I.decode(msgs, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"]), "ingest")
     out = t.spark.read.parquet(table)
     return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "submission_timestamp"
                         else F.col(c) for c in ATTEMPT_COLS])
@@ -122,8 +123,7 @@ def q_r3(t):
     """The same ingest in bounded micro-batches (2 message files per
     trigger): several upserts, each idempotent, same final table."""
     msgs = I.read_stream(t.spark, "text", _messages(t), max_per_trigger=2)
-    d = (I.decode(msgs, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"]).filter("_valid")
-         .withColumn("event_ts", F.col("submission_timestamp")))
+    d = I.decode(msgs, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"])
     table = W.ingest_table(d, "microbatch")
     out = t.spark.read.parquet(table)
     return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "submission_timestamp"
@@ -134,31 +134,52 @@ def q_r3(t):
 SELECT 2 * count(*) AS input_rows, count(*) AS inserted, count(*) AS duplicates FROM exam_attempts""")
 def q_r5_stats(t):
     """Every message is published twice (two message folders); the
-    stream reports input rows from its progress and inserted / skipped rows
-    from the idempotent upsert."""
+    counts are those the upserts stored."""
     base = work_dir(t.spark, "messages-twice")
     msgs = I.encode(t.attempts, ts_fields=["submission_timestamp"])
     msgs.write.text(f"{base}/copy=1")
     msgs.write.text(f"{base}/copy=2")
-    src = I.read_stream(t.spark, "text", base, max_per_trigger=1)
-    d = (I.decode(src, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"]).filter("_valid")
-         .withColumn("event_ts", F.col("submission_timestamp")))
-    stats, query = [], []
-    W.ingest_table(d, "stats", stats=stats, query=query)
-    inputs = sum(p["input_rows"] or 0 for p in I.progress(query[0]))
-    inserted = sum(s["inserted"] for s in stats)
-    row = [(int(inputs), int(inserted), int(inputs - inserted))]
-    return t.spark.createDataFrame(row, "input_rows long, inserted long, duplicates long")
-
-
-@register("stream_progress")
+    src = I.read_stream(t.spark, "text", base, max_per_trigger=1).select("value")
+    table = W.ingest_table(I.decode(src, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"]), "stats")
+    return I.ingest_stats(t.spark, table).agg(*[F.sum(c).alias(c) for c in ("input_rows", "inserted", "duplicates")])
+
+
+@register("stream_progress", sql="""
+SELECT 'progress' AS topic, count(*) AS input_rows, count(*) AS inserted, 0::BIGINT AS duplicates,
+       0::BIGINT AS rejected, max(submission_timestamp) AS max_ts FROM exam_attempts""")
 def q_r5(t):
-    d = I.dedup(_stream(t), "attempt_id")
-    sink = work_dir(t.spark, "progress-sink")
-    q = I.run_available_now(d.select("attempt_id", "event_ts"),
-                            lambda b, i: b.write.mode("append").parquet(sink), "progress")
-    rows = [(p["batch"], p["input_rows"]) for p in I.progress(q)]
-    return t.spark.createDataFrame(rows, "batch long, input_rows long")
+    """Totals per topic over all micro-batches, however many."""
+    table = W.ingest_table(_stream(t), "progress")
+    sums = [F.sum(c).alias(c) for c in ("input_rows", "inserted", "duplicates", "rejected")]
+    return I.ingest_stats(t.spark, table).groupBy("topic").agg(*sums, F.max("max_ts").cast("timestamp_ntz").alias("max_ts"))
+
+
+@register("stream_ingest_sessions", doubles=("idle_time_seconds",), sql="SELECT * FROM session_logs")
+def q_r1_sessions(t):
+    """R1 for the second topic: session messages through the same path."""
+    ts = ["session_start", "session_end"]
+    msgs = I.read_stream(t.spark, "text", _messages(t, t.sessions, ts), max_per_trigger=2)
+    table = W.ingest_table(I.decode(msgs, schemas.SESSION_MESSAGE, ts), "sessions", key="log_id", ts="session_start")
+    out = t.spark.read.parquet(table)
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SESSION_LOGS.fields])
+
+
+@register("stream_rejects", sql="""
+SELECT 'malformed message' AS reason, count(*) AS messages FROM exam_attempts
+WHERE CAST(regexp_extract(attempt_id, '[0-9]+') AS BIGINT) % 10 = 3
+HAVING count(*) > 0""")
+def q_r1_rejects(t):
+    """Rejected messages are stored with their reason: here every message whose
+    attempt number ends in 3 is cut short on its way."""
+    number = F.regexp_extract("attempt_id", "[0-9]+", 0).cast("long")
+    ids = F.get_json_object("value", "$.attempt_id")
+    whole = I.encode(t.attempts, ts_fields=["submission_timestamp"]).withColumn("attempt_id", ids)
+    path = work_dir(t.spark, "messages-cut")
+    cut = F.when(number % 10 == 3, F.expr("substring(value, 1, length(value) - 2)")).otherwise(F.col("value"))
+    whole.select(cut.alias("value")).repartition(8, F.xxhash64("value")).write.text(path)
+    msgs = I.read_stream(t.spark, "text", path, max_per_trigger=2)
+    table = W.ingest_table(I.decode(msgs, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"]), "rejects")
+    return t.spark.read.parquet(f"{table}_rejects").groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
 
 
 @register("stream_archive", doubles=("pct",), sql="""

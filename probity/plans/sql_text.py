@@ -13,17 +13,15 @@ def words_sql(x: str) -> str:
     return "list_filter(string_split(" + normalize_sql(x) + ", ' '), lambda w: w <> '')"
 
 
-def chunks_sql(w: str, max_chunks: int | None = None) -> str:
+def chunks_sql(w: str, digits: int = 8) -> str:
     """md5 prefixes of the 10-word chunks of word list ``w`` (in order)."""
     n = "CAST(ceil(len(" + w + ") / 10) AS BIGINT)"
-    if max_chunks is not None:
-        n = f"least({n}, {max_chunks})"
     return ("list_transform(range(0, " + n + "), lambda i: substr(md5(array_to_string("
-            + w + "[i * 10 + 1 : i * 10 + 10], ' ')), 1, 8))")
+            + w + "[i * 10 + 1 : i * 10 + 10], ' ')), 1, " + str(digits) + "))")
 
 
 def tokens_sql(id_col: str, text: str, src: str) -> str:
     """Rows (id, toks): sorted distinct whole-text chunk hashes of non-empty texts."""
-    return ("SELECT id, list_sort(list_distinct(" + chunks_sql("words") + ")) AS toks "
+    return ("SELECT id, list_sort(list_distinct(" + chunks_sql("words", 32) + ")) AS toks "
             "FROM (SELECT " + id_col + " AS id, " + words_sql(text) + " AS words FROM " + src
             + ") w WHERE len(words) > 0")

@@ -101,37 +101,84 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def upsert(batch: DataFrame, target: str, key: str, ts: str | None = None) -> dict:
-    """K3: append the batch's rows whose key is new; duplicates inside the
-    batch or already in ``target`` are skipped and counted.
-
-    Called from ``foreachBatch``.  With ``ts`` the target is partitioned by
-    year/month/day of it; a repeated message carries the original event time,
-    so the existing-key lookup only needs the batch's day partitions -- the
-    semi-join on the partition columns lets dynamic partition pruning skip
-    every other day.  Only the key column of the target is read.
+KEY_BUCKETS = 256
+
+
+def upsert(batch: DataFrame, target: str, key: str, ts: str | None = None, batch_id: int = 0,
+           topic: str = "", on_new=None) -> dict:
+    """K3: append the batch's rows whose key is new; repeated keys, inside the
+    batch or from any earlier batch, are skipped and counted.
+
+    A key is unique over the whole table, whatever its event time.  ``<target>_keys``
+    lists the keys by hash bucket and batch; a batch reads the buckets it has
+    keys in.  Of rows that share a key the earliest event wins, then the smaller
+    row hash.  Rows that decoding marked invalid (``_valid`` false) go to
+    ``<target>_rejects``.
+
+    Safe to replay: keys that this same batch listed before do not count as known,
+    rows that it wrote before are found in its day partitions and not written again,
+    and its partitions of the key list, rejects and statistics are overwritten.
+    ``on_new(rows)`` gets the batch's new rows, the same ones on a replay.
+    Returns, and stores in ``<target>_stats``, the batch's counts.
     """
     spark = batch.sparkSession
     b = batch.persist()        # one micro-batch: bounded, recomputable from the source
-    rows = b.count()
+    good = b
+    if "_valid" in b.columns:
+        why = F.when(F.col(CORRUPT).isNotNull(), "malformed message").otherwise("missing or unreadable time")
+        (b.filter(~F.col("_valid")).withColumn("reason", why).drop("_valid")
+         .write.mode("overwrite").parquet(f"{target}_rejects/_batch={batch_id}"))
+        good = b.filter("_valid").drop("_valid", CORRUPT)
+    cols = good.columns
+    first = F.struct(*([F.col(ts)] if ts else []), F.xxhash64(*cols))
+    rows = good.groupBy(key).agg(F.min_by(F.struct(*cols), first).alias("r")).select("r.*")
+    bucket = F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+    index, own = f"{target}_keys", f"_batch={batch_id}"
+    if _exists(spark, index):
+        known = spark.read.parquet(index).filter(F.col("_batch") != batch_id)
+        touched = rows.select(bucket.alias("bucket")).distinct()
+        known = known.join(F.broadcast(touched), "bucket", "left_semi")   # at most KEY_BUCKETS rows
+        rows = rows.join(known.select(key), key, "left_anti")
+    rows = rows.persist()
+    new = rows
     if ts is not None:
-        b = b.withColumns({"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)})
-    b = b.dropDuplicates([key])
+        new = new.withColumns({"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)})
     if _exists(spark, target):
-        existing = spark.read.parquet(target)
+        there = spark.read.parquet(target)
         if ts is not None:
-            days = b.select("year", "month", "day").distinct()
-            existing = existing.join(days, ["year", "month", "day"], "left_semi")
-        b = b.join(existing.select(key), key, "left_anti")
-    new = b.persist()
-    inserted = new.count()
+            there = there.join(F.broadcast(new.select("year", "month", "day").distinct()),
+                               ["year", "month", "day"], "left_semi") if _few_days(new) else there
+        new = new.join(there.select(key), key, "left_anti")
     w = new.write.mode("append")
     if ts is not None:
         w = w.partitionBy("year", "month", "day")
     w.parquet(target)
-    new.unpersist()
-    batch.unpersist()
-    return {"rows": rows, "inserted": inserted, "duplicates": rows - inserted}
+    if on_new is not None:
+        on_new(rows)
+    (rows.select(key, bucket.alias("bucket")).write.mode("overwrite").partitionBy("bucket")
+     .parquet(f"{index}/{own}"))
+    one = good.agg(F.count(F.lit(1)).alias("valid"), (F.max(ts) if ts else F.lit(None).cast("timestamp")).alias("max_ts"))
+    stats = one.crossJoin(rows.agg(F.count(F.lit(1)).alias("inserted"))).crossJoin(   # three one-row frames
+        b.agg(F.count(F.lit(1)).alias("input_rows")))
+    stats = stats.select(F.lit(topic).alias("topic"), "input_rows", "inserted",
+                         (F.col("valid") - F.col("inserted")).alias("duplicates"),
+                         (F.col("input_rows") - F.col("valid")).alias("rejected"), "max_ts")
+    stats.write.mode("overwrite").parquet(f"{target}_stats/{own}")
+    got = spark.read.parquet(f"{target}_stats/{own}").first()
+    rows.unpersist()
+    b.unpersist()
+    return {"rows": got["input_rows"], "inserted": got["inserted"], "duplicates": got["duplicates"],
+            "rejected": got["rejected"]}
+
+
+def _few_days(rows: DataFrame, limit: int = 10_000) -> bool:
+    """Whether the batch's distinct days may be broadcast."""
+    return rows.select("year", "month", "day").distinct().limit(limit + 1).count() <= limit
+
+
+def ingest_stats(spark: SparkSession, target: str) -> DataFrame:
+    """One row per micro-batch, from the table the upserts wrote."""
+    return spark.read.parquet(f"{target}_stats")
 
 
 def run_available_now(df: DataFrame, batch_fn, name: str, output_mode: str = "append",

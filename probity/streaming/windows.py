@@ -1,10 +1,12 @@
 """The dashboard rollups kept current by Structured Streaming.
 
-Windowed aggregates run with a watermark (bounded state) in *update* mode;
-each micro-batch's changed rows are appended to a sink folder together with
-the batch id, and the current value of a key is its row from the latest
-batch (``latest``) -- a MERGE expressed as append + ``max_by``, which stays
-correct when a batch is replayed after a failure (same batch id, same rows).
+The registered rollups add up per-batch partial sums of the rows that the
+upsert found new (``_partials``), so late rows count and replays do not.
+
+``tumbling`` is the watermarked form for sinks that must close windows: rows
+older than the watermark are dropped there.  Its changed rows are appended with
+the batch id, and the current value of a key is its row from the latest batch
+(``latest``).
 
 KPIs over a rolling horizon (R8) and the collusion refresh (R11) are
 recomputed per micro-batch from the ingested table (``foreachBatch``),
@@ -18,9 +20,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from probity.functions.exact import SCALE
 from probity.operators import collusion, rollups
 from probity.session import materialize, work_dir
-from probity.streaming.ingest import dedup, run_available_now, upsert
+from probity.streaming.ingest import ingest_stats, run_available_now, upsert
 
 
 def tumbling(df: DataFrame, minutes: int, keys: list[str], aggs: list, ts: str = "event_ts",
@@ -89,77 +92,86 @@ def run_update_window(df: DataFrame, name: str, keys: list[str],
     return latest(spark, out, keys)
 
 
+def _partials(attempts: DataFrame, name: str, keys: list[str], aggs: list, shape=None) -> DataFrame:
+    """Additive aggregates kept per micro-batch, and summed on read.
+
+    Each batch adds the sums of its new rows (after the upsert, so a repeated
+    message adds nothing) under ``_batch=<id>``; a replay overwrites its own
+    folder.  A late row is counted when it comes, however late: no watermark
+    closes a window.
+    """
+    spark = attempts.sparkSession
+    out = work_dir(spark, f"partials-{name}")
+
+    def on_new(rows: DataFrame, batch_id: int):
+        rows = shape(rows) if shape else rows
+        rows.groupBy(*keys).agg(*aggs).write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+
+    ingest_table(attempts, name, on_new=on_new)
+    sums = [c for c in spark.read.parquet(out).columns if c not in (*keys, "_batch")]
+    return spark.read.parquet(out).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def _sum(c: str):
+    return F.sum(F.col(c).cast(SCALE)).alias(c)
+
+
+def _windowed(minutes: int):
+    start = F.window(F.col("submission_timestamp").cast("timestamp"), f"{minutes} minutes")["start"]
+    return lambda rows: rows.withColumn("window_start", start.cast("timestamp_ntz"))
+
+
 def stream_tumbling(attempts: DataFrame, minutes: int = 5, by_exam: bool = True) -> DataFrame:
-    """R6 (5 min x exam, A10) / R7 (10 min, A11) over a deduplicated stream."""
-    d = dedup(attempts, "attempt_id")
-    keys = ["exam_id"] if by_exam else []
-    aggs = [F.avg("ai_usage_score").alias("avg_ai_score"),
-            F.avg("response_time").alias("avg_response_time"),
+    """R6 (5 min x exam, A10) / R7 (10 min, A11) over the ingested rows."""
+    keys = ["window_start", *(["exam_id"] if by_exam else [])]
+    aggs = [_sum("ai_usage_score"), _sum("response_time"),
+            F.count("ai_usage_score").alias("n_ai"), F.count("response_time").alias("n_rt"),
             F.count(F.lit(1)).alias("total_events")]
-    agg = tumbling(d, minutes, keys, aggs)
-    return run_update_window(agg, f"tumbling{minutes}", ["window_start", *keys])
+    p = _partials(attempts, f"tumbling{minutes}", keys, aggs, _windowed(minutes))
+    ratio = lambda c, n: F.col(c).cast("double") / F.nullif(F.col(n), F.lit(0))
+    return p.select(*keys, ratio("ai_usage_score", "n_ai").alias("avg_ai_score"),
+                    ratio("response_time", "n_rt").alias("avg_response_time"), "total_events")
 
 
 def stream_event_rate(attempts: DataFrame) -> DataFrame:
     """Events per 1-minute window."""
-    agg = tumbling(dedup(attempts, "attempt_id"), 1, [], [F.count(F.lit(1)).alias("events")])
-    return run_update_window(agg, "rate", ["window_start"])
-
-
-def stream_student_ai(attempts: DataFrame) -> DataFrame:
-    """R10 state: running AI-score sum and count per student (update mode)."""
-    agg = (dedup(attempts, "attempt_id").groupBy("student_id")
-           .agg(F.sum("ai_usage_score").alias("ai_sum"), F.count(F.lit(1)).alias("attempts")))
-    return run_update_window(agg, "students", ["student_id"])
+    return _partials(attempts, "rate", ["window_start"], [F.count(F.lit(1)).alias("events")], _windowed(1))
 
 
 def stream_high_risk_state(attempts: DataFrame, k: int = 20, threshold: float = 0.7) -> DataFrame:
-    """R10 from streaming state: top-k students by running average AI score.
-
-    Duplicates further apart than the dedup watermark would be counted twice
-    here; ``stream_high_risk`` (table refresh) is exact."""
-    s = stream_student_ai(attempts).withColumn("avg_ai", F.col("ai_sum") / F.col("attempts"))
+    """R10 kept as additive state: per-student score sums and counts, top-k on read."""
+    p = _partials(attempts, "students", ["student_id"],
+                  [_sum("ai_usage_score"), F.count("ai_usage_score").alias("n"), F.count(F.lit(1)).alias("attempts")])
+    s = p.withColumn("avg_ai", F.col("ai_usage_score").cast("double") / F.nullif(F.col("n"), F.lit(0)))
     return (s.filter(F.col("avg_ai") >= threshold).orderBy(F.desc("avg_ai"), "student_id").limit(k)
             .select("student_id", F.round("avg_ai", 3).alias("ai_score"), "attempts"))
 
 
-def stream_high_risk(attempts: DataFrame, k: int = 20, threshold: float = 0.7,
-                     lookback: str | None = None) -> DataFrame:
-    """After every micro-batch, republish the top-k high-risk students
-    from the ingested (globally de-duplicated) table -- exact under replays
-    and late duplicates.  ``lookback`` limits it to a recent horizon."""
-    spark = attempts.sparkSession
-    out = work_dir(spark, "high-risk")
-
-    def compute(recent_rows, all_rows, as_of):
-        rows = all_rows if lookback is None else recent_rows.filter(
-            F.col("submission_timestamp") >= F.lit(as_of) - F.expr(f"INTERVAL {lookback}"))
-        return rollups.high_risk_students_top(rows, k, threshold)
+def stream_high_risk(attempts: DataFrame, k: int = 20, threshold: float = 0.7) -> DataFrame:
+    """The top-k high-risk students of everything ingested so far."""
+    return stream_high_risk_state(attempts, k, threshold)
 
-    ingest_table(attempts, "high-risk", _refresh(out, lookback or "1 day", compute))
-    return spark.read.parquet(out)
 
+def ingest_table(attempts: DataFrame, name: str = "ingest", on_batch=None, on_new=None,
+                 key: str = "attempt_id", ts: str = "submission_timestamp", query: list | None = None) -> str:
+    """Upsert the stream into a table folder partitioned by day.
 
-def ingest_table(attempts: DataFrame, name: str = "ingest", on_batch=None,
-                 stats: list | None = None, query: list | None = None) -> str:
-    """dedup/upsert the stream into a table folder partitioned by day;
-    optionally run ``on_batch(spark, table_path, batch_max_ts)`` after each
-    upsert.  ``stats`` collects the upsert counts per micro-batch and
-    ``query`` receives the finished StreamingQuery (R5).  Returns the table
-    folder."""
+    No watermark stands before the upsert: a late row is a new row.  ``on_new(rows,
+    batch_id)`` gets each batch's new rows, ``on_batch(spark, table, as_of)`` runs after
+    it with the greatest event time of the table's statistics (and so survives a
+    restart).  ``query`` receives the finished StreamingQuery.  Returns the table
+    folder; ``<table>_stats`` and ``<table>_rejects`` lie beside it."""
     spark = attempts.sparkSession
     table = work_dir(spark, f"table-{name}")
 
     def fn(batch: DataFrame, batch_id: int):
-        counts = upsert(batch.drop("event_ts"), table, "attempt_id", ts="submission_timestamp")
-        if stats is not None:
-            stats.append({"batch": batch_id, **counts})
+        upsert(batch.drop("event_ts"), table, key, ts=ts, batch_id=batch_id, topic=name,
+               on_new=(lambda rows: on_new(rows, batch_id)) if on_new else None)
         if on_batch is not None:
-            # one small aggregate over the micro-batch, not over the table
-            batch_max = batch.agg(F.max("submission_timestamp")).first()[0]
-            on_batch(batch.sparkSession, table, batch_max)
+            sp = batch.sparkSession
+            on_batch(sp, table, ingest_stats(sp, table).agg(F.max("max_ts")).first()[0])
 
-    q = run_available_now(dedup(attempts, "attempt_id"), fn, name)
+    q = run_available_now(attempts, fn, name)
     if query is not None:
         query.append(q)
     return table
@@ -176,16 +188,13 @@ def recent_partitions(spark: SparkSession, table: str, as_of: dt.datetime,
 
 
 def _refresh(out: str, lookback: str, compute):
-    """foreachBatch hook: advance ``as_of`` (running max event time) and
-    republish ``compute(recent_rows, all_rows, as_of)``."""
-    state = {"as_of": None}
+    """foreachBatch hook: republish ``compute(recent_rows, all_rows, as_of)``;
+    ``as_of`` is the table's greatest event time."""
     delta = _parse_interval(lookback)
 
-    def refresh(sp: SparkSession, table: str, batch_max):
-        if batch_max is None:
+    def refresh(sp: SparkSession, table: str, as_of):
+        if as_of is None:
             return
-        as_of = batch_max if state["as_of"] is None else max(state["as_of"], batch_max)
-        state["as_of"] = as_of
         recent_rows = recent_partitions(sp, table, as_of, delta)
         all_rows = sp.read.parquet(table).drop("year", "month", "day")
         compute(recent_rows, all_rows, as_of).write.mode("overwrite").parquet(out)

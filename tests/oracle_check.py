@@ -3,7 +3,7 @@
 Usage: python tests/oracle_check.py [sf_dir] [name-substring ...]
 Prints one line per query: status, rows (spark/oracle), seconds.
 Comparison: column names, row count, and the sorted multiset of rows
-(numbers rounded to 6 places, arrays compared as given).
+(numbers rounded to 6 places and then compared exactly, arrays as given).
 """
 
 from __future__ import annotations
@@ -62,7 +62,7 @@ def rows_key(rows):
 
 def close(a, b):
     if isinstance(a, float) and isinstance(b, float):
-        return abs(a - b) <= 1.5e-6 + 1e-9 * max(abs(a), abs(b))
+        return a == b or (math.isnan(a) and math.isnan(b))
     if isinstance(a, tuple) and isinstance(b, tuple):
         return len(a) == len(b) and all(close(x, y) for x, y in zip(a, b))
     return a == b

@@ -9,18 +9,18 @@ from probity.operators import collusion, similarity
 from probity.operators.pairs import grid_join
 
 
-def test_reference_pair_example(spark):
-    # three students; STU001 and STU002 answer QST001-3 identically, STU003 differs
-    rows = [("STU001", "QST001", "h1"), ("STU002", "QST001", "h1"), ("STU003", "QST001", "h3"),
-            ("STU001", "QST002", "h1"), ("STU002", "QST002", "h1"),
-            ("STU001", "QST003", "h1"), ("STU002", "QST003", "h1")]
+def test_pair_with_three_equal_answers(spark):
+    # ann and bob agree on all three questions, cyd agrees with nobody
+    rows = [("ann", "geo-4", "h1"), ("bob", "geo-4", "h1"), ("cyd", "geo-4", "h3"),
+            ("ann", "geo-5", "h1"), ("bob", "geo-5", "h1"),
+            ("ann", "geo-9", "h1"), ("bob", "geo-9", "h1")]
     df = spark.createDataFrame(rows, "student_id string, question_id string, answer_hash string")
     out = collusion.pair_suspicion(df, threshold=3).collect()
     assert len(out) == 1
     r = out[0]
-    assert (r.student_1, r.student_2, r.matching_questions) == ("STU001", "STU002", 3)
+    assert (r.student_1, r.student_2, r.matching_questions) == ("ann", "bob", 3)
     assert r.suspicion_score == 1.0 and r.risk_level == "High"
-    assert list(r.questions) == ["QST001", "QST002", "QST003"]
+    assert list(r.questions) == ["geo-4", "geo-5", "geo-9"]
 
 
 def test_no_self_pairs_and_multiplicity(spark):
