@@ -87,8 +87,8 @@ def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
 def remove_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a window of an item."""
     found, _ = hits(docs, items, window)
-    bad = found.filter("k > 0").select(F.col("doc_id").alias("_d"), F.col("tkey").alias("_t")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_t")), "left_anti")
+    bad = found.filter("k > 0").select(F.col("doc_id").alias("__hit_doc"), F.col("tkey").alias("__hit_key")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__hit_doc")) & (F.xxhash64("text") == F.col("__hit_key")), "left_anti")
 
 
 def spans(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -50,7 +50,7 @@ BAD = ("nav", "menu", "header", "head", "footer", "foot", "sidebar", "side", "as
 TAGS = ("article", "main", "section", "div", "p", "h1", "h2", "h3", "ul", "ol", "li", "nav", "header", "footer", "aside", "form",
         "table", "td", "blockquote", "pre", "figure", "body", "html", "dl")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|</?[!?a-zA-Z][^>]*>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|</?[!?a-zA-Z][^>]*(?:>|\Z)", re.S)
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _OPENED = re.compile(r"<([a-z][a-z0-9]*)")
 _SPLIT = re.compile(r"[^a-z]+")
