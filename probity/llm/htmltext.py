@@ -405,8 +405,12 @@ def training_pages(paras, anchors, count=PAGES, seed=7):
 
 def train(pages: DataFrame) -> Boosted:
     """Fit on skeletons filled from a bounded sample of ``pages``."""
-    rows = (pages.filter("html is not null and length(html) > 0").filter(F.length("html") <= PAGE_CHARS).select("html")
-            .orderBy(F.xxhash64("html"), "html").limit(SAMPLE).collect())
+    usable = pages.filter("html is not null and length(html) > 0").filter(F.length("html") <= PAGE_CHARS).select(
+        "html", F.xxhash64("html").alias("h"))
+    # the least hashes first (8 bytes each to the driver), then only their pages; equal pages count once
+    least = [r["h"] for r in usable.select("h").distinct().orderBy("h").limit(SAMPLE).collect()]
+    rows = usable.filter(F.col("h") <= (least[-1] if least else 0)).groupBy("h").agg(
+        F.min("html").alias("html")).orderBy("h").collect() if least else []
     paras, anchors = [], []
     for r in rows:
         page = Page(r["html"])
