@@ -52,6 +52,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def ordered_set(x: np.ndarray) -> np.ndarray:
+    """Distinct values in order, by one sort (``np.unique`` without counts hashes, and is slower)."""
+    x = np.sort(x)
+    keep = np.ones(len(x), bool)
+    keep[1:] = x[1:] != x[:-1]
+    return x[keep]
+
+
 def column_bytes(col) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null is an empty text."""
     if isinstance(col, pa.ChunkedArray):
