@@ -6,10 +6,11 @@ of the other chunks by hash, so each chunk learns the corpus counts of its own
 words; the vocabulary is in no task and not on the driver as a whole.
 
 Model: the ``TOP`` most frequent training tokens have their own input row and are
-dealt, by frequency, into classes of ``WIDTH``; all other tokens share one input row
-and one class.  log P(token) = log P(class | state) + log P(token | class, state),
-two softmaxes, the second over the class's tokens; in the shared class it is the
-smoothed count share.  The recurrent layer is a GRU of ``HIDDEN`` units.
+dealt, by frequency, into classes of ``WIDTH``; all other tokens fall into ``TAILS``
+classes by a hash of their first two bytes, with one input row per class.
+log P(token) = log P(class | state) + log P(token | class, state), two softmaxes, the
+second over the class's tokens; in a tail class it is the smoothed count share within
+that class.  The recurrent layer is a GRU of ``HIDDEN`` units.
 
 Training: truncated backpropagation over windows of ``BPTT`` tokens, on one training
 document in ``SHARE`` (a hash of doc_id), so the work grows with the corpus.  Every
@@ -35,8 +36,9 @@ from pyspark.sql import functions as F
 from probity.llm import textcore as tc
 from probity.llm.common import Scratch
 
-TOP, WIDTH, HIDDEN = 1024, 32, 16
-CLASSES = TOP // WIDTH + 1
+TOP, WIDTH, TAILS, HIDDEN = 512, 32, 64, 16
+HEADS = TOP // WIDTH
+CLASSES = HEADS + TAILS
 BPTT, LANES, TRAIN_LANES = 16, 256, 32
 SHARE, PASSES, RATE = 16, 2, 0.02
 CHUNK_TOKENS = 3_000_000
@@ -45,22 +47,29 @@ _LN10 = np.log(10.0)
 
 
 def _tokens(batch):
-    """Yield (a, b, offsets, hashes): the tokens of a slice of rows, ends included."""
+    """Yield (a, b, offsets, hashes, tail classes): the tokens of a slice of rows, ends included."""
     data, off = tc.column_bytes(batch.column("text"))
     for a, b in tc.row_slices(off):
-        row, h = tc.scan(data, off[a:b + 1], tc.SPACED)
+        row, h, first = tc.scan(data, off[a:b + 1], tc.SPACED, (2,))
         n = np.bincount(row, minlength=b - a)
         at = np.concatenate([[0], np.cumsum(n + 1)])
         out = np.full(int(at[-1]), END)
         out[np.arange(len(h)) + row] = h
-        yield a, b, at, out
+        tail = np.zeros(len(out), np.uint8)
+        tail[np.arange(len(h)) + row] = first % np.uint64(TAILS)
+        yield a, b, at, out, tail
+
+
+def _class(ids):
+    """Output class of each id: ids from TOP on are tail classes."""
+    return np.where(ids < TOP, ids // WIDTH, ids - TOP + HEADS)
 
 
 def _chunks(batches):
-    """Rows of a chunk's vocabulary (idx, h, n) and one row with its documents."""
+    """Rows of a chunk's vocabulary (idx, h, k, n) and one row with its documents."""
     part = TaskContext.get().partitionId()
-    seq, docs, held, train, size = 0, [], [], [], 0
-    names = ["chunk", "idx", "h", "n", "ids", "lens", "toks", "hs"]
+    seq, docs, held, tails, size = 0, [], [], [], 0
+    names = ["chunk", "idx", "h", "k", "n", "ids", "lens", "toks", "hs", "ks"]
 
     def flush():
         nonlocal seq
@@ -71,28 +80,32 @@ def _chunks(batches):
         mask = np.repeat(np.array([t for _, _, t in docs], bool), lens)
         vocab, inv = np.unique(every, return_inverse=True)
         n = np.bincount(inv[mask], minlength=len(vocab))
+        tail = np.zeros(len(vocab), np.uint8)
+        tail[inv] = np.concatenate(tails)
         k = len(vocab)
         for lo in range(0, k, 100_000):
             hi = min(k, lo + 100_000)
             nul = pa.nulls(hi - lo, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(hi - lo, chunk)), pa.array(np.arange(lo, hi, dtype=np.int32)),
-                 pa.array(vocab[lo:hi].view(np.int64)), pa.array(n[lo:hi]), nul, nul, nul, nul], names=names)
+                 pa.array(vocab[lo:hi].view(np.int64)), pa.array(tail[lo:hi].astype(np.int32)), pa.array(n[lo:hi]),
+                 nul, nul, nul, nul, nul], names=names)
         blob = lambda x: pa.array([x], pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([chunk], pa.int64()), pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([0], pa.int64()),
-             blob(json.dumps([d for d, _, _ in docs]).encode()), blob(lens.tobytes()),
-             blob(inv.astype(np.uint32).tobytes()), blob(vocab.tobytes())], names=names)
+            [pa.array([chunk], pa.int64()), pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([0], pa.int32()),
+             pa.array([0], pa.int64()), blob(json.dumps([d for d, _, _ in docs]).encode()), blob(lens.tobytes()),
+             blob(inv.astype(np.uint32).tobytes()), blob(vocab.tobytes()), blob(tail.tobytes())], names=names)
 
     for batch in batches:
         ids, train_col = batch.column("doc_id").to_pylist(), batch.column("train").to_pylist()
-        for a, b, at, h in _tokens(batch):
+        for a, b, at, h, tail in _tokens(batch):
             docs += [(ids[a + i], int(at[i + 1] - at[i]), train_col[a + i]) for i in range(b - a)]
             held.append(h)
+            tails.append(tail)
             size += len(h)
             if size >= CHUNK_TOKENS:
                 yield from flush()
-                docs, held, size = [], [], 0
+                docs, held, tails, size = [], [], [], 0
     if docs:
         yield from flush()
 
@@ -101,12 +114,12 @@ class Gru:
     """Weights as one flat vector: input rows, recurrent weights, class and word outputs."""
 
     def __init__(self, counts):
-        """counts: corpus counts of the top tokens (padded to TOP) and of the rest."""
+        """counts: corpus counts of the top tokens (padded to TOP) and of the tail classes."""
         h, rng = HIDDEN, np.random.default_rng(11)
         top, rest = counts
-        mass = np.append(top.reshape(CLASSES - 1, WIDTH).sum(1), rest)
+        mass = np.append(top.reshape(HEADS, WIDTH).sum(1), np.broadcast_to(rest, TAILS))
         self.p = {
-            "x": rng.normal(0, 0.3, (TOP + 1, 3 * h)), "u": rng.normal(0, 0.2, (h, 3 * h)),
+            "x": rng.normal(0, 0.3, (TOP + TAILS, 3 * h)), "u": rng.normal(0, 0.2, (h, 3 * h)),
             "c": rng.normal(0, 0.01, (h, CLASSES)), "cb": np.log((mass + 0.5) / (mass.sum() + 0.5 * CLASSES)),
             "w": np.zeros((TOP, h)), "wb": np.log(top + 0.1)}
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
@@ -133,16 +146,16 @@ class Gru:
         return z * s + (1 - z) * m, (s, x, z, r, m, b[:, 2 * h:])
 
     def log_out(self, s, y):
-        """log P(class) + log P(word | class) of top tokens, class part only for the rest."""
+        """log P(class) + log P(word | class) of top tokens, class part only for tail classes."""
         logit = s @ self.p["c"] + self.p["cb"]
         top = logit.max(1)
         ex = np.exp(logit - top[:, None])
         den = ex.sum(1)
-        cls = np.minimum(y // WIDTH, CLASSES - 1)
+        cls = _class(y)
         out = (logit[np.arange(len(y)), cls] - top - np.log(den)).astype(np.float64)
         order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(CLASSES))
-        for c in range(CLASSES - 1):
+        cut = np.searchsorted(cls[order], np.arange(HEADS + 1))
+        for c in range(HEADS):
             i = order[cut[c]:cut[c + 1]]
             if len(i):
                 lo = c * WIDTH
@@ -165,14 +178,12 @@ class Gru:
         logit = hs @ self.p["c"] + self.p["cb"]
         pr = np.exp(logit - logit.max(1, keepdims=True))
         pr /= pr.sum(1, keepdims=True)
-        cls = np.minimum(y // WIDTH, CLASSES - 1)
+        cls = _class(y)
         pr[np.arange(len(y)), cls] -= 1
         pr *= (m / n)[:, None].astype(np.float32)
         g["c"], g["cb"] = hs.T @ pr, pr.sum(0)
         ds = pr @ self.p["c"].T
-        for c in np.unique(cls[m]):
-            if c == CLASSES - 1:
-                continue
+        for c in np.unique(cls[m & (cls < HEADS)]):
             i, lo = np.flatnonzero(m & (cls == c)), int(c) * WIDTH
             l2 = hs[i] @ self.p["w"][lo:lo + WIDTH].T + self.p["wb"][lo:lo + WIDTH]
             q = np.exp(l2 - l2.max(1, keepdims=True))
@@ -229,7 +240,7 @@ def _grid(ids, at, lanes):
 
 
 def score_docs(net: Gru, ids, at, end_id):
-    """Natural-log scores of whole documents (class part only for the shared class)."""
+    """Natural-log scores of whole documents (class part only for tail classes)."""
     out = np.zeros(len(at) - 1)
     lens = np.diff(at)
     # groups of lanes bound the grid's memory
@@ -263,17 +274,22 @@ def _doc_groups(lens, limit=2_000_000):
         lo = min(hi, len(lens))
 
 
-def _ids_of(vocab, tops):
-    """Class-ordered id of each hash; TOP for all that are not among ``tops``."""
-    o = np.argsort(tops)
+def _ids_of(vocab, tail, tops):
+    """Class-ordered id of each hash; TOP + tail class for all that are not among ``tops``."""
+    other = TOP + tail.astype(np.int32)
     if not len(tops):
-        return np.full(len(vocab), TOP, np.int32)
+        return other
+    o = np.argsort(tops)
     at = np.minimum(np.searchsorted(tops[o], vocab), len(tops) - 1)
-    return np.where(tops[o][at] == vocab, o[at], TOP).astype(np.int32)
+    return np.where(tops[o][at] == vocab, o[at], other).astype(np.int32)
+
+
+def _end_id(tops):
+    return int(_ids_of(np.array([END]), np.zeros(1, np.uint8), tops)[0])
 
 
 def _trainer(tops, counts, weights):
-    end_id = int(_ids_of(np.array([END]), tops)[0])
+    end_id = _end_id(tops)
 
     def run(batches):
         net = Gru(counts).load(weights)
@@ -281,8 +297,8 @@ def _trainer(tops, counts, weights):
         v = {k: np.zeros_like(x) for k, x in net.p.items()}
         step, seen = 0, 0
         for batch in batches:
-            for _a, _b, at, h in _tokens(batch):
-                ids = _ids_of(h, tops)
+            for _a, _b, at, h, tail in _tokens(batch):
+                ids = _ids_of(h, tail, tops)
                 lens = np.diff(at)
                 for lo, hi in _doc_groups(lens, 200_000):
                     y, new, _d, total = _grid(ids, at[lo:hi + 1], _lanes(lens[lo:hi], TRAIN_LANES))
@@ -346,49 +362,53 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        (~F.coalesce(held_out, F.lit(False))).alias("train"))
     raw = scratch.write(docs.mapInArrow(
-        _chunks, "chunk long, idx int, h long, n long, ids binary, lens binary, toks binary, hs binary"))
-    words = raw.filter("idx >= 0").select("chunk", "idx", "h", "n")
+        _chunks, "chunk long, idx int, h long, k int, n long, ids binary, lens binary, toks binary, hs binary, ks binary"))
+    words = raw.filter("idx >= 0").select("chunk", "idx", "h", "k", "n")
     w = Window.partitionBy("h")
     counted = scratch.write(words.select(
-        "chunk", "idx", "h", F.sum("n").over(w).alias("c"),
+        "chunk", "idx", "h", "k", F.sum("n").over(w).alias("c"),
         (F.row_number().over(w.orderBy("chunk")) == 1).alias("once")))
     known = counted.filter("once and c > 0")
-    tot = known.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    big_n, big_v = int(tot["n"] or 0), int(tot["v"])
-    rows = known.orderBy(F.desc("c"), "h").select("h", "c").limit(TOP).collect()
+    mass, distinct = np.zeros(TAILS), np.zeros(TAILS)
+    for r in known.groupBy("k").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():   # TAILS rows at most
+        mass[r["k"]], distinct[r["k"]] = r["n"], r["v"]
+    big_n, big_v = int(mass.sum()), int(distinct.sum())
+    rows = known.orderBy(F.desc("c"), "h").select("h", "k", "c").limit(TOP).collect()
     tops = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
     top_c = np.zeros(TOP)
     top_c[:len(rows)] = [r["c"] for r in rows]
-    rest = big_n - int(top_c.sum())
-    counts = (top_c, float(rest))
+    for r in rows:
+        mass[r["k"]] -= r["c"]
+        distinct[r["k"]] -= 1
+    counts = (top_c, mass)
     sample = docs.filter("train").filter(F.pmod(F.xxhash64("doc_id"), F.lit(SHARE)) == 0)
     weights = train(sample, tops, counts) if big_n else Gru(counts).flat()
 
     base_den = big_n + 0.1 * (big_v + 1)
-    rest_den = rest + 0.1 * (big_v - len(rows) + 1)
-    end_id = int(_ids_of(np.array([END]), tops)[0])
+    tail_den = mass + 0.1 * (distinct + 1)
+    end_id = _end_id(tops)
 
     def run(_key, mine, theirs):
         payload = mine.to_pylist()[0]
         ids = json.loads(payload["ids"])
         lens = np.frombuffer(payload["lens"], np.int64)
         toks = np.frombuffer(payload["toks"], np.uint32).astype(np.int64)
-        vocab = np.frombuffer(payload["hs"], np.uint64)
+        vocab, tail = np.frombuffer(payload["hs"], np.uint64), np.frombuffer(payload["ks"], np.uint8)
         c = np.zeros(len(vocab))
         c[theirs.column("idx").to_numpy()] = theirs.column("c").to_numpy()
         at = np.concatenate([[0], np.cumsum(lens)])
         doc = np.repeat(np.arange(len(lens)), lens)
-        word = _ids_of(vocab, tops)
+        word = _ids_of(vocab, tail, tops)
         n = len(lens)
         base = np.bincount(doc, np.log10((c + 0.1) / base_den)[toks], n)
-        tail = np.where(word == TOP, np.log10((c + 0.1) / rest_den), 0.0)
+        share = np.where(word >= TOP, np.log10((c + 0.1) / tail_den[tail]), 0.0)
         known_n = np.bincount(doc, (c > 0)[toks], n).astype(np.int64)
         net = Gru(counts).load(weights)
-        logp = score_docs(net, word[toks], at, end_id) / _LN10 + np.bincount(doc, tail[toks], n)
+        logp = score_docs(net, word[toks], at, end_id) / _LN10 + np.bincount(doc, share[toks], n)
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_tokens": pa.array(lens), "n_known": pa.array(known_n),
                          "base_score": pa.array(base), "score": pa.array(logp)})
 
-    mine = raw.filter("idx < 0").select("chunk", "ids", "lens", "toks", "hs")
+    mine = raw.filter("idx < 0").select("chunk", "ids", "lens", "toks", "hs", "ks")
     out = mine.groupBy("chunk").cogroup(counted.select("chunk", "idx", "c").groupBy("chunk")).applyInArrow(
         run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "n_tokens", "n_known", F.lit(big_n).cast("long").alias("train_tokens"), "base_score", "score")
