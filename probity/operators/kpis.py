@@ -112,10 +112,15 @@ def kpi_suspicion_banded(attempts: DataFrame, sessions: DataFrame) -> DataFrame:
     return s.withColumn("suspicion_band", suspicion_band("suspicion_score"))
 
 
-def kpi_counts(frames: dict[str, DataFrame]) -> DataFrame:
-    """(kpi, records) for each KPI frame, as one union of counts."""
-    out = None
-    for name, df in frames.items():
-        one = df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("kpi"), "records")
-        out = one if out is None else out.unionByName(one)
-    return out
+def kpi_counts(attempts: DataFrame, sessions: DataFrame) -> DataFrame:
+    """(kpi, records) of the six KPI frames.
+
+    The four KPIs of one aggregate share its rows, so they share one count."""
+    shared = ["avg_response_time", "accuracy_rate", "response_variance", "ai_usage_score"]
+    n = F.count(F.lit(1)).alias("records")
+    pairs = attempts.select(*PAIR).distinct().agg(n).select(
+        F.explode(F.array(*[F.lit(k) for k in shared])).alias("kpi"), "records")
+    for name, df in (("session_irregularity_score", kpi_session_irregularity(sessions)),
+                     ("suspicion_confidence", kpi_suspicion(attempts, sessions))):
+        pairs = pairs.unionByName(df.agg(n).select(F.lit(name).alias("kpi"), "records"))
+    return pairs

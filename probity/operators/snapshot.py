@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from probity.functions.timecols import as_column
 from probity.operators import collusion, rollups
+from probity.session import materialize
 
 SNAPSHOT_COLS = ["key", "value_json", "written_at", "expires_at"]
 
@@ -28,10 +29,14 @@ def kpi_snapshot(attempts: DataFrame, as_of, ttl_seconds: int = 60,
     """K5: the cached KPI set -- overall and per-exam average response time,
     accuracy, AI usage buckets, top-20 high-risk students, collusion cases.
 
-    List-valued entries are built from top-k frames (<= 20 / 50 rows)."""
+    List-valued entries are built from top-k frames (<= 20 / 50 rows).  The rows
+    of the look-back window are written once with the columns that the entries
+    read, so the fact table is scanned once."""
     a = attempts
     if lookback is not None:
         a = a.filter(F.col("submission_timestamp") >= as_column(as_of) - F.expr(f"INTERVAL {lookback}"))
+    a = materialize(a.select("attempt_id", "student_id", "exam_id", "question_id", "answer_hash", "response_time",
+                             "is_correct", "ai_usage_score"), "snapshot-window")
     parts = [
         entries(rollups.avg_response_time_all(a), F.lit("kpi:avg_response_time:all"),
                 F.struct("value"), as_of, ttl_seconds),
@@ -65,6 +70,14 @@ def kpi_snapshot(attempts: DataFrame, as_of, ttl_seconds: int = 60,
     return out
 
 
+def write_snapshot(snapshot: DataFrame, path: str) -> DataFrame:
+    """K5: store ``snapshot`` at ``path`` and return a reader on it.
+
+    The entries are a bounded table (one per exam and a few more), so one file."""
+    snapshot.coalesce(1).write.mode("overwrite").parquet(path)
+    return snapshot.sparkSession.read.schema(snapshot.schema).parquet(path)
+
+
 def read_snapshot(snapshot: DataFrame, as_of, keys: list[str] | None = None,
                   recompute: DataFrame | None = None) -> DataFrame:
     """K6: entries that have not expired at ``as_of``.  With ``recompute``

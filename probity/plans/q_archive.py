@@ -210,7 +210,11 @@ snap AS (
 
 
 def _snapshot(t):
-    return S.kpi_snapshot(t.attempts, t.as_of, 60, "7 days")
+    """The stored snapshot, written once per table set."""
+    if not hasattr(t, "_snapshot"):
+        t._snapshot = S.write_snapshot(S.kpi_snapshot(t.attempts, t.as_of, 60, "7 days"),
+                                       work_dir(t.spark, "snapshot"))
+    return t._snapshot
 
 
 @register("kpi_snapshot_write", sql=_SNAP_SQL + """

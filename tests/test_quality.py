@@ -66,3 +66,26 @@ def test_constraint_report_flags_each_planted_violation(spark):
         assert rep[key] == 1, key
     clean = [k for k in rep if k not in planted]
     assert all(rep[k] == 0 for k in clean), [k for k in clean if rep[k]]
+
+
+def test_every_relation_and_count_rule(spark):
+    t = dt.datetime(2024, 1, 1)
+    tables = {
+        "students": spark.createDataFrame([], schemas.STUDENTS), "courses": spark.createDataFrame([], schemas.COURSES),
+        "exams": spark.createDataFrame([("E1", "C9", "e", t, 5, 100, "quiz", True)], schemas.EXAMS),
+        "questions": spark.createDataFrame([("Q1", "E8", 0, 3, "MCQ", 5, 0, "x")], schemas.QUESTIONS),
+        "exam_attempts": spark.createDataFrame(
+            [("A1", "S7", "E7", "Q7", 1.0, True, 0.5, -1, -2, "h" * 64, "x", t, -3, False)] * 2, schemas.EXAM_ATTEMPTS),
+        "session_logs": spark.createDataFrame(
+            [("L1", "S6", "E6", 0, 0.0, 0, 0, 0, "Desktop", "Chrome", "ip", t, t + dt.timedelta(1), 0)],
+            schemas.SESSION_LOGS)}
+    found = {(r.relation, r.key) for r in Q.fk_orphan_keys(tables).collect()}
+    assert found == {("exams.course_id->courses", "C9"), ("questions.exam_id->exams", "E8"),
+                     ("exam_attempts.student_id->students", "S7"), ("exam_attempts.exam_id->exams", "E7"),
+                     ("exam_attempts.question_id->questions", "Q7"), ("session_logs.student_id->students", "S6"),
+                     ("session_logs.exam_id->exams", "E6")}
+    assert Q.fk_orphan_keys(tables).count() == 7
+    broken = {x.rule for n in ("questions", "exam_attempts")
+              for x in Q.table_rule_counts(tables[n], n, Q.row_rules()).collect() if x.violations}
+    assert broken == {"question_number_positive", "expected_time_positive", "non_negative:keystroke_count",
+                      "non_negative:paste_count", "non_negative:marks_obtained"}
