@@ -41,7 +41,7 @@ HEADS = TOP // WIDTH
 CLASSES = HEADS + TAILS
 BPTT, LANES, TRAIN_LANES = 16, 256, 32
 SHARE, PASSES, RATE = 16, 2, 0.02
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_000_000
 END = np.uint64(0x454E44)            # no word's hash by construction of the mixer but with chance 2^-64
 _LN10 = np.log(10.0)
 
@@ -76,6 +76,7 @@ def _chunks(batches):
         chunk = (part << 24) | seq
         seq += 1
         every = np.concatenate(held)
+        held.clear()
         lens = np.array([n for _, n, _ in docs], np.int64)
         mask = np.repeat(np.array([t for _, _, t in docs], bool), lens)
         vocab, inv = np.unique(every, return_inverse=True)

@@ -3,8 +3,8 @@
 Words are maximal runs of bytes that a 256-entry table marks as word bytes.
 All separators used here are ASCII, so scanning UTF-8 bytes equals scanning
 characters.  A word's 64-bit hash is a polynomial hash over its bytes, read off
-one prefix sum per chunk, then mixed.  Rows are scanned in chunks of about two
-megabytes; a longer text is cut at separators, so memory stays bounded unless a
+one prefix sum per chunk, then mixed.  Rows are scanned in chunks of about one
+megabyte; a longer text is cut at separators, so memory stays bounded unless a
 single word is that long.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 _P = 0x9E3779B97F4A7C15 | 1
 _M64 = (1 << 64) - 1
 _pow: dict[str, np.ndarray] = {}
