@@ -69,7 +69,7 @@ def _chunks(batches):
     """Rows of a chunk's vocabulary (idx, h, k, n) and one row with its documents."""
     part = TaskContext.get().partitionId()
     seq, docs, held, tails, size = 0, [], [], [], 0
-    names = ["chunk", "idx", "h", "k", "n", "ids", "lens", "toks", "hs", "ks"]
+    names = ["chunk", "idx", "h", "k", "n", "ids", "lens", "toks", "ks"]
 
     def flush():
         nonlocal seq
@@ -90,12 +90,12 @@ def _chunks(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(hi - lo, chunk)), pa.array(np.arange(lo, hi, dtype=np.int32)),
                  pa.array(vocab[lo:hi].view(np.int64)), pa.array(tail[lo:hi].astype(np.int32)), pa.array(n[lo:hi]),
-                 nul, nul, nul, nul, nul], names=names)
+                 nul, nul, nul, nul], names=names)
         blob = lambda x: pa.array([x], pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array([chunk], pa.int64()), pa.array([-1], pa.int32()), pa.array([0], pa.int64()), pa.array([0], pa.int32()),
              pa.array([0], pa.int64()), blob(json.dumps([d for d, _, _ in docs]).encode()), blob(lens.tobytes()),
-             blob(inv.astype(np.uint32).tobytes()), blob(vocab.tobytes()), blob(tail.tobytes())], names=names)
+             blob(inv.astype(np.uint32).tobytes()), blob(tail.tobytes())], names=names)
 
     for batch in batches:
         ids, train_col = batch.column("doc_id").to_pylist(), batch.column("train").to_pylist()
@@ -363,7 +363,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        (~F.coalesce(held_out, F.lit(False))).alias("train"))
     raw = scratch.write(docs.mapInArrow(
-        _chunks, "chunk long, idx int, h long, k int, n long, ids binary, lens binary, toks binary, hs binary, ks binary"))
+        _chunks, "chunk long, idx int, h long, k int, n long, ids binary, lens binary, toks binary, ks binary"))
     words = raw.filter("idx >= 0").select("chunk", "idx", "h", "k", "n")
     w = Window.partitionBy("h")
     counted = scratch.write(words.select(
@@ -394,12 +394,12 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         ids = json.loads(payload["ids"])
         lens = np.frombuffer(payload["lens"], np.int64)
         toks = np.frombuffer(payload["toks"], np.uint32).astype(np.int64)
-        vocab, tail = np.frombuffer(payload["hs"], np.uint64), np.frombuffer(payload["ks"], np.uint8)
-        c = np.zeros(len(vocab))
-        c[theirs.column("idx").to_numpy()] = theirs.column("c").to_numpy()
+        tail = np.frombuffer(payload["ks"], np.uint8)
+        word, c = np.zeros(len(tail), np.int32), np.zeros(len(tail))
+        idx = theirs.column("idx").to_numpy()
+        word[idx], c[idx] = theirs.column("word").to_numpy(), theirs.column("c").to_numpy()
         at = np.concatenate([[0], np.cumsum(lens)])
         doc = np.repeat(np.arange(len(lens)), lens)
-        word = _ids_of(vocab, tail, tops)
         n = len(lens)
         base = np.bincount(doc, np.log10((c + 0.1) / base_den)[toks], n)
         share = np.where(word >= TOP, np.log10((c + 0.1) / tail_den[tail]), 0.0)
@@ -409,7 +409,10 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_tokens": pa.array(lens), "n_known": pa.array(known_n),
                          "base_score": pa.array(base), "score": pa.array(logp)})
 
-    mine = raw.filter("idx < 0").select("chunk", "ids", "lens", "toks", "hs", "ks")
-    out = mine.groupBy("chunk").cogroup(counted.select("chunk", "idx", "c").groupBy("chunk")).applyInArrow(
+    mine = raw.filter("idx < 0").select("chunk", "ids", "lens", "toks", "ks")
+    head = spark.createDataFrame([(r["h"], i) for i, r in enumerate(rows)], "h long, word int")     # TOP rows at most
+    theirs = counted.join(F.broadcast(head), "h", "left").select(
+        "chunk", "idx", "c", F.coalesce("word", F.col("k") + F.lit(TOP)).alias("word"))
+    out = mine.groupBy("chunk").cogroup(theirs.groupBy("chunk")).applyInArrow(
         run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "n_tokens", "n_known", F.lit(big_n).cast("long").alias("train_tokens"), "base_score", "score")
