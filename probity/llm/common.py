@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 from probity.session import checkpoint_dir
 
 
+#: Arrow batches are bounded by bytes, so the memory of a Python task does not depend on the
+#: length of the texts; a session that names its own bound keeps it.
+BATCH_KEY, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", str(4 << 20)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.conf.get(BATCH_KEY) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
