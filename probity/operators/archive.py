@@ -211,17 +211,63 @@ def register_archive(spark: SparkSession, name: str, path: str, schema: T.Struct
     spark.catalog.recoverPartitions(name)
 
 
+class ArchiveMismatch(RuntimeError):
+    """The archive does not hold what was extracted; the hot table was not touched."""
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The completed Parquet table at ``path``, or None."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    return spark.read.parquet(path)
+
+
 def run_archival(spark: SparkSession, hot: DataFrame, ts: str, key: str, archive_path: str,
-                 staging_path: str, as_of, age: str = "48 hours") -> dict:
-    """R12 / the hourly archival job: snapshot eligible rows once, append to
-    the archive, reconcile, and return the retained hot frame plus audit."""
+                 staging_path: str, as_of, age: str = "48 hours", run_id: str = "run",
+                 table: str = "hot", tolerance_pct: float = 0.1, hot_path: str | None = None,
+                 log_path: str | None = None) -> dict:
+    """R12 / the hourly archival job, in this order:
+
+    1. The eligible rows are written under ``run_id``; a retry of the run reads
+       that snapshot again.
+    2. Rows that the archive does not hold yet are appended.  Only the day
+       partitions between the first and last staged day are read, so a retry
+       appends nothing twice.
+    3. The counts are compared.  Beyond ``tolerance_pct`` percent the run is
+       logged as FAILED and raises ``ArchiveMismatch``; nothing is deleted.
+    4. The retained rows are written as a new version below ``hot_path``; a
+       version that is complete is never written over, so its readers keep it.
+    5. One row with the measured duration is appended at ``log_path``.
+
+    Without ``hot_path`` the retained frame is returned unwritten."""
     started = time.time()
-    snap = eligible(hot, ts, as_of, age)
-    snap.write.mode("overwrite").parquet(staging_path)          # the snapshot, fixed
-    staged = spark.read.parquet(staging_path)
-    write_archive(staged, ts, archive_path)
-    archived = read_archive(spark, archive_path)
-    check = reconcile(staged, archived.join(staged.select(key), key, "left_semi"), "hot")
+    staging = f"{staging_path}/{run_id}"
+    staged = _stored(spark, staging)
+    if staged is None:
+        eligible(hot, ts, as_of, age).write.mode("overwrite").parquet(staging)
+        staged = spark.read.schema(hot.schema).parquet(staging)
+    span = staged.agg(F.to_date(F.min(ts)).alias("a"), F.to_date(F.max(ts)).alias("b")).first()
+
+    def held():
+        return read_archive(spark, archive_path, hot.schema, span["a"], span["b"]).select(key)
+
+    write_archive(staged.join(held(), key, "left_anti").select(*hot.columns), ts, archive_path)
+    found = held().join(staged.select(key).distinct(), key, "left_semi")
+    # one row, written: the decision and the caller read the same counts
+    check = spark.createDataFrame(reconcile(staged, found, table, tolerance_pct).collect(),
+                                  "table string, n_hot long, n_archived long, pct double, ok boolean")
+    ok = check.first()["ok"]
     remaining = retain_hot(hot, staged, key)
-    return {"reconcile": check, "hot": remaining,
-            "log": log_run(spark, started, staged, remaining)}
+    if ok and hot_path is not None:
+        version = f"{hot_path}/{run_id}"
+        if _stored(spark, version) is None:
+            remaining.write.mode("overwrite").parquet(version)
+        remaining = spark.read.schema(remaining.schema).parquet(version)
+    log = log_run(spark, started, staged, remaining if ok else hot, "SUCCESS" if ok else "FAILED")
+    if log_path is not None:
+        log.write.mode("append").parquet(log_path)
+        log = spark.read.parquet(log_path)
+    if not ok:
+        raise ArchiveMismatch(f"{table}: {check.first().asDict()}")
+    return {"reconcile": check, "hot": remaining, "log": log}

@@ -184,10 +184,17 @@ def q_r1_rejects(t):
 
 @register("stream_archive", doubles=("pct",), sql="""
 , arc AS (SELECT * FROM exam_attempts
-          WHERE submission_timestamp < (SELECT t FROM as_of) - INTERVAL 48 HOUR)
-SELECT 'hot' AS "table", (SELECT count(*) FROM arc) AS n_hot, (SELECT count(*) FROM arc) AS n_archived,
-       0.0::DOUBLE AS pct, true AS ok""")
+          WHERE submission_timestamp < (SELECT t FROM as_of) - INTERVAL 48 HOUR),
+ses AS (SELECT * FROM session_logs WHERE session_start < (SELECT t FROM as_of) - INTERVAL 48 HOUR)
+SELECT 'exam_attempts' AS "table", (SELECT count(*) FROM arc) AS n_hot, (SELECT count(*) FROM arc) AS n_archived,
+       0.0::DOUBLE AS pct, true AS ok
+UNION ALL
+SELECT 'session_logs', (SELECT count(*) FROM ses), (SELECT count(*) FROM ses), 0.0::DOUBLE, true""")
 def q_r12(t):
-    res = A.run_archival(t.spark, t.attempts, "submission_timestamp", "attempt_id",
-                         work_dir(t.spark, "arch"), work_dir(t.spark, "staging"), t.as_of)
-    return res["reconcile"]
+    out = []
+    for table, df, ts, key in (("exam_attempts", t.attempts, "submission_timestamp", "attempt_id"),
+                               ("session_logs", t.sessions, "session_start", "log_id")):
+        res = A.run_archival(t.spark, df, ts, key, work_dir(t.spark, "arch"), work_dir(t.spark, "staging"), t.as_of,
+                             table=table, hot_path=work_dir(t.spark, "hot"), log_path=work_dir(t.spark, "log"))
+        out.append(res["reconcile"])
+    return out[0].unionByName(out[1])

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from probity import schemas
@@ -49,3 +50,30 @@ def test_snapshot_expiry_and_cache_aside(spark):
     assert len(filled) == 1 and filled[0].written_at == T + dt.timedelta(seconds=61)
     states = {r.state for r in S.freshness(snap, T + dt.timedelta(seconds=55)).collect()}
     assert states == {"evict"}
+
+
+def test_archival_job_retry_and_mismatch(spark, monkeypatch):
+    hot = _attempts(spark, [0, 1, 3, 4, 5])
+    where = {n: work_dir(spark, n) for n in ("arch", "staging", "hot", "log")}
+
+    def job(rows, run_id):
+        return A.run_archival(spark, rows, "submission_timestamp", "attempt_id", where["arch"], where["staging"], T,
+                              run_id=run_id, hot_path=where["hot"], log_path=where["log"])
+
+    first = job(hot, "r1")
+    again = job(hot, "r1")                                    # a retry appends nothing twice
+    for res in (first, again):
+        assert res["reconcile"].first().n_archived == 3
+        assert sorted(r.attempt_id for r in res["hot"].collect()) == ["A0", "A1"]
+    assert A.read_archive(spark, where["arch"], schemas.EXAM_ATTEMPTS).count() == 3
+    log = again["log"].collect()
+    assert [(r.status, r.rows_archived, r.remaining_rows) for r in log] == [("SUCCESS", 3, 2)] * 2
+    assert all(r.duration_s > 0 for r in log)
+
+    monkeypatch.setattr(A, "write_archive", lambda *a, **k: None)     # a write that loses its rows
+    more = hot.unionByName(_attempts(spark, [6]).withColumn("attempt_id", F.lit("B")))
+    with pytest.raises(A.ArchiveMismatch):
+        job(more, "r2")
+    failed = spark.read.parquet(where["log"]).filter("status = 'FAILED'").collect()
+    assert len(failed) == 1 and failed[0].remaining_rows == 6
+    assert A._stored(spark, where["hot"] + "/r2") is None
