@@ -12,16 +12,19 @@ Steps, all keyed by data and none by group size:
    group of copies costs one row per copy and no pair;
 3. classes meet in band buckets.  A bucket of n classes gives n - 1 edges to
    its least id (a star).  Edges seen in two bands or more join into candidate
-   clusters;
+   clusters: a first, cheap turn that keeps groups of near copies together;
 4. classes of one cluster are compared on full sets, in square blocks of at
    most ``BLOCK`` classes a side, so a large cluster spreads over many tasks and is
    never in one.  Each block pair returns a spanning forest of its links, not
    its pairs;
-5. the links' connected components are the answer, handed back to the members.
+5. buckets that hold classes of several clusters are paired across the clusters,
+   whatever their hubs.  Pairs of possible sizes with two common buckets or more
+   are compared on full sets, pair by pair;
+6. the links' connected components are the answer, handed back to the members.
 
 With 64 bands of 7 rows a pair at similarity 0.85 is in fewer than two common
-buckets with probability below 1e-9 (at 0.8: 5e-6); a star can only hide a pair
-when all its common buckets have different hubs.  Confirmed links are exact.
+buckets with probability below 1e-9 (at 0.8: 5e-6).  Every pair in two common
+buckets is compared, in step 4 or 5, so this is the only loss.  Confirmed links are exact.
 
 Defined cases: null or empty texts and texts without words have an empty set
 and are linked with nothing; rows that share a doc_id are one node; a null
@@ -37,6 +40,7 @@ from pyspark.sql import functions as F
 
 from probity.llm import textcore as tc
 from probity.llm.common import Scratch, components
+from probity.operators.pairs import grid_join
 
 BANDS, ROWS = 64, 7
 BLOCK = 512
@@ -197,6 +201,39 @@ def _edges(pairs):
         [pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
 
 
+def _set_rows(batches):
+    for batch in batches:
+        for a, b, at, h in _doc_sets(batch.column("text")):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(a, b - a),
+                 pa.ListArray.from_arrays(pa.array(np.append(at, len(h)).astype(np.int32)[:b - a + 1]), pa.array(h.view(np.int64)))],
+                names=["doc_id", "words"])
+
+
+def _across(base: DataFrame, met: DataFrame, cluster: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between clusters: pairs with two common buckets or more, compared on full sets.
+
+    ``met``: (rep, n, band) of the buckets of several classes.
+    """
+    spread = scratch.write(met.join(cluster, "rep", "left").select(
+        "band", "rep", "n", F.coalesce("cluster", "rep").alias("grp")))
+    mixed = spread.groupBy("band").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo < hi").select("band")
+    mixed = scratch.write(spread.join(mixed, "band"))
+    left = mixed.toDF("band", "a", "na", "ga")
+    right = mixed.toDF("band", "b", "nb", "gb")
+    apart = (F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & (
+        F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
+    pairs = scratch.write(grid_join(left, right, ["band"], F.col("a"), F.col("b"), apart, self_join=True)
+                          .groupBy("a", "b").count().filter("count >= 2").select("a", "b"))
+    ends = scratch.write(pairs.select(F.col("a").alias("d")).union(pairs.select("b")).distinct())
+    small = ends.count() <= BROADCAST_ROWS
+    sets = scratch.write(base.join(F.broadcast(ends) if small else ends, base.doc_id == ends.d).select("doc_id", "text")
+                         .mapInArrow(_set_rows, "doc_id long, words array<long>"))
+    both = F.size(F.array_intersect("wa", "wb"))
+    return (pairs.join(sets.toDF("a", "wa"), "a").join(sets.toDF("b", "wb"), "b")
+            .filter(den * both >= num * (F.size("wa") + F.size("wb") - both)).select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
@@ -215,9 +252,10 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, scratch: Scr
         classes.select(*[F.col(c).alias(f"c_{c}") for c in key], "rep"),
         (F.col("doc_id") == F.col("rep")) & (F.col("n_shingles") == F.col("c_n_shingles"))
         & (F.col("s1") == F.col("c_s1")) & (F.col("s2") == F.col("c_s2")))
-    keyed = reps.select("rep", F.explode("bands").alias("band"))
+    keyed = reps.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     hubs = keyed.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub < top")
-    star = (keyed.join(hubs.select("band", "hub"), "band").filter("rep <> hub")
+    met = scratch.write(keyed.join(hubs.select("band", "hub"), "band").select("rep", "n", "band", "hub"))
+    star = (met.filter("rep <> hub")
             .groupBy("rep", "hub").count().filter("count >= 2").select(F.col("rep").alias("a"), F.col("hub").alias("b")))
     comp = components(spark, star, scratch)
     cluster = scratch.write(comp.union(comp.select("root", "root")).distinct().toDF("rep", "cluster"))
@@ -234,6 +272,7 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, scratch: Scr
     links = scratch.write(
         member.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q", "doc_id")
         .mapInArrow(_compare(num, den), "a long, b long"))
+    links = scratch.write(links.union(_across(base, met.drop("hub"), cluster, num, den, scratch)))
     linked = components(spark, links, scratch).toDF("rep", "root")
 
     named = classes.join(linked, "rep", "left").select(*key, F.coalesce("root", "rep").alias("root"))

@@ -131,6 +131,34 @@ def test_near_duplicates(spark, docs, none, monkeypatch):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_behind_different_hubs(spark):
+    """Two near copies hold a common passage; each bucket they share has another hub, a carrier of the passage."""
+    import pyarrow as pa
+    rng = random.Random(2)
+    passage = [f"p2_{i}" for i in range(204)]
+    pair = [" ".join(passage + [f"{x}{i}" for i in range(17)]) for x in "ab"]
+
+    def keys(text):
+        (_a, _b, _at, h), = minhash._doc_sets(pa.array([text]))
+        return set(minhash.band_keys(minhash.signature(h, minhash.BANDS * minhash.ROWS)).tolist())
+
+    ka, kb = map(keys, pair)
+    open_, carriers, seen = ka & kb, [], set()
+    while len(open_) > 1:
+        text = " ".join(passage + [f"c{rng.randrange(10**9)}" for _ in range(150)])
+        k = keys(text)
+        # one bucket with the pair, which no other carrier covers, and none with other carriers
+        if len(k & ka) == 1 and len(k & kb) == 1 and k & ka & open_ and not k & seen:
+            carriers.append(text)
+            open_ -= k
+            seen |= k
+    rows = list(enumerate(carriers)) + [(100_000 + i, t) for i, t in enumerate(pair)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df).collect()}
+    assert len(carriers) > 10 and got == brute_components(rows, 85, 100)
+    assert got[100_001][1] == 100_000
+
+
 def test_signature_collisions_follow_jaccard():
     rng = np.random.default_rng(5)
     pool = rng.integers(0, 2**63, 400).astype(np.uint64)
