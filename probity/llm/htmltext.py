@@ -16,8 +16,9 @@ corpus (``SAMPLE`` pages of at most ``PAGE_CHARS`` characters, chosen by a hash)
 known by construction.  Extraction covers every page and its whole html.
 
 Defined cases: null or empty html gives an empty text; unclosed and crossed tags
-end at their block; script, style, template, title and comments never hold text; equal
-rows give equal rows.
+end at their block; script, style, title and comments never hold text; a button, select,
+noscript, object, svg, iframe or template is left out up to its end tag, or, if its
+enclosing block ends first, up to the next block tag; equal rows give equal rows.
 """
 
 from __future__ import annotations
@@ -40,7 +41,10 @@ BLOCK = frozenset(
     "tfoot tr td th caption blockquote pre figure figcaption form fieldset address details summary dialog menu center "
     "hgroup search".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "title", "textarea", "template", "noscript", "iframe", "svg", "select", "button", "head", "object")
+RAW = ("script", "style", "title", "textarea", "head")            # what follows is no markup until the end tag
+MUTE = ("template", "noscript", "iframe", "svg", "select", "button", "object")   # elements whose text is left out
+LABELS = ("button", "select")                                    # hold no sections and not each other
+SECTIONS = frozenset("html body main article section aside nav header footer form".split())
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}
 GOOD = ("article", "content", "main", "post", "entry", "story", "body", "text", "blog")
 BAD = ("nav", "menu", "header", "head", "footer", "foot", "sidebar", "side", "aside", "widget", "notice", "cookie", "consent",
@@ -54,6 +58,50 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _OPENED = re.compile(r"<([a-z][a-z0-9]*)")
 _SPLIT = re.compile(r"[^a-z]+")
+_MUTED = re.compile(rf"<(?:{'|'.join(MUTE)})\b", re.I)
+
+
+def _raw_end(tag, s, pos):
+    return re.compile(rf"</{tag}\s*>" if tag != "head" else r"</head\s*>|(?=<body[\s>])", re.I).search(s, pos)
+
+
+def _closed(s: str) -> dict[int, int]:
+    """Where the elements of ``MUTE`` end, by where they begin, if they have an end tag within their enclosing block."""
+    out: dict[int, int] = {}
+    if not _MUTED.search(s):
+        return out
+    stack, pos = [], 0                     # (tag, where it begins)
+
+    def innermost(names):
+        return next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in names), -1)
+
+    while m := _TOKEN.search(s, pos):
+        pos = m.end()
+        if m[2] is None:
+            continue
+        tag, closing = m[2].lower(), m[1] == "/"
+        if tag in RAW and not closing:
+            if not m[3].endswith("/"):
+                e = _raw_end(tag, s, pos)
+                if not e and tag != "head":
+                    break
+                pos = e.end() if e else pos
+        elif tag in BLOCK or tag in MUTE:
+            if closing:
+                k = innermost((tag,))
+                if k >= 0:
+                    if tag in MUTE:
+                        out[stack[k][1]] = pos
+                    del stack[k:]
+            elif not (tag in MUTE and m[3].endswith("/")):
+                if tag in SECTIONS:
+                    k = innermost(LABELS)
+                else:
+                    k = innermost((tag,)) if tag in LABELS else -1
+                if k >= 0:
+                    stack.pop(k)
+                stack.append((tag, m.start()))
+    return out
 
 
 class Page:
@@ -91,10 +139,11 @@ class Page:
 
     def read(self, s: str):
         self.stack, self.fresh, anchor, pos, n = [0], True, 0, 0, len(s)
+        closed, mute = _closed(s), False
         while pos < n:
             m = _TOKEN.search(s, pos)
             end = m.start() if m else n
-            if end > pos:
+            if end > pos and not mute:
                 self.text(s[pos:end], anchor)
             if not m:
                 return
@@ -105,16 +154,24 @@ class Page:
             if tag in RAW and not closing:
                 if m[3].endswith("/"):
                     continue
-                if tag in ("select", "button", "textarea"):
+                if tag == "textarea":
                     self.controls[self.stack[-1]] += 1
-                e = re.compile(rf"</{tag}\s*>" if tag != "head" else r"</head\s*>|(?=<body[\s>])", re.I).search(s, pos)
+                e = _raw_end(tag, s, pos)
                 if e:
                     pos = e.end()
                 elif tag != "head":
                     return
                 self.gap()
+            elif tag in MUTE:
+                if closing or m[3].endswith("/"):
+                    continue
+                if tag in LABELS:
+                    self.controls[self.stack[-1]] += 1
+                mute = m.start() not in closed
+                pos = closed.get(m.start(), pos)
+                self.gap()
             elif tag in BLOCK:
-                self.fresh = True
+                self.fresh, mute = True, False
                 if closing:
                     self.close_to((tag,), () if tag != "p" else ("div", "article", "section", "body"))
                     anchor = 0 if tag not in ("p",) else anchor

@@ -328,6 +328,21 @@ def test_html(spark):
     assert empty.count() == 0
 
 
+def test_html_elements_without_end_tag():
+    def runs(source):
+        return [t for _, t in htmltext.Page(source).blocks()]
+
+    for tag in ("button", "select", "noscript", "object", "svg", "iframe", "template"):
+        assert runs(f"<body><{tag}>Menu<article><p>One</p><p>Two</p></article>") == ["One", "Two"], tag
+        assert runs(f"<body><div><{tag}>Menu</div><p>One</p><div><p>Two</p></{tag}></div>") == ["One", "Two"], tag
+        assert runs(f"<p>One <{tag}>Share</p><p>Two</p>") == ["One", "Two"], tag
+        # closed ones are left out whole
+        assert runs(f"<p>One <{tag}><div>in<b>side</b></div></{tag}>more</p><p>Two</p>") == ["One more", "Two"], tag
+    assert runs("<body><button>Menu<article><p>One</p></article><button>Go</button><p>Two</p>") == ["One", "Two"]
+    assert runs("<p>One<svg><svg>a</svg>b</svg></p>") == ["One"]
+    assert runs("<p>One</p><script>two<p>three") == ["One"]
+
+
 def test_decontamination(spark, docs, none):
     long = odd_texts()[5].split()
     items = [(1, " ".join(long[3:20])), (2, "one"), (3, None), (4, "..."), (5, " ".join(long[5:25])), (5, "d e f")]
