@@ -269,6 +269,23 @@ def test_line_dedup(spark, docs, none):
     assert linededup.line_report(none).count() == 0 and linededup.drop_repeated_lines(none).count() == 0
 
 
+def test_short_lines_are_repeated_lines(spark):
+    rng = random.Random(4)
+    short = ["Read more", "more read", "Subscribe now", "ha ha ha ha", "one", "a b c", "a b d", "a b c d", "a b c d e", "!!!", ""]
+    rows = [(i, "\n".join(rng.choices(short, k=rng.randint(1, 5)))) for i in range(80)]
+    seen, want = [], {}
+    for i, t in rows:
+        want[i] = []
+        for k, line in enumerate(t.split("\n")):
+            s = set(words(ALNUM, line))
+            if s and any(5 * len(s & x) >= 4 * len(s | x) for x in seen):
+                want[i].append(k)
+            seen.append(s)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.doc_id: list(r.removed) for r in linededup.line_report(df).collect()} == want
+    assert sum(map(len, want.values())) > 100
+
+
 def test_licenses(spark, docs, none):
     phrases = [(p.split(), lab) for p, lab in licenses.BASE.items()]
     for r in licenses.scan(docs.filter("doc_id is not null")).collect():
