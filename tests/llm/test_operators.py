@@ -286,6 +286,27 @@ def test_short_lines_are_repeated_lines(spark):
     assert sum(map(len, want.values())) > 100
 
 
+def test_line_dedup_spreads_hot_words(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = []
+    for i in range(90):                       # lines of the same few words: every word is hot
+        lines = [" ".join(rng.sample([f"h{k}" for k in range(14)], rng.randint(4, 12))) for _ in range(4)]
+        rows.append((i, "\n".join(lines)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(linededup, "CELL", 16)
+    monkeypatch.setattr(linededup, "LOCAL", 1)
+    sizes, dealt = [], linededup._cells
+
+    def watched(*args):
+        out = dealt(*args)
+        sizes.extend(r["count"] for r in out.groupBy("token", "p", "q").count().collect())
+        return out
+
+    monkeypatch.setattr(linededup, "_cells", watched)
+    assert {r.doc_id: list(r.removed) for r in linededup.line_report(df).collect()} == brute_lines(rows)
+    assert len(sizes) > 14 and max(sizes) < 5 * 16
+
+
 def test_licenses(spark, docs, none):
     phrases = [(p.split(), lab) for p, lab in licenses.BASE.items()]
     for r in licenses.scan(docs.filter("doc_id is not null")).collect():
