@@ -12,8 +12,8 @@ log P(token) = log P(class | state) + log P(token | class, state), two softmaxes
 second over the class's tokens; in a tail class it is the smoothed count share within
 that class.  The recurrent layer is a GRU of ``HIDDEN`` units.
 
-Training: truncated backpropagation over windows of ``BPTT`` tokens, on one training
-document in ``SHARE`` (a hash of doc_id), so the work grows with the corpus.  Every
+Training: truncated backpropagation over windows of ``BPTT`` tokens, on every
+training document, so the work grows with the corpus.  Every
 task trains from the common weights on its documents; weights are averaged by
 tokens, for ``PASSES`` passes.  Scoring walks whole documents in lanes, window by window,
 and carries the state across windows to the document's end.
@@ -40,7 +40,7 @@ TOP, WIDTH, TAILS, HIDDEN = 512, 32, 64, 16
 HEADS = TOP // WIDTH
 CLASSES = HEADS + TAILS
 BPTT, LANES, TRAIN_LANES = 16, 256, 32
-SHARE, PASSES, RATE = 16, 2, 0.02
+PASSES, RATE = 2, 0.02
 CHUNK_TOKENS = 1_000_000
 END = np.uint64(0x454E44)            # no word's hash by construction of the mixer but with chance 2^-64
 _LN10 = np.log(10.0)
@@ -341,11 +341,11 @@ def _add_up(batches):
                                           pa.array([total.tobytes()], pa.binary())], names=["g", "n", "w"])
 
 
-def train(sample: DataFrame, tops, counts) -> np.ndarray:
+def train(docs: DataFrame, tops, counts) -> np.ndarray:
     """Averaged weights; at most 64 partial sums of fixed size reach the driver."""
     weights = Gru(counts).flat()
     for _ in range(PASSES):
-        rows = (sample.select("text").mapInArrow(_trainer(tops, counts, weights), "g int, n long, w binary")
+        rows = (docs.select("text").mapInArrow(_trainer(tops, counts, weights), "g int, n long, w binary")
                 .repartition(64, "g").mapInArrow(_add_up, "g int, n long, w binary").collect())
         n = sum(r["n"] for r in rows)
         if n:
@@ -382,8 +382,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         mass[r["k"]] -= r["c"]
         distinct[r["k"]] -= 1
     counts = (top_c, mass)
-    sample = docs.filter("train").filter(F.pmod(F.xxhash64("doc_id"), F.lit(SHARE)) == 0)
-    weights = train(sample, tops, counts) if big_n else Gru(counts).flat()
+    weights = train(docs.filter("train"), tops, counts) if big_n else Gru(counts).flat()
 
     base_den = big_n + 0.1 * (big_v + 1)
     tail_den = mass + 0.1 * (distinct + 1)

@@ -421,6 +421,21 @@ def test_lm_counts_and_scores(spark, docs, none):
     assert lm.score(none, F.lit(False)).count() == 0
 
 
+def test_lm_learns_from_every_training_document(spark, monkeypatch):
+    rows = [(i, f"text {i}") for i in range(40)] + [(7, "text 7"), (None, "no id"), (41, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    learned = []
+
+    def seen(docs, tops, counts):
+        learned.extend((r.doc_id, r.text) for r in docs.collect())
+        return lm.Gru(counts).flat()
+
+    monkeypatch.setattr(lm, "train", seen)
+    lm.score(df, F.col("doc_id") % 3 == 0)
+    key = lambda r: (r[0] or -1, r[1] or "")
+    assert sorted(learned, key=key) == sorted((r for r in rows if r[0] is None or r[0] % 3), key=key)
+
+
 def test_lm_state_is_carried_and_gradient_is_right():
     rng = np.random.default_rng(1)
     net = lm.Gru((np.full(lm.TOP, 2.0), 10.0))
