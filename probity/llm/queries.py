@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from probity.llm import (balltree, bpe, decontam, htmltext, langid, licenses, linededup, lm, minhash, toxicity)
+from probity.llm import (balltree, bpe, decontam, exactdedup, htmltext, langid, licenses, linededup, lm, minhash, tokalign,
+                         toxicity, whitening)
 from probity.llm.common import id_crc, table
 
 #: rank file of the public tokenizer, by the name that public_tokenizers knows
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: the two tokenizers that op13 aligns
+BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer(name: str = RANKS):
@@ -69,6 +72,18 @@ def op10_lm_score(spark, sf_dir):
                       "base_score", "score")
 
 
+def op11_exact_dedup(spark, sf_dir):
+    return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    return tokalign.alignment(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE)[0], tokenizer(PIECES)[0])
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -76,7 +91,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_minhash_near_dedup, op3_toxicity, op4_byte_bpe, op5_line_dedup, op6_license_scan,
-    op7_exact_top_k, op8_html_extraction, op9_decontamination, op10_lm_score, pipeline)}
+    op7_exact_top_k, op8_html_extraction, op9_decontamination, op10_lm_score, op11_exact_dedup,
+    op12_embedding_whitening, op13_tokenizer_alignment, pipeline)}
 
 
 def _words_sql(x: str) -> str:
@@ -150,8 +166,16 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BI
 FROM d LEFT JOIN a USING (doc_id)"""
 
 
+_OP11 = r"""
+WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
+           FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(t) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST)"""
+
 #: DuckDB SQL of the queries that SQL can express (same column names).  The
 #: others are tested against brute force (tests/llm): learned models (1, 3, 8, 10),
-#: tokens (4), and the line join (5), which is too slow in SQL on whole tables.
+#: tokens (4, 13), eigenvectors (12), and the line join (5), which is too slow in SQL on whole tables.
 ORACLE_SQL: dict[str, str] = {
-    "op2_minhash_near_dedup": _OP2, "op6_license_scan": _op6_sql(), "op7_exact_top_k": _OP7, "op9_decontamination": _OP9}
+    "op2_minhash_near_dedup": _OP2, "op6_license_scan": _op6_sql(), "op7_exact_top_k": _OP7, "op9_decontamination": _OP9,
+    "op11_exact_dedup": _OP11}
