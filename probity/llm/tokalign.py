@@ -15,11 +15,11 @@ back to them in two ways: at most ``HEAD`` most frequent pairs are broadcast, an
 pairs that are not among them join by pair.  The bound is on the broadcast only; no
 pair is dropped.
 
-Texts longer than ``PIECE`` characters are encoded in pieces that begin at a space
-after a non-space.  No match of the byte-level split pattern and no piece of the
-other vocabulary spans such a place, so the tokens are those of the whole text;
-whether the vocabulary is like that is looked up when it is loaded, and a text
-without such a place is encoded whole.
+Texts are encoded chunk by chunk, cut where a space follows a non-space.  No match of
+the byte-level split pattern and no piece of the other vocabulary spans such a place,
+so the tokens are those of the whole text; whether the two tokenizers are like that is
+looked up when they are loaded, and otherwise, or without such a place, a text is one
+chunk.  A task encodes a chunk once and remembers up to ``REMEMBER`` of them.
 
 Defined cases: a null or empty text, or one whose tokens of either kind do not join
 to space + text, has no tokens: zeros and '' for the groups; every row is aligned and
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import re
 
 import numpy as np
@@ -40,8 +41,11 @@ from pyspark.sql import functions as F
 
 from probity.llm.common import Scratch
 
-PIECE = 1 << 16
-SLICE = 1 << 20
+SLICE = 1 << 18
+TOGETHER = 64
+REMEMBER = 1 << 19
+#: the space that a chunk after the first begins with; one at the end of a text stays with its word
+CUT = re.compile(r"(?<=\S) (?!\Z)")
 LINKS = 1 << 21
 HEAD = 1 << 20
 FLUSH = 1 << 20
@@ -80,38 +84,84 @@ class Pair:
                         for i, p in enumerate(pieces)]
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.cuttable = not any("▁" in p.lstrip("▁") for p in pieces)
+        split = json.loads(self.a.to_str())
+        self.cuttable = (split["normalizer"] is None and split["pre_tokenizer"] is not None
+                         and split["pre_tokenizer"]["type"] == "ByteLevel" and split["pre_tokenizer"]["use_regex"]
+                         and not any("▁" in p.lstrip("▁") for p in pieces))
         name = lambda n, end: [f"{i}{end}" for i in range(n)]
+        self.forget()
         self.names = name(self.na, ",") + name(self.na, "|") + name(self.nb, ",") + name(self.nb, ";")
 
-    def pieces(self, text: str, size: int = PIECE) -> list[str]:
-        """Parts that join to the text; each but the first begins with a space."""
-        if len(text) <= size or not self.cuttable:
-            return [text]
-        out, at = [], 0
-        while len(text) - at > size:
-            m = re.compile(r"\S ").search(text, at + size)
-            if m is None:
-                break
-            out.append(text[at:m.start() + 1])
-            at = m.start() + 1
-        return [*out, text[at:]]
-
-    def encode(self, texts: list[str], size: int = PIECE) -> list[tuple[list[int], list[int]]]:
-        """Ids of both kinds for each text; none where they do not join to space + text."""
-        parts = [(i, k, p) for i, t in enumerate(texts) for k, p in enumerate(self.pieces(t, size))]
-        a = self.a.encode_batch_fast([p if k else " " + p for _, k, p in parts], add_special_tokens=False)
-        b = self.b.encode([p[1:] if k else p for _, k, p in parts], num_threads=1)
-        out = [([], []) for _ in texts]
-        for (i, _, _), x, y in zip(parts, a, b):
-            out[i][0].extend(x.ids)
-            out[i][1].extend(y)
-        for i, t in enumerate(texts):
-            whole = (" " + t).encode()
-            if not t or b"".join(map(self.a_bytes.__getitem__, out[i][0])) != whole or \
-                    b"".join(map(self.b_bytes.__getitem__, out[i][1])) != whole:
-                out[i] = ([], [])
-        return out
+    def forget(self):
+        """Chunk -> place; by place: whether the tokens join to space + chunk, ids and where they begin."""
+        self.seen: dict[str, int] = {}
+        self.whole = np.zeros(0, bool)
+        self.ids = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.begin = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+
+    def learn(self, chunks: list[str]):
+        """Encode new chunks, ``TOGETHER`` of them as one text where the next one may follow."""
+        lens = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in chunks), np.int64, len(chunks)) + 1
+        blocks, at = [], 0
+        for i, c in enumerate(chunks):
+            if not self.cuttable or i - at == TOGETHER - 1 or not c or c[-1].isspace():
+                blocks.append(" ".join(chunks[at:i + 1]))
+                at = i + 1
+        if at < len(chunks):
+            blocks.append(" ".join(chunks[at:]))
+        lists = ([x.ids for x in self.a.encode_batch_fast([" " + t for t in blocks], add_special_tokens=False)],
+                 self.b.encode(blocks, num_threads=1))
+        text = (" " + " ".join(chunks)).encode()
+        ends = np.cumsum(lens)
+        flat = [np.fromiter(itertools.chain.from_iterable(x), np.int32) for x in lists]
+        ok = np.ones(len(chunks), bool)
+        cuts = []
+        for ids, names, size in zip(flat, (self.a_bytes, self.b_bytes), (self.a_len, self.b_len)):
+            at = np.cumsum(size[ids])
+            cuts.append(np.searchsorted(at, ends) + 1)
+            if not len(at) or at[-1] != ends[-1] or not (at[np.minimum(cuts[-1], len(at)) - 1] == ends).all() or \
+                    b"".join(map(names.__getitem__, ids.tolist())) != text:
+                return self.learn_apart(chunks)
+        self.remember(chunks, ok, flat, [np.diff(c, prepend=0) for c in cuts])
+
+    def learn_apart(self, chunks: list[str]):
+        """The same, chunk by chunk: some do not join to their bytes."""
+        lists = ([x.ids for x in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)],
+                 self.b.encode(chunks, num_threads=1))
+        ok = [all(b"".join(map(names.__getitem__, x)) == (" " + c).encode() for names, x in ((self.a_bytes, xa), (self.b_bytes, xb)))
+              for c, xa, xb in zip(chunks, *lists)]
+        self.remember(chunks, np.array(ok, bool), [np.fromiter(itertools.chain.from_iterable(x), np.int32) for x in lists],
+                      [np.fromiter(map(len, x), np.int64) for x in lists])
+
+    def remember(self, chunks, ok, flat, counts):
+        self.whole = np.concatenate([self.whole, ok])
+        for k, (ids, n) in enumerate(zip(flat, counts)):
+            self.begin[k] = np.concatenate([self.begin[k], self.begin[k][-1] + np.cumsum(n)])
+            self.ids[k] = np.concatenate([self.ids[k], ids])
+        self.seen.update(zip(chunks, range(len(self.seen), len(self.seen) + len(chunks))))
+
+    def encode(self, texts: list[str]):
+        """((ids, tokens by text) of either kind); none where they do not join to space + text."""
+        if len(self.seen) > REMEMBER or max(map(len, self.ids)) > 16 * REMEMBER:
+            self.forget()
+        parts = [(CUT.split(t) if self.cuttable else [t]) if t else [] for t in texts]
+        owner = np.repeat(np.arange(len(texts)), [len(x) for x in parts])
+        chunks = list(itertools.chain.from_iterable(parts))
+        new = list(dict.fromkeys(c for c in chunks if c not in self.seen))
+        if new:
+            self.learn(new)
+        place = np.fromiter(map(self.seen.__getitem__, chunks), np.int64, len(chunks))
+        out = []
+        for k in (0, 1):
+            first, count = self.begin[k][place], np.diff(self.begin[k])[place]
+            which, at = _ranges(first, count)
+            out.append((self.ids[k][at].astype(np.int64), owner[which]))
+        bad = np.zeros(len(texts), bool)
+        for i in np.unique(owner[~self.whole[place]]):     # a chunk may lack what its neighbour has
+            t = (" " + texts[i]).encode()
+            bad[i] = any(b"".join(map(n.__getitem__, ids[own == i].tolist())) != t
+                         for n, (ids, own) in zip((self.a_bytes, self.b_bytes), out))
+        return [(ids[~bad[own]], np.bincount(own[~bad[own]], minlength=len(texts))) for ids, own in out]
 
 
 def pair(a_path: str, b_path: str) -> Pair:
@@ -137,28 +187,34 @@ def shared_ends(ea: np.ndarray, eb: np.ndarray, bounds: np.ndarray) -> np.ndarra
     lo, hi = bounds[:-1], bounds[1:]
     lo, hi = lo[hi > lo], hi[hi > lo]
     close[hi - 1] = True
-    wide = np.zeros(len(lo), np.int64)
-    while len(lo):
+    held = [np.zeros(0, np.int64)] * 3                   # intervals whose middle is no common end, and the next window
+    while len(lo) or len(held[0]):
         inner = hi - lo >= 2                           # else a leaf: one token has no inner end
-        lo, hi, wide = lo[inner], hi[inner], wide[inner]
-        if not len(lo):
-            break
-        last = hi - 2
-        mid = (lo + last) // 2
-        first = np.maximum(lo, mid - wide)
-        count = np.minimum(last, mid + wide) - first + 1
-        owner, at = _ranges(first, count)
-        end = ea[at]
-        hit = eb[np.minimum(np.searchsorted(eb, end), len(eb) - 1)] == end
-        away = np.where(hit, 2 * np.abs(at - mid[owner]) + (at > mid[owner]), np.iinfo(np.int64).max)
-        near = np.minimum.reduceat(away, np.cumsum(count) - count)
-        found = near < np.iinfo(np.int64).max
-        cut = mid + np.where(near % 2 == 1, near // 2, -(near // 2))
-        close[cut[found]] = True
-        again = ~found & ((first > lo) | (first + count - 1 < last))   # the rest of the unfound are leaves
-        lo, hi, wide = (np.concatenate([lo[found], cut[found] + 1, lo[again]]),
-                        np.concatenate([cut[found] + 1, hi[found], hi[again]]),
-                        np.concatenate([np.zeros(2 * int(found.sum()), np.int64), 4 * wide[again] + 1]))
+        lo, hi = lo[inner], hi[inner]
+        mid = (lo + hi - 2) // 2
+        end = ea[mid]
+        found = eb[np.searchsorted(eb, end)] == end
+        missed = ~found & (hi - lo > 2)                # with two tokens the middle was the only inner end
+        cut, left, right = mid[found], lo[found], hi[found]
+        wlo, whi, wide = held
+        if len(wlo):
+            mid = (wlo + whi - 2) // 2
+            first = np.maximum(wlo, mid - wide)
+            count = np.minimum(whi - 2, mid + wide) - first + 1
+            owner, at = _ranges(first, count)
+            end = ea[at]
+            hit = eb[np.searchsorted(eb, end)] == end
+            away = np.where(hit, 2 * np.abs(at - mid[owner]) + (at > mid[owner]), np.iinfo(np.int64).max)
+            near = np.minimum.reduceat(away, np.cumsum(count) - count)
+            found = near < np.iinfo(np.int64).max
+            cut = np.concatenate([cut, (mid + np.where(near % 2 == 1, near // 2, -(near // 2)))[found]])
+            left, right = np.concatenate([left, wlo[found]]), np.concatenate([right, whi[found]])
+            again = ~found & ((first > wlo) | (first + count - 1 < whi - 2))     # the rest of the unfound are leaves
+            wlo, whi, wide = wlo[again], whi[again], 4 * wide[again]
+        close[cut] = True
+        held = [np.concatenate([wlo, lo[missed]]), np.concatenate([whi, hi[missed]]),
+                np.concatenate([wide, np.ones(int(missed.sum()), np.int64)])]
+        lo, hi = np.concatenate([left, cut + 1]), np.concatenate([cut + 1, right])
     return close
 
 
@@ -188,11 +244,11 @@ def _group_pairs(ga, ia, gb, ib, p, q, na, nb):
         if which is large:
             xg, xa, xn = _id_counts(ga, ia, which, na)
             yg, yb, yn = _id_counts(gb, ib, which, nb)
+            size = np.bincount(yg, minlength=len(q))
         else:
             xg, xa, xn = ga[which[ga]], ia[which[ga]], None
-            yg, yb, yn = gb[which[gb]], ib[which[gb]], None
-        begin = np.searchsorted(yg, xg)
-        count = np.searchsorted(yg, xg, "right") - begin
+            yb, yn, size = ib[which[gb]], None, np.where(which, q, 0)
+        begin, count = (np.cumsum(size) - size)[xg], size[xg]
         done = np.concatenate([[0], np.cumsum(count)])
         at = 0
         while at < len(xg):
@@ -204,23 +260,22 @@ def _group_pairs(ga, ia, gb, ib, p, q, na, nb):
             at = to
 
 
-def align(c: Pair, tokens: list[tuple[list[int], list[int]]]):
+def align(c: Pair, tokens):
     """For each text (n_a, n_b, n_groups, n_links, groups, pairs, links): the digest
     of the groups and the distinct linked id pairs with their number of links."""
-    n_a = np.array([len(a) for a, _ in tokens], np.int64)
-    n_b = np.array([len(b) for _, b in tokens], np.int64)
-    ia = np.fromiter(itertools.chain.from_iterable(a for a, _ in tokens), np.int64, int(n_a.sum()))
-    ib = np.fromiter(itertools.chain.from_iterable(b for _, b in tokens), np.int64, int(n_b.sum()))
-    ea, eb = np.cumsum(c.a_len[ia]), np.cumsum(c.b_len[ib])
+    (ia, n_a), (ib, n_b) = tokens
+    n = len(n_a)
+    ea, eb = (np.cumsum(x, dtype=np.int32) for x in (c.a_len[ia], c.b_len[ib]))     # a slice or one text: below 2^31 bytes
     at_a, at_b = np.concatenate([[0], np.cumsum(n_a)]), np.concatenate([[0], np.cumsum(n_b)])
     close = shared_ends(ea, eb, at_a)
     ends = ea[close]
     ga = np.cumsum(close) - close
     gb = np.searchsorted(ends, eb)
     p, q = np.bincount(ga, minlength=len(ends)), np.bincount(gb, minlength=len(ends))
-    doc = np.repeat(np.arange(len(tokens)), n_a)[close]
-    n_groups = np.bincount(doc, minlength=len(tokens))
-    n_links = np.bincount(doc, (p * q).astype(float), len(tokens)).astype(np.int64) if len(p) else np.zeros(len(tokens), np.int64)
+    doc = np.repeat(np.arange(n), n_a)[close]
+    n_groups = np.bincount(doc, minlength=n)
+    n_links = np.zeros(n, np.int64)
+    np.add.at(n_links, doc, p * q)
     # group by group, A ids before B ids; the last of each kind ends in another sign
     before = np.cumsum(p + q) - (p + q)
     code = np.empty(len(ia) + len(ib), np.int64)
@@ -231,11 +286,11 @@ def align(c: Pair, tokens: list[tuple[list[int], list[int]]]):
     at = at_a + at_b
     kinds = c.na * c.nb
     keys, links = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for g, key, n in _group_pairs(ga, ia, gb, ib, p, q, c.na, c.nb):
-        key, n = _add_up(doc[g] * kinds + key, n)
-        keys, links = (key, n) if not len(keys) else _add_up(np.concatenate([keys, key]), np.concatenate([links, n]))
-    cut = np.searchsorted(keys, np.arange(len(tokens) + 1) * kinds)
-    for i in range(len(tokens)):
+    for g, key, m in _group_pairs(ga, ia, gb, ib, p, q, c.na, c.nb):
+        key, m = _add_up(doc[g] * kinds + key, m)
+        keys, links = (key, m) if not len(keys) else _add_up(np.concatenate([keys, key]), np.concatenate([links, m]))
+    cut = np.searchsorted(keys, np.arange(n + 1) * kinds)
+    for i in range(n):
         mine = slice(cut[i], cut[i + 1])
         name = "".join(map(c.names.__getitem__, code[at[i]:at[i + 1]].tolist()))[:-1]
         groups = hashlib.sha256(name.encode()).hexdigest() if name else ""

@@ -277,9 +277,20 @@ def test_shared_ends_equal_set_intersection():
         assert np.array(ea)[got].tolist() == sorted(set(ea) & set(eb))
 
 
-def test_long_texts_in_pieces():
+def test_chunks_give_the_tokens_of_whole_texts(monkeypatch):
     c = tokalign.pair(*paths())
     assert c.cuttable
-    texts = [t for t in odd_texts() if t] + ["word  next  two \x1f x　 y", "a b c d e f g h"]
-    assert c.encode(texts, 7) == c.encode(texts) and any(len(c.pieces(t, 7)) > 3 for t in texts)
-    assert all("".join(c.pieces(t, 7)) == t for t in texts)
+    texts = [t or "" for t in odd_texts()] + ["word  next  two \x1f x\u3000 y", "ends in space ", " ", "a ", "a  ", "\n a \n b ",
+                                              "a b c d e f g h", "\u00a0 x \u2028 y", "'s 't don't 's", "x'll y '"]
+    rng = random.Random(4)
+    texts += ["".join(rng.choices("ab ' \n\t\u3000é1.▁\u0301", k=rng.randint(1, 30))) for _ in range(500)]
+    def split(kind):
+        return [x.tolist() for x in np.split(kind[0], np.cumsum(kind[1])[:-1])]
+
+    cut = [split(k) for k in c.encode(texts)]
+    monkeypatch.setattr(tokalign, "REMEMBER", 3)
+    assert [[split(k)[0] for k in c.encode([t])] for t in texts[:60]] == [[a, b] for a, b in zip(cut[0][:60], cut[1][:60])]
+    c.forget()
+    monkeypatch.setattr(c, "cuttable", False)
+    assert [split(k) for k in c.encode(texts)] == cut
+    c.forget()
