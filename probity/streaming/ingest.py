@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from probity import schemas
 from probity.functions.timecols import parse_iso
 from probity.session import work_dir
+from probity.streaming.runs import KeyIndex, exists
 
 CORRUPT = "_corrupt_record"
 
@@ -94,14 +95,7 @@ def dedup(df: DataFrame, key: str, ts: str = "event_ts", delay: str = "2 hours")
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
-KEY_BUCKETS = 256
+NO_KEY = "missing key"
 
 
 def upsert(batch: DataFrame, target: str, key: str, ts: str | None = None, batch_id: int = 0,
@@ -110,40 +104,51 @@ def upsert(batch: DataFrame, target: str, key: str, ts: str | None = None, batch
     batch or from any earlier batch, are skipped and counted.
 
     A key is unique over the whole table, whatever its event time.  ``<target>_keys``
-    lists the keys by hash bucket and batch; a batch reads the buckets it has
-    keys in.  Of rows that share a key the earliest event wins, then the smaller
-    row hash.  Rows that decoding marked invalid (``_valid`` false) go to
-    ``<target>_rejects``.
-
-    Safe to replay: keys that this same batch listed before do not count as known,
-    rows that it wrote before are found in its day partitions and not written again,
-    and its partitions of the key list, rejects and statistics are overwritten.
+    lists the keys (``runs.KeyIndex``); a batch reads the buckets that may hold one of
+    its keys.  Of rows that share a key the earliest event wins, then the smaller
+    row hash.  Rows that decoding marked invalid (``_valid`` false), and rows without a
+    key, go to ``<target>_rejects`` with the reason.
+
+    Safe to replay: keys that this same batch listed before do not count as known;
+    a batch lists its keys before it writes its rows, so a list of its own tells that
+    rows of it may be there, and only then the days it writes to are read.  Its part of
+    the key list, rejects and statistics are overwritten.
     ``on_new(rows)`` gets the batch's new rows, the same ones on a replay.
     Returns, and stores in ``<target>_stats``, the batch's counts.
     """
     spark = batch.sparkSession
+    index = KeyIndex(spark, f"{target}_keys", key)
     b = batch.persist()        # one micro-batch: bounded, recomputable from the source
-    good = b
-    if "_valid" in b.columns:
-        why = F.when(F.col(CORRUPT).isNotNull(), "malformed message").otherwise("missing or unreadable time")
-        (b.filter(~F.col("_valid")).withColumn("reason", why).drop("_valid")
+    decoded = "_valid" in b.columns
+    whole = (F.col("_valid") if decoded else F.lit(True)) & F.col(key).isNotNull()
+    seen = b.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(whole, 1)).alias("valid"),
+                 F.max(F.when(whole, F.col(ts)) if ts else F.lit(None).cast("timestamp")).alias("max_ts"))
+    seen = seen.first()
+    if seen["valid"] < seen["rows"]:
+        why = F.lit(NO_KEY)
+        if decoded:
+            why = (F.when(F.col(CORRUPT).isNotNull(), "malformed message")
+                   .when(~F.col("_valid"), "missing or unreadable time").otherwise(why))
+        (b.filter(~whole).withColumn("reason", why).drop("_valid")
          .write.mode("overwrite").parquet(f"{target}_rejects/_batch={batch_id}"))
-        good = b.filter("_valid").drop("_valid", CORRUPT)
+    good = b.filter(whole).drop("_valid", CORRUPT)
     cols = good.columns
     first = F.struct(*([F.col(ts)] if ts else []), F.xxhash64(*cols))
-    rows = good.groupBy(key).agg(F.min_by(F.struct(*cols), first).alias("r")).select("r.*")
-    bucket = F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
-    index, own = f"{target}_keys", f"_batch={batch_id}"
-    if _exists(spark, index):
-        known = spark.read.parquet(index).filter(F.col("_batch") != batch_id)
-        touched = rows.select(bucket.alias("bucket")).distinct()
-        known = known.join(F.broadcast(touched), "bucket", "left_semi")   # at most KEY_BUCKETS rows
-        rows = rows.join(known.select(key), key, "left_anti")
-    rows = rows.persist()
+    rows = good.groupBy(key).agg(F.min_by(F.struct(*cols), first).alias("r")).select("r.*").persist()
+    index.compact(batch_id)
+    known = index.known(rows, batch_id)
+    if known is not None:
+        every, rows = rows, rows.join(known, key, "left_anti").persist()
+        inserted = rows.count()
+        every.unpersist()
+    else:
+        inserted = rows.count()
+    again = bool(index.runs.own(batch_id))
+    index.add(rows.select(key), inserted, batch_id)
     new = rows
     if ts is not None:
         new = new.withColumns({"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)})
-    if _exists(spark, target):
+    if again and exists(spark, target):
         there = spark.read.parquet(target)
         if ts is not None:
             there = there.join(F.broadcast(new.select("year", "month", "day").distinct()),
@@ -151,24 +156,21 @@ def upsert(batch: DataFrame, target: str, key: str, ts: str | None = None, batch
         new = new.join(there.select(key), key, "left_anti")
     w = new.write.mode("append")
     if ts is not None:
-        w = w.partitionBy("year", "month", "day")
+        # a day's rows meet in one file, or in several of a bounded size if they are many
+        w = new.hint("rebalance", "year", "month", "day").write.mode("append").partitionBy("year", "month", "day")
     w.parquet(target)
     if on_new is not None:
         on_new(rows)
-    (rows.select(key, bucket.alias("bucket")).write.mode("overwrite").partitionBy("bucket")
-     .parquet(f"{index}/{own}"))
-    one = good.agg(F.count(F.lit(1)).alias("valid"), (F.max(ts) if ts else F.lit(None).cast("timestamp")).alias("max_ts"))
-    stats = one.crossJoin(rows.agg(F.count(F.lit(1)).alias("inserted"))).crossJoin(   # three one-row frames
-        b.agg(F.count(F.lit(1)).alias("input_rows")))
-    stats = stats.select(F.lit(topic).alias("topic"), "input_rows", "inserted",
-                         (F.col("valid") - F.col("inserted")).alias("duplicates"),
-                         (F.col("input_rows") - F.col("valid")).alias("rejected"), "max_ts")
-    stats.write.mode("overwrite").parquet(f"{target}_stats/{own}")
-    got = spark.read.parquet(f"{target}_stats/{own}").first()
+    stats = spark.createDataFrame(
+        [(topic, seen["rows"], inserted, seen["valid"] - inserted, seen["rows"] - seen["valid"], seen["max_ts"])],
+        T.StructType([T.StructField("topic", T.StringType()),
+                      *[T.StructField(c, T.LongType()) for c in ("input_rows", "inserted", "duplicates", "rejected")],
+                      T.StructField("max_ts", b.schema[ts].dataType if ts else T.TimestampType())]))
+    stats.coalesce(1).write.mode("overwrite").parquet(f"{target}_stats/_batch={batch_id}")
     rows.unpersist()
     b.unpersist()
-    return {"rows": got["input_rows"], "inserted": got["inserted"], "duplicates": got["duplicates"],
-            "rejected": got["rejected"]}
+    return {"rows": seen["rows"], "inserted": inserted, "duplicates": seen["valid"] - inserted,
+            "rejected": seen["rows"] - seen["valid"]}
 
 
 def _few_days(rows: DataFrame, limit: int = 10_000) -> bool:

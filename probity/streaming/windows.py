@@ -24,6 +24,7 @@ from probity.functions.exact import SCALE
 from probity.operators import collusion, rollups
 from probity.session import materialize, work_dir
 from probity.streaming.ingest import ingest_stats, run_available_now, upsert
+from probity.streaming.runs import Sums
 
 
 def tumbling(df: DataFrame, minutes: int, keys: list[str], aggs: list, ts: str = "event_ts",
@@ -96,20 +97,21 @@ def _partials(attempts: DataFrame, name: str, keys: list[str], aggs: list, shape
     """Additive aggregates kept per micro-batch, and summed on read.
 
     Each batch adds the sums of its new rows (after the upsert, so a repeated
-    message adds nothing) under ``_batch=<id>``; a replay overwrites its own
-    folder.  A late row is counted when it comes, however late: no watermark
-    closes a window.
+    message adds nothing) as a run of its own; a replay overwrites it, and runs of
+    earlier batches are merged (``runs.Sums``).  A late row is counted when it comes,
+    however late: no watermark closes a window.
     """
     spark = attempts.sparkSession
-    out = work_dir(spark, f"partials-{name}")
+    sums = Sums(spark, work_dir(spark, f"partials-{name}"), keys, [])
 
     def on_new(rows: DataFrame, batch_id: int):
         rows = shape(rows) if shape else rows
-        rows.groupBy(*keys).agg(*aggs).write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+        out = rows.groupBy(*keys).agg(*aggs)
+        sums.sums = [c for c in out.columns if c not in keys]
+        sums.add(out, batch_id)
 
     ingest_table(attempts, name, on_new=on_new)
-    sums = [c for c in spark.read.parquet(out).columns if c not in (*keys, "_batch")]
-    return spark.read.parquet(out).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    return sums.total()
 
 
 def _sum(c: str):
