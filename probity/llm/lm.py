@@ -5,17 +5,18 @@ within chunks of about ``CHUNK_TOKENS`` tokens.  A chunk's distinct tokens meet
 of the other chunks by hash, so each chunk learns the corpus counts of its own
 words; the vocabulary is in no task and not on the driver as a whole.
 
-Model: the ``TOP`` most frequent training tokens have their own input row and are
-dealt, by frequency, into classes of ``WIDTH``; all other tokens fall into ``TAILS``
-classes by a hash of their first two bytes, with one input row per class.
+Model: the most frequent training tokens, a power of two from the
+square root of the vocabulary on (``Shape``), have their own input row and are dealt, by frequency, into classes of about
+the square root of their number; all other tokens fall into ``TAILS`` classes by a hash
+of their first two bytes, with one input row per class.
 log P(token) = log P(class | state) + log P(token | class, state), two softmaxes, the
 second over the class's tokens; in a tail class it is the smoothed count share within
 that class.  The recurrent layer is a GRU of ``HIDDEN`` units.
 
-Training: truncated backpropagation over windows of ``BPTT`` tokens, on every
-training document, so the work grows with the corpus.  Every
-task trains from the common weights on its documents; weights are averaged by
-tokens, for ``PASSES`` passes.  Scoring walks whole documents in lanes, window by window,
+Training: truncated backpropagation over windows of ``BPTT`` tokens, once over every
+training document (``PASSES``), so the work grows with the corpus.  Every task trains
+from the common weights on its documents, in lanes that grow from ``TRAIN_LANES`` to
+``MOST_LANES``; weights are averaged by tokens.  Scoring walks whole documents in lanes, window by window,
 and carries the state across windows to the document's end.
 
 Defined cases: a null or empty text is one end token; with no training document
@@ -36,12 +37,13 @@ from pyspark.sql import functions as F
 from probity.llm import textcore as tc
 from probity.llm.common import Scratch
 
-TOP, WIDTH, TAILS, HIDDEN = 512, 32, 64, 16
-HEADS = TOP // WIDTH
-CLASSES = HEADS + TAILS
-BPTT, LANES, TRAIN_LANES = 16, 256, 32
-PASSES, RATE = 2, 0.02
+LEAST, TAILS, HIDDEN = 512, 64, 16
+BPTT, LANES = 16, 256
+TRAIN_LANES, MOST_LANES, GROUP_STEPS, PART = 32, 512, 24, 1024
+PASSES, RATE = 1, 0.02
 CHUNK_TOKENS = 1_000_000
+SUMS_BYTES = 1 << 25
+BLOCK = 512
 END = np.uint64(0x454E44)            # no word's hash by construction of the mixer but with chance 2^-64
 _LN10 = np.log(10.0)
 
@@ -60,9 +62,25 @@ def _tokens(batch):
         yield a, b, at, out, tail
 
 
-def _class(ids):
-    """Output class of each id: ids from TOP on are tail classes."""
-    return np.where(ids < TOP, ids // WIDTH, ids - TOP + HEADS)
+class Shape:
+    """How many words have a place of their own, and how they are dealt to classes."""
+
+    def __init__(self, top: int):
+        self.top, self.width = top, 1 << ((2 * top).bit_length() // 2)
+        self.heads = top // self.width
+        self.classes = self.heads + TAILS
+
+    @classmethod
+    def of(cls, vocabulary: int) -> "Shape":
+        """A power of two from sqrt(vocabulary) on."""
+        top = LEAST
+        while top * top < vocabulary:
+            top *= 2
+        return cls(top)
+
+    def class_of(self, ids):
+        """Output class of each id: ids from ``top`` on are tail classes."""
+        return np.where(ids < self.top, ids // self.width, ids - self.top + self.heads)
 
 
 def _chunks(batches):
@@ -115,14 +133,15 @@ class Gru:
     """Weights as one flat vector: input rows, recurrent weights, class and word outputs."""
 
     def __init__(self, counts):
-        """counts: corpus counts of the top tokens (padded to TOP) and of the tail classes."""
+        """counts: corpus counts of the top tokens (zeros beyond their number) and of the tail classes."""
         h, rng = HIDDEN, np.random.default_rng(11)
         top, rest = counts
-        mass = np.append(top.reshape(HEADS, WIDTH).sum(1), np.broadcast_to(rest, TAILS))
+        self.shape = shape = Shape(len(top))
+        mass = np.append(top.reshape(shape.heads, shape.width).sum(1), np.broadcast_to(rest, TAILS))
         self.p = {
-            "x": rng.normal(0, 0.3, (TOP + TAILS, 3 * h)), "u": rng.normal(0, 0.2, (h, 3 * h)),
-            "c": rng.normal(0, 0.01, (h, CLASSES)), "cb": np.log((mass + 0.5) / (mass.sum() + 0.5 * CLASSES)),
-            "w": np.zeros((TOP, h)), "wb": np.log(top + 0.1)}
+            "x": rng.normal(0, 0.3, (len(top) + TAILS, 3 * h)), "u": rng.normal(0, 0.2, (h, 3 * h)),
+            "c": rng.normal(0, 0.01, (h, shape.classes)), "cb": np.log((mass + 0.5) / (mass.sum() + 0.5 * shape.classes)),
+            "w": np.zeros((len(top), h)), "wb": np.log(top + 0.1)}
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
     def flat(self):
@@ -136,77 +155,137 @@ class Gru:
             at += n
         return self
 
-    def step(self, s, x):
-        """One step; returns the new state and what backpropagation needs."""
+    def step(self, s, a):
+        """The state after one step; ``a``: the input rows of the step."""
         h = HIDDEN
-        a = self.p["x"][x]
-        b = s @ self.p["u"]
-        zr = 1 / (1 + np.exp(-(a[:, :2 * h] + b[:, :2 * h])))
-        z, r = zr[:, :h], zr[:, h:]
-        m = np.tanh(a[:, 2 * h:] + r * b[:, 2 * h:])
-        return z * s + (1 - z) * m, (s, x, z, r, m, b[:, 2 * h:])
+        u = s @ self.p["u"]
+        zr = a[:, :2 * h] + u[:, :2 * h]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        m = zr[:, h:] * u[:, 2 * h:]
+        m += a[:, 2 * h:]
+        np.tanh(m, out=m)
+        return zr[:, :h] * (s - m) + m
 
     def log_out(self, s, y):
         """log P(class) + log P(word | class) of top tokens, class part only for tail classes."""
-        logit = s @ self.p["c"] + self.p["cb"]
-        top = logit.max(1)
-        ex = np.exp(logit - top[:, None])
-        den = ex.sum(1)
-        cls = _class(y)
-        out = (logit[np.arange(len(y)), cls] - top - np.log(den)).astype(np.float64)
-        order = np.argsort(cls, kind="stable")
-        cut = np.searchsorted(cls[order], np.arange(HEADS + 1))
-        for c in range(HEADS):
-            i = order[cut[c]:cut[c + 1]]
-            if len(i):
-                lo = c * WIDTH
-                l2 = s[i] @ self.p["w"][lo:lo + WIDTH].T + self.p["wb"][lo:lo + WIDTH]
-                m = l2.max(1)
-                out[i] += l2[np.arange(len(i)), y[i] - lo] - m - np.log(np.exp(l2 - m[:, None]).sum(1))
+        cls, out = self.shape.class_of(y), np.empty(len(y))
+        for lo in range(0, len(y), BLOCK):
+            cb = cls[lo:lo + BLOCK]
+            logit = self.p["c"].T @ s[lo:lo + BLOCK].T     # a column a token
+            logit += self.p["cb"][:, None]
+            logit -= logit.max(0)
+            own = logit[cb, np.arange(len(cb))].astype(np.float64)
+            np.exp(logit, out=logit)
+            out[lo:lo + BLOCK] = own - np.log(logit.sum(0))
+        head = np.flatnonzero(cls < self.shape.heads)
+        order = head[np.argsort(cls[head].astype(np.int16), kind="stable")]
+        cut = np.searchsorted(cls[order], np.arange(self.shape.heads + 1))
+        hc, place, more = s[order], y[order] % self.shape.width, np.empty(len(order))
+        for c in range(self.shape.heads):
+            i, lo = slice(cut[c], cut[c + 1]), c * self.shape.width
+            if cut[c] < cut[c + 1]:
+                l2 = self.p["w"][lo:lo + self.shape.width] @ hc[i].T
+                l2 += self.p["wb"][lo:lo + self.shape.width, None]
+                l2 -= l2.max(0)
+                own = l2[place[i], np.arange(l2.shape[1])].astype(np.float64)
+                np.exp(l2, out=l2)
+                more[i] = own - np.log(l2.sum(0))
+        out[order] += more
         return out
 
-    def grads(self, xs, ys, on, s0):
-        """Gradient of the mean loss over a window [T, B], truncated at its start."""
-        g = {k: np.zeros_like(v) for k, v in self.p.items()}
-        s, saved, states = s0, [], []
-        for t in range(len(xs)):
-            s, keep = self.step(np.where(on[t][1][:, None], 0, s), xs[t])
-            saved.append(keep)
-            states.append(s)
-        m = np.concatenate([o[0] for o in on])
-        n = max(int(m.sum()), 1)
-        hs, y = np.concatenate(states), np.concatenate(ys)
-        logit = hs @ self.p["c"] + self.p["cb"]
-        pr = np.exp(logit - logit.max(1, keepdims=True))
-        pr /= pr.sum(1, keepdims=True)
-        cls = _class(y)
-        pr[np.arange(len(y)), cls] -= 1
-        pr *= (m / n)[:, None].astype(np.float32)
-        g["c"], g["cb"] = hs.T @ pr, pr.sum(0)
-        ds = pr @ self.p["c"].T
-        for c in np.unique(cls[m & (cls < HEADS)]):
-            i, lo = np.flatnonzero(m & (cls == c)), int(c) * WIDTH
-            l2 = hs[i] @ self.p["w"][lo:lo + WIDTH].T + self.p["wb"][lo:lo + WIDTH]
-            q = np.exp(l2 - l2.max(1, keepdims=True))
-            q /= q.sum(1, keepdims=True)
-            q[np.arange(len(i)), y[i] - lo] -= 1
-            q /= n
-            g["w"][lo:lo + WIDTH] += q.T @ hs[i]
-            g["wb"][lo:lo + WIDTH] += q.sum(0)
-            ds[i] += q @ self.p["w"][lo:lo + WIDTH]
-        b, h = len(s0), HIDDEN
-        back = np.zeros_like(s0)
-        for t in range(len(xs) - 1, -1, -1):
-            old, x, z, r, mm, bm = saved[t]
-            d = ds[t * b:(t + 1) * b] + back
-            dm = d * (1 - z) * (1 - mm * mm)
-            dz = d * (old - mm) * z * (1 - z)
-            dr = dm * bm * r * (1 - r)
-            db = np.concatenate([dz, dr, dm * r], 1)
-            np.add.at(g["x"], x, np.concatenate([dz, dr, dm], 1))
-            g["u"] += old.T @ db
-            back = d * z + db @ self.p["u"].T
-            back[on[t][1]] = 0
+    def grads(self, xs, ys, ok, new, s0):
+        """Gradient of the mean loss over a window, truncated at its start.
+
+        ``xs``, ``ys`` [T, B]: input and target ids; ``ok`` marks targets that count, ``new`` the
+        starts of documents.  Returns the gradients and the state after the window.
+        """
+        p, h = self.p, HIDDEN
+        t, b = xs.shape
+        g = {k: np.zeros_like(v) for k, v in p.items()}
+        a = p["x"][xs]
+        old, gates, cand, back_in = (np.empty((t, b, k * h), np.float32) for k in (1, 2, 1, 1))
+        states = np.empty((t, b, h), np.float32)
+        s = s0
+        for i in range(t):
+            old[i] = s
+            old[i][new[i]] = 0
+            s = old[i]
+            u = s @ p["u"]
+            zr = gates[i]
+            np.add(a[i, :, :2 * h], u[:, :2 * h], out=zr)
+            np.negative(zr, out=zr)
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            back_in[i] = u[:, 2 * h:]
+            m = cand[i]
+            np.multiply(zr[:, h:], back_in[i], out=m)
+            m += a[i, :, 2 * h:]
+            np.tanh(m, out=m)
+            s = zr[:, :h] * (s - m) + m
+            states[i] = s
+        n = max(int(ok.sum()), 1)
+        keep = np.flatnonzero(ok.ravel())                  # padding has no target
+        hs, y = states.reshape(-1, h)[keep], ys.ravel()[keep]
+        cls = self.shape.class_of(y)
+        ds, part = np.empty_like(hs), np.float32(1 / n)
+        ones = np.ones(max(len(y), BLOCK, self.shape.classes, self.shape.width), np.float32)
+        rows = np.arange(max(len(y), BLOCK))
+        for lo in range(0, len(y), BLOCK):                 # a block of the class softmax stays in cache
+            hb, cb = hs[lo:lo + BLOCK], cls[lo:lo + BLOCK]
+            pr = p["c"].T @ hb.T                           # a column a token: its maximum is found along rows
+            pr += p["cb"][:, None]
+            pr -= pr.max(0)
+            np.exp(pr, out=pr)
+            pr *= part / (ones[:len(pr)] @ pr)
+            pr[cb, rows[:len(cb)]] -= part
+            g["c"] += (pr @ hb).T
+            g["cb"] += pr @ ones[:len(cb)]
+            np.matmul(pr.T, p["c"].T, out=ds[lo:lo + BLOCK])
+        head = np.flatnonzero(cls < self.shape.heads)      # tail classes end with the class
+        order = head[np.argsort(cls[head].astype(np.int16), kind="stable")]
+        cut = np.searchsorted(cls[order], np.arange(self.shape.heads + 1))
+        hc, dc, place = hs[order], np.empty((len(order), h), np.float32), y[order] % self.shape.width
+        for c in range(self.shape.heads):
+            i, lo = slice(cut[c], cut[c + 1]), c * self.shape.width
+            if cut[c] == cut[c + 1]:
+                continue
+            w = p["w"][lo:lo + self.shape.width]
+            q = w @ hc[i].T
+            q += p["wb"][lo:lo + self.shape.width, None]
+            q -= q.max(0)
+            np.exp(q, out=q)
+            q *= part / (ones[:len(q)] @ q)
+            k = q.shape[1]
+            q[place[i], rows[:k]] -= part
+            np.matmul(q, hc[i], out=g["w"][lo:lo + self.shape.width])
+            g["wb"][lo:lo + self.shape.width] = q @ ones[:k]
+            np.matmul(q.T, w, out=dc[i])
+        ds[order] += dc
+        d_all = np.zeros((t * b, h), np.float32)
+        d_all[keep] = ds
+        d_all = d_all.reshape(t, b, h)
+        da, db = np.empty((t, b, 3 * h), np.float32), np.empty((t, b, 3 * h), np.float32)
+        back = np.zeros((b, h), np.float32)
+        for i in range(t - 1, -1, -1):
+            z, r, m = gates[i, :, :h], gates[i, :, h:], cand[i]
+            d = d_all[i] + back
+            dm = d * (1 - z) * (1 - m * m)
+            da[i, :, :h] = d * (old[i] - m) * z * (1 - z)
+            da[i, :, h:2 * h] = dm * back_in[i] * r * (1 - r)
+            da[i, :, 2 * h:] = dm
+            db[i] = da[i]
+            db[i, :, 2 * h:] *= r
+            back = d * z + db[i] @ p["u"].T
+            back[new[i]] = 0
+        g["u"] = old.reshape(-1, h).T @ db.reshape(-1, 3 * h)
+        order = np.argsort(xs.ravel().astype(np.int16), kind="stable")     # one scatter: equal inputs side by side
+        ids = xs.ravel()[order]
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        g["x"][ids[first]] = np.add.reduceat(da.reshape(-1, 3 * h)[order], first, axis=0)
         return g, s
 
 
@@ -252,11 +331,12 @@ def score_docs(net: Gru, ids, at, end_id):
             live = int((total > t0).sum())
             t1 = min(y.shape[1], t0 + BPTT)
             s, states = s[:live], []
-            for t in range(t0, t1):
-                prev = y[:live, t - 1] if t else np.full(live, end_id, np.int32)
-                n = new[:live, t]
-                x = np.where(n | (prev < 0), end_id, prev)
-                s, _ = net.step(np.where(n[:, None], np.float32(0), s), x)
+            prev = y[:live, t0 - 1:t1 - 1] if t0 else np.concatenate([np.full((live, 1), end_id, np.int32), y[:live, :t1 - 1]], 1)
+            start = new[:live, t0:t1].T
+            a = net.p["x"][np.where(start | (prev.T < 0), end_id, prev.T)]
+            some = start.any(1)
+            for i in range(t1 - t0):
+                s = net.step(np.where(start[i][:, None], np.float32(0), s) if some[i] else s, a[i])
                 states.append(s)
             yy = y[:live, t0:t1].T.ravel()
             ok = yy >= 0
@@ -275,9 +355,9 @@ def _doc_groups(lens, limit=2_000_000):
         lo = min(hi, len(lens))
 
 
-def _ids_of(vocab, tail, tops):
-    """Class-ordered id of each hash; TOP + tail class for all that are not among ``tops``."""
-    other = TOP + tail.astype(np.int32)
+def _ids_of(vocab, tail, tops, top):
+    """Class-ordered id of each hash; ``top`` + tail class for all that are not among ``tops``."""
+    other = top + tail.astype(np.int32)
     if not len(tops):
         return other
     o = np.argsort(tops)
@@ -285,46 +365,76 @@ def _ids_of(vocab, tail, tops):
     return np.where(tops[o][at] == vocab, o[at], other).astype(np.int32)
 
 
-def _end_id(tops):
-    return int(_ids_of(np.array([END]), np.zeros(1, np.uint8), tops)[0])
+def _end_id(tops, top):
+    return int(_ids_of(np.array([END]), np.zeros(1, np.uint8), tops, top)[0])
 
 
-def _trainer(tops, counts, weights):
-    end_id = _end_id(tops)
+class Learner:
+    """Adam over windows of whole training documents.
+
+    Documents are dealt to lanes in parts of at most ``PART`` tokens, so lanes end
+    together; a part's first input is the token before it, its state starts at zero.
+    Lanes grow from ``TRAIN_LANES`` to ``MOST_LANES`` as training goes on.
+    """
+
+    def __init__(self, net: Gru, end_id: int):
+        self.net, self.end_id, self.lanes, self.steps = net, end_id, TRAIN_LANES, 0
+        self.m = {k: np.zeros_like(v) for k, v in net.p.items()}
+        self.v = {k: np.zeros_like(v) for k, v in net.p.items()}
+
+    def documents(self, ids, at):
+        """Learn from the documents that ``at`` delimits in ``ids``; each token once."""
+        prev = np.empty_like(ids)
+        prev[1:] = ids[:-1]
+        prev[at[:-1]] = self.end_id
+        lo = 0
+        while lo < len(at) - 1:
+            limit = self.lanes * BPTT * GROUP_STEPS
+            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + limit, "right")) - 1)
+            self.group(ids, prev, at[lo:hi + 1])
+            self.lanes = min(2 * self.lanes, MOST_LANES)
+            lo = hi
+
+    def group(self, ids, prev, at):
+        n = int(at[-1] - at[0])
+        size = max(BPTT, min(PART, -(-n // self.lanes)))
+        parts = np.unique(np.concatenate([at, np.arange(at[0], at[-1], size)]))
+        y, new, _, total = _grid(ids, parts, _lanes(np.diff(parts), self.lanes))
+        x, _, _, _ = _grid(prev, parts, _lanes(np.diff(parts), self.lanes))
+        s = np.zeros((len(y), HIDDEN), np.float32)
+        for t0 in range(0, y.shape[1], BPTT):
+            live = int((total > t0).sum())
+            ys = np.ascontiguousarray(y[:live, t0:t0 + BPTT].T)
+            xs = np.ascontiguousarray(x[:live, t0:t0 + BPTT].T)
+            ok = ys >= 0
+            g, s = self.net.grads(np.where(ok, xs, self.end_id), np.maximum(ys, 0), ok, new[:live, t0:t0 + BPTT].T, s[:live])
+            self.update(g)
+
+    def update(self, g):
+        self.steps += 1
+        rate = RATE * min(1.0, self.steps / 20) * np.sqrt(1 - 0.99 ** self.steps) / (1 - 0.9 ** self.steps)
+        for k, w in self.net.p.items():
+            m, v, d = self.m[k], self.v[k], g[k]
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * d
+            v *= np.float32(0.99)
+            v += np.float32(0.01) * d * d
+            w -= np.float32(rate) * m / (np.sqrt(v) + np.float32(1e-6))
+
+
+def _trainer(tops, counts, weights, groups):
+    end_id = _end_id(tops, len(counts[0]))
 
     def run(batches):
         net = Gru(counts).load(weights)
-        m = {k: np.zeros_like(v) for k, v in net.p.items()}
-        v = {k: np.zeros_like(x) for k, x in net.p.items()}
-        step, seen = 0, 0
+        learner, seen = Learner(net, end_id), 0
         for batch in batches:
             for _a, _b, at, h, tail in _tokens(batch):
-                ids = _ids_of(h, tail, tops)
-                lens = np.diff(at)
-                for lo, hi in _doc_groups(lens, 200_000):
-                    y, new, _d, total = _grid(ids, at[lo:hi + 1], _lanes(lens[lo:hi], TRAIN_LANES))
-                    s = np.zeros((len(y), HIDDEN), np.float32)
-                    for t0 in range(0, y.shape[1], BPTT):
-                        live = int((total > t0).sum())
-                        t1 = min(y.shape[1], t0 + BPTT)
-                        xs, ys, on = [], [], []
-                        for t in range(t0, t1):
-                            prev = y[:live, t - 1] if t else np.full(live, end_id, np.int32)
-                            n = new[:live, t]
-                            xs.append(np.where(n | (prev < 0), end_id, prev))
-                            ys.append(np.maximum(y[:live, t], 0))
-                            on.append((y[:live, t] >= 0, n))
-                        g, s = net.grads(xs, ys, on, s[:live])
-                        step += 1
-                        for k in net.p:
-                            m[k] = 0.9 * m[k] + 0.1 * g[k]
-                            v[k] = 0.99 * v[k] + 0.01 * g[k] * g[k]
-                            rate = RATE * min(1.0, step / 20)
-                            net.p[k] -= (rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-6)).astype(np.float32)
-                    seen += int(lens[lo:hi].sum())
+                learner.documents(_ids_of(h, tail, tops, net.shape.top), at)
+                seen += int(at[-1])
         if seen:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId() % 64], pa.int32()), pa.array([seen], pa.int64()),
+                [pa.array([TaskContext.get().partitionId() % groups], pa.int32()), pa.array([seen], pa.int64()),
                  pa.array([(net.flat() * seen).tobytes()], pa.binary())], names=["g", "n", "w"])
 
     return run
@@ -342,11 +452,12 @@ def _add_up(batches):
 
 
 def train(docs: DataFrame, tops, counts) -> np.ndarray:
-    """Averaged weights; at most 64 partial sums of fixed size reach the driver."""
+    """Averaged weights; the partial sums that reach the driver have at most ``SUMS_BYTES`` together, or are one."""
     weights = Gru(counts).flat()
+    groups = int(max(1, min(64, SUMS_BYTES // weights.nbytes)))
     for _ in range(PASSES):
-        rows = (docs.select("text").mapInArrow(_trainer(tops, counts, weights), "g int, n long, w binary")
-                .repartition(64, "g").mapInArrow(_add_up, "g int, n long, w binary").collect())
+        rows = (docs.select("text").mapInArrow(_trainer(tops, counts, weights, groups), "g int, n long, w binary")
+                .repartition(groups, "g").mapInArrow(_add_up, "g int, n long, w binary").collect())
         n = sum(r["n"] for r in rows)
         if n:
             weights = sum(np.frombuffer(r["w"], np.float64) for r in rows) / n
@@ -368,15 +479,16 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     w = Window.partitionBy("h")
     counted = scratch.write(words.select(
         "chunk", "idx", "h", "k", F.sum("n").over(w).alias("c"),
-        (F.row_number().over(w.orderBy("chunk")) == 1).alias("once")))
+        (F.min("chunk").over(w) == F.col("chunk")).alias("once")))        # a chunk has a word once
     known = counted.filter("once and c > 0")
     mass, distinct = np.zeros(TAILS), np.zeros(TAILS)
     for r in known.groupBy("k").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():   # TAILS rows at most
         mass[r["k"]], distinct[r["k"]] = r["n"], r["v"]
     big_n, big_v = int(mass.sum()), int(distinct.sum())
-    rows = known.orderBy(F.desc("c"), "h").select("h", "k", "c").limit(TOP).collect()
+    top = Shape.of(big_v).top
+    rows = known.orderBy(F.desc("c"), "h").select("h", "k", "c").limit(top).collect()
     tops = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
-    top_c = np.zeros(TOP)
+    top_c = np.zeros(top)
     top_c[:len(rows)] = [r["c"] for r in rows]
     for r in rows:
         mass[r["k"]] -= r["c"]
@@ -386,7 +498,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
 
     base_den = big_n + 0.1 * (big_v + 1)
     tail_den = mass + 0.1 * (distinct + 1)
-    end_id = _end_id(tops)
+    end_id = _end_id(tops, top)
 
     def run(_key, mine, theirs):
         payload = mine.to_pylist()[0]
@@ -401,7 +513,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         doc = np.repeat(np.arange(len(lens)), lens)
         n = len(lens)
         base = np.bincount(doc, np.log10((c + 0.1) / base_den)[toks], n)
-        share = np.where(word >= TOP, np.log10((c + 0.1) / tail_den[tail]), 0.0)
+        share = np.where(word >= top, np.log10((c + 0.1) / tail_den[tail]), 0.0)
         known_n = np.bincount(doc, (c > 0)[toks], n).astype(np.int64)
         net = Gru(counts).load(weights)
         logp = score_docs(net, word[toks], at, end_id) / _LN10 + np.bincount(doc, share[toks], n)
@@ -409,9 +521,9 @@ def score(docs: DataFrame, held_out) -> DataFrame:
                          "base_score": pa.array(base), "score": pa.array(logp)})
 
     mine = raw.filter("idx < 0").select("chunk", "ids", "lens", "toks", "ks")
-    head = spark.createDataFrame([(r["h"], i) for i, r in enumerate(rows)], "h long, word int")     # TOP rows at most
+    head = spark.createDataFrame([(r["h"], i) for i, r in enumerate(rows)], "h long, word int")     # ``top`` rows at most
     theirs = counted.join(F.broadcast(head), "h", "left").select(
-        "chunk", "idx", "c", F.coalesce("word", F.col("k") + F.lit(TOP)).alias("word"))
+        "chunk", "idx", "c", F.coalesce("word", F.col("k") + F.lit(top)).alias("word"))
     out = mine.groupBy("chunk").cogroup(theirs.groupBy("chunk")).applyInArrow(
         run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "n_tokens", "n_known", F.lit(big_n).cast("long").alias("train_tokens"), "base_score", "score")

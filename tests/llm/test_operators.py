@@ -438,31 +438,34 @@ def test_lm_learns_from_every_training_document(spark, monkeypatch):
 
 def test_lm_state_is_carried_and_gradient_is_right():
     rng = np.random.default_rng(1)
-    net = lm.Gru((np.full(lm.TOP, 2.0), 10.0))
+    net = lm.Gru((np.full(lm.LEAST, 2.0), 10.0))
     net.p = {k: (v + rng.normal(0, 0.1, v.shape)).astype(np.float32) for k, v in net.p.items()}
     lens = np.array([1, 70, 33, 5])
     at = np.concatenate([[0], np.cumsum(lens)])
-    ids = rng.integers(0, lm.TOP + 1, at[-1]).astype(np.int32)
+    ids = rng.integers(0, lm.LEAST + 1, at[-1]).astype(np.int32)
     got = lm.score_docs(net, ids, at, 0)
     for d in range(4):                                              # one token after the other
         s, prev, total = np.zeros((1, lm.HIDDEN), np.float32), 0, 0.0
         for y in ids[at[d]:at[d + 1]]:
-            s, _ = net.step(s, np.array([prev]))
+            s = net.step(s, net.p["x"][[prev]])
             total += float(net.log_out(s, np.array([y]))[0])
             prev = y
         assert abs(total - got[d]) < 1e-3 * abs(total)
     # numeric gradient of the mean loss over one window
-    xs, ys = [rng.integers(0, lm.TOP, 3) for _ in range(4)], [rng.integers(0, lm.TOP, 3) for _ in range(4)]
-    on = [(np.ones(3, bool), np.full(3, t == 0)) for t in range(4)]
+    xs, ys = rng.integers(0, lm.LEAST + lm.TAILS, (4, 3)), rng.integers(0, lm.LEAST + 3, (4, 3))
+    xs[2] = xs[0]                                                   # inputs that repeat add up
+    ok, new = np.ones((4, 3), bool), np.zeros((4, 3), bool)
+    ok[3, 1], new[0], new[2, 2] = False, True, True                 # padding and a document's start
+    begin = rng.normal(0, 0.5, (3, lm.HIDDEN)).astype(np.float32)
 
     def loss():
-        s, total = np.zeros((3, lm.HIDDEN), np.float32), 0.0
-        for x, y in zip(xs, ys):
-            s, _ = net.step(s, x)
-            total -= net.log_out(s, y).sum()
-        return total / 12
+        s, total = begin, 0.0
+        for x, y, o, n in zip(xs, ys, ok, new):
+            s = net.step(np.where(n[:, None], 0, s), net.p["x"][x])
+            total -= (net.log_out(s, y) * o).sum()
+        return total / 11
 
-    g, _ = net.grads(xs, ys, on, np.zeros((3, lm.HIDDEN), np.float32))
+    g, _ = net.grads(xs, ys, ok, new, begin)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
     for k in ("u", "c", "cb", "x", "w", "wb"):
         i = np.unravel_index(int(np.abs(g[k]).argmax()), g[k].shape)
@@ -475,6 +478,29 @@ def test_lm_state_is_carried_and_gradient_is_right():
         assert abs((up - down) / (2 * eps) - g[k][i]) < 2e-3 + 0.02 * abs(g[k][i]), k
 
 
+def test_lm_learns_from_every_token_once(monkeypatch):
+    """Parts of documents in growing lanes: each token is a target once, after the token before it."""
+    rng = np.random.default_rng(3)
+    lens = np.array([5, 3000, 1, 40, 700, 2, 1500] * 3)
+    at = np.concatenate([[0], np.cumsum(lens)])
+    ids = rng.integers(0, lm.LEAST, at[-1]).astype(np.int32)
+    net = lm.Gru((np.full(lm.LEAST, 2.0), 10.0))
+    learner, got = lm.Learner(net, 7), []
+
+    def seen(xs, ys, ok, new, s):
+        got.extend(zip(xs[ok].tolist(), ys[ok].tolist()))
+        return {k: np.zeros_like(v) for k, v in net.p.items()}, s
+
+    monkeypatch.setattr(net, "grads", seen)
+    monkeypatch.setattr(lm, "GROUP_STEPS", 2)
+    learner.documents(ids, at)
+    before = ids.copy()
+    before[1:] = ids[:-1]
+    before[at[:-1]] = 7
+    assert collections.Counter(got) == collections.Counter(zip(before.tolist(), ids.tolist()))
+    assert learner.lanes > lm.TRAIN_LANES
+
+
 def test_pipeline_stages(spark, tmp_path):
     sys.path.insert(0, ".")
     import corpus_pipeline as P
