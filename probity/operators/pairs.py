@@ -40,7 +40,11 @@ def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str],
     else:
         rk = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
         both = lk.join(rk, keys)
-    return (both
+    return _grid_of(both, keys, cell_rows)
+
+
+def _grid_of(sizes: DataFrame, keys: list[str], cell_rows: int) -> DataFrame:
+    return (sizes
             .filter((F.col("_nl") > cell_rows) | (F.col("_nr") > cell_rows))
             .select(*keys,
                     F.ceil(F.col("_nl") / cell_rows).cast("int").alias("_bl"),
@@ -52,13 +56,15 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str],
               condition: Column | None = None,
               cell_rows: int = DEFAULT_CELL_ROWS, self_join: bool = False,
               partitions: int | None = None,
-              max_broadcast_keys: int = 100_000) -> DataFrame:
+              max_broadcast_keys: int = 100_000, sizes: DataFrame | None = None) -> DataFrame:
     """Inner equi-join of ``left`` and ``right`` on ``keys`` (+ ``condition``).
 
     ``left`` and ``right`` must not share non-key column names.
     ``left_salt``/``right_salt`` are stable per-row values (an id) used to
     spread a hot key's rows over grid cells.  ``self_join=True`` says both
     sides are projections of the same rows (key sizes are counted once).
+    ``sizes`` (keys, ``_nl``, ``_nr``) gives the rows of each key on either side where the
+    caller has counted them already.
 
     Both sides are hash-partitioned on (keys, cell) into ``partitions``
     (default: the session's shuffle partitions).  The join's output is far
@@ -66,7 +72,8 @@ def grid_join(left: DataFrame, right: DataFrame, keys: list[str],
     partition coalescing does -- would funnel all pairs into a few tasks; an
     explicit partition count is left as is.
     """
-    hot = materialize(hot_keys(left, None if self_join else right, keys, cell_rows), "hot-keys")
+    found = _grid_of(sizes, keys, cell_rows) if sizes is not None else hot_keys(left, None if self_join else right, keys, cell_rows)
+    hot = materialize(found, "hot-keys")
     n_hot = hot.count()          # a small job over the written hot-key table
     n = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     one = F.lit(1)

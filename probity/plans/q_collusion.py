@@ -30,6 +30,42 @@ def q_a5(t):
     return collusion.kpi_answer_similarity(t.attempts)
 
 
+_CLASSES = """
+, mem AS (
+  SELECT exam_id, student_id, question_id, answer_hash, count(*) AS n
+  FROM exam_attempts WHERE exam_id IS NOT NULL AND student_id IS NOT NULL AND question_id IS NOT NULL AND answer_hash IS NOT NULL
+  GROUP BY 1, 2, 3, 4
+), sheet AS (
+  SELECT exam_id, student_id, string_agg(question_id || '|' || answer_hash || '|' || n, ';' ORDER BY question_id, answer_hash) AS s
+  FROM mem GROUP BY 1, 2
+), cls AS (
+  SELECT exam_id, student_id, min(student_id) OVER w AS class_id, count(*) OVER w AS class_size
+  FROM sheet WINDOW w AS (PARTITION BY exam_id, s)
+)"""
+
+
+@register("answer_classes", sql=_CLASSES + "SELECT exam_id, student_id, class_id, class_size FROM cls")
+def q_classes(t):
+    return collusion.answer_classes(t.attempts)
+
+
+@register("answer_class_pairs", sql=_CLASSES + """
+, p AS (
+  SELECT a.exam_id, x.class_id AS class_1, y.class_id AS class_2, a.student_id AS s1, b.student_id AS s2, sum(a.n * b.n) AS mq
+  FROM mem a JOIN mem b ON a.exam_id = b.exam_id AND a.question_id = b.question_id AND a.answer_hash = b.answer_hash
+    AND a.student_id < b.student_id
+  JOIN cls x ON x.exam_id = a.exam_id AND x.student_id = a.student_id
+  JOIN cls y ON y.exam_id = b.exam_id AND y.student_id = b.student_id
+  GROUP BY ALL
+)
+SELECT exam_id, least(class_1, class_2) AS class_1, greatest(class_1, class_2) AS class_2,
+       CAST(max(mq) AS BIGINT) AS matching_questions, count(*) AS links
+FROM p GROUP BY 1, 2, 3""")
+def q_class_pairs(t):
+    """A5 with students of identical answers taken together; pairs on request (expand_class_pairs)."""
+    return collusion.answer_class_pairs(t.attempts)[1]
+
+
 @register("answer_jaccard", doubles=("answer_jaccard",), sql=f"""
 , p AS (
   SELECT a1.student_id AS student_1, a2.student_id AS student_2, a1.exam_id,

@@ -126,3 +126,92 @@ def test_collusion_question_sets_bitmask_and_fallback(spark):
         r = collusion.collusion_pairs(df, as_of, "2 hours", once=True).first()
         assert r.matching_questions_count == n
         assert list(r.questions) == [f"Q{q:03d}" for q in range(n)]
+
+
+def _random_attempts(spark, seed, students=14, questions=9, n=260):
+    import datetime as dt
+    import random
+    rng = random.Random(seed)
+    as_of = dt.datetime(2024, 1, 10, 12)
+    rows = []
+    for i in range(n):
+        q = rng.randrange(questions)
+        age = rng.choice([1, 30, 90, 119, 121, 600, 5000])
+        rows.append((f"a{i}", f"S{rng.randrange(students):02d}", f"E{rng.randrange(2)}", f"Q{q}", f"h{min(rng.randrange(4), rng.randrange(4))}",
+                     as_of - dt.timedelta(minutes=age, seconds=rng.randrange(50))))
+    rows += [(None, None, "E0", "Q1", "h0", as_of), ("x", "S01", None, "Q1", "h0", as_of), ("y", "S01", "E0", "Q1", None, as_of)]
+    return rows, spark.createDataFrame(rows, "attempt_id string, student_id string, exam_id string, question_id string, "
+                                             "answer_hash string, submission_timestamp timestamp_ntz"), as_of
+
+
+def _slow_pairs(rows, as_of, once, least):
+    import datetime as dt
+    from collections import defaultdict
+    found = defaultdict(list)
+    for x in rows:
+        for y in rows:
+            if x is y or None in x[1:5] + y[1:5] or x[2:5] != y[2:5] or x[1] == y[1]:
+                continue
+            recent = lambda r: r[5] >= as_of - dt.timedelta(hours=2)
+            if recent(x) and (not once or not recent(y) or x[1] < y[1]):
+                found[min(x[1], y[1]), max(x[1], y[1]), x[2]].append((abs(x[5] - y[5]).total_seconds(), x[3]))
+    return {k: (len(v), round(sum(t for t, _ in v) / len(v), 6), sorted({q for _, q in v})) for k, v in found.items() if len(v) >= least}
+
+
+def test_prefix_filter_equals_all_pairs_and_brute_force(spark):
+    for seed in (1, 2):
+        rows, df, as_of = _random_attempts(spark, seed)
+        m = collusion._matches(df, as_of, "2 hours")
+        counts = {k: collusion.match_counts(m, k) for k in (3, 5, 10)}
+        print(counts)
+        assert counts[3]["prefix"] >= counts[5]["prefix"] >= counts[10]["prefix"]
+        assert counts[10]["prefix"] < 0.6 * counts[10]["every"]
+        for least in (3, 5, 10):
+            for once in (False, True):
+                want = _slow_pairs(rows, as_of, once, least)
+                for prefix in (False, True):
+                    got = collusion.collusion_pairs(df, as_of, "2 hours", least, once, cell_rows=5, prefix=prefix).collect()
+                    assert {(r.student_1_id, r.student_2_id, r.exam_id): (
+                        r.matching_questions_count, round(r.avg_time_difference_seconds, 6), list(r.questions)) for r in got} == want
+                    assert len(got) == len(want)
+
+
+def test_many_questions_as_sets_and_as_bits(spark, monkeypatch):
+    rows, df, as_of = _random_attempts(spark, 5)
+    want = _slow_pairs(rows, as_of, False, 3)
+    for bits, masks in ((2, 8), (1, 2)):                # five masks of two bits; too many questions for masks
+        monkeypatch.setattr(collusion, "BITS", bits)
+        monkeypatch.setattr(collusion, "MASKS", masks)
+        for prefix in (False, True):
+            got = collusion.collusion_pairs(df, as_of, "2 hours", prefix=prefix).collect()
+            assert {(r.student_1_id, r.student_2_id, r.exam_id): list(r.questions) for r in got} == {k: v[2] for k, v in want.items()}
+
+
+def test_no_attempts_give_no_pairs(spark):
+    _, df, as_of = _random_attempts(spark, 1)
+    for prefix in (False, True, None):
+        assert collusion.collusion_pairs(df.limit(0), as_of, "2 hours", 10, prefix=prefix).count() == 0
+
+
+def test_class_pairs_expand_to_the_student_pairs(spark):
+    rows, df, _ = _random_attempts(spark, 3, students=5)
+    copies = df.filter("student_id is not null").withColumn("student_id", F.concat("student_id", F.lit("x")))
+    every = df.union(copies).union(copies.withColumn("student_id", F.concat("student_id", F.lit("y"))))
+    members, pairs = collusion.answer_class_pairs(every)
+    got = collusion.expand_class_pairs(members, pairs)
+    want = collusion.kpi_answer_similarity(every)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert pairs.agg(F.sum("links")).first()[0] == want.count()
+    assert pairs.count() < want.count() / 4             # classes of three
+    assert {r.class_size for r in members.collect()} == {3}
+
+
+def test_class_output_does_not_grow_with_copied_sheets(spark):
+    """Ten times the students on the same sheets: ten times the membership, the same class pairs."""
+    sizes = []
+    for n in (20, 200):
+        df = spark.range(n * 4).selectExpr("concat('a', id) attempt_id", f"concat('S', lpad(id % {n}, 4, '0')) student_id", "'E' exam_id",
+                                           f"concat('Q', id div {n}) question_id", f"concat('h', (id % {n}) % 5) answer_hash")
+        members, pairs = collusion.answer_class_pairs(df)
+        sizes.append((members.count(), pairs.count(), collusion.kpi_answer_similarity(df).count()))
+    assert sizes[1][0] == 10 * sizes[0][0] and sizes[1][1] == sizes[0][1] and sizes[1][2] > 100 * sizes[0][2]
