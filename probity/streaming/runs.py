@@ -138,6 +138,30 @@ class Sums:
         return self._added(paths) if paths else None
 
 
+class Log:
+    """Rows kept in runs: merging joins small files, and drops rows that are no longer live."""
+
+    def __init__(self, spark: SparkSession, root: str, fan: int = FAN):
+        self.runs = Runs(spark, root, fan)
+
+    def add(self, rows: DataFrame, batch: int, live=None) -> None:
+        def write(runs, level):
+            old = self._read(runs)
+            path = self.runs.path(level, runs[0].first, runs[-1].last)
+            (old if live is None else old.filter(live)).coalesce(len(runs)).write.mode("overwrite").parquet(path)
+
+        self.runs.merge(batch, write)
+        self.runs.put(rows, batch)
+
+    def _read(self, runs: list[Run]) -> DataFrame | None:
+        spark = self.runs.spark
+        return spark.read.schema(spark.read.parquet(runs[0].path).schema).parquet(*[r.path for r in runs]) if runs else None
+
+    def rows(self, before: int | None = None) -> DataFrame | None:
+        """All rows, or those of batches before ``before``; None if there is no batch."""
+        return self._read(self.runs.all() if before is None else self.runs.before(before))
+
+
 def _hashes(key: str):
     """What a run stores of a key: the hash that picks its bucket and bits, and the one that picks its word."""
     h = F.xxhash64(key)

@@ -8,9 +8,8 @@ older than the watermark are dropped there.  Its changed rows are appended with
 the batch id, and the current value of a key is its row from the latest batch
 (``latest``).
 
-KPIs over a rolling horizon (R8) and the collusion refresh (R11) are
-recomputed per micro-batch from the ingested table (``foreachBatch``),
-which keeps streaming state independent of the 2-hour horizon.
+KPIs over a rolling horizon (R8) are a ring of panes, and collusion (R11) is kept by
+joining a batch's new rows with the stored ones: nothing is recomputed from the table.
 """
 
 from __future__ import annotations
@@ -21,10 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.functions.exact import SCALE
-from probity.operators import collusion, rollups
+from probity.functions.bands import risk_level_collusion, risk_level_pair
+from probity.operators import collusion
+from probity.operators.pairs import grid_join
 from probity.session import materialize, work_dir
 from probity.streaming.ingest import ingest_stats, run_available_now, upsert
-from probity.streaming.runs import Sums
+from probity.streaming.runs import Log, Sums
 
 
 def tumbling(df: DataFrame, minutes: int, keys: list[str], aggs: list, ts: str = "event_ts",
@@ -179,59 +180,176 @@ def ingest_table(attempts: DataFrame, name: str = "ingest", on_batch=None, on_ne
     return table
 
 
-def recent_partitions(spark: SparkSession, table: str, as_of: dt.datetime,
-                      lookback: dt.timedelta) -> DataFrame:
-    """Rows of the day-partitioned table newer than ``as_of - lookback``:
-    a literal predicate on the partition columns prunes every older day."""
-    start = as_of - lookback
-    t = spark.read.parquet(table)
-    t = t.filter(F.make_date("year", "month", "day") >= F.lit(start.date()))
-    return t.drop("year", "month", "day")
+def _parse_interval(spec: str) -> dt.timedelta:
+    n, unit = spec.split()
+    unit = unit.rstrip("s")
+    names = {"minute": "minutes", "hour": "hours", "day": "days"}
+    return dt.timedelta(**{names[unit]: int(n)})
 
 
-def _refresh(out: str, lookback: str, compute):
-    """foreachBatch hook: republish ``compute(recent_rows, all_rows, as_of)``;
-    ``as_of`` is the table's greatest event time."""
-    delta = _parse_interval(lookback)
+def _micros(c):
+    return F.unix_micros(F.col(c).cast("timestamp") if isinstance(c, str) else c.cast("timestamp"))
 
-    def refresh(sp: SparkSession, table: str, as_of):
-        if as_of is None:
-            return
-        recent_rows = recent_partitions(sp, table, as_of, delta)
-        all_rows = sp.read.parquet(table).drop("year", "month", "day")
-        compute(recent_rows, all_rows, as_of).write.mode("overwrite").parquet(out)
 
-    return refresh
+class Horizon:
+    """A rolling horizon over panes of ``pane`` microseconds: the panes that are whole inside it, and
+    the one its start cuts."""
 
+    def __init__(self, lookback: str, pane: str):
+        size = dt.timedelta(microseconds=1)
+        self.length, self.pane = _parse_interval(lookback) // size, _parse_interval(pane) // size
 
-def _parse_interval(spec: str) -> dt.timedelta:
-    n, unit = spec.split()
-    unit = unit.rstrip("s")
-    names = {"minute": "minutes", "hour": "hours", "day": "days"}
-    return dt.timedelta(**{names[unit]: int(n)})
+    def start(self, as_of: int) -> int:
+        return as_of - self.length
 
+    def of(self, t):
+        return (F.floor(t / self.pane) * self.pane).cast("long")
 
-def stream_rolling_kpis(attempts: DataFrame, lookback: str = "2 hours") -> DataFrame:
-    """After every micro-batch, recompute the A9 rollup over the last
-    ``lookback`` of the ingested table (recent day partitions only) and
-    publish it (overwrite)."""
-    spark = attempts.sparkSession
-    out = work_dir(spark, "rolling-kpis")
-    hook = _refresh(out, lookback,
-                    lambda recent_rows, _all, as_of: rollups.aggregated_kpis(recent_rows, as_of, lookback))
-    ingest_table(attempts, "rolling", hook)
-    return spark.read.parquet(out)
+    def cut(self, as_of: int) -> int:
+        """Start of the pane that holds the horizon's start."""
+        return self.start(as_of) // self.pane * self.pane
+
+    def whole(self, as_of: int) -> int:
+        """Start of the first pane that is wholly inside."""
+        return -(-self.start(as_of) // self.pane) * self.pane
 
 
-def stream_collusion(attempts: DataFrame, lookback: str = "2 hours") -> DataFrame:
-    """After every micro-batch, recompute collusion pairs: recent rows
-    against all rows of the same answer groups (J2 + A20)."""
+class RollingKpis:
+    """The A9 rollup over a rolling horizon as a ring of panes.
+
+    A batch adds its new rows' sums by (pane, student, exam), and the rows' few columns by
+    pane.  The current rollup is the sum of the whole panes and of the rows of the one
+    pane that the horizon's start cuts; the ingested table is not read again.  Panes
+    that the horizon has left go when runs are merged.  Squares are summed as decimals of
+    response times to four places, so a late merge gives the same deviation.
+    """
+
+    COLUMNS = ["student_id", "exam_id", "response_time", "is_correct", "ai_usage_score", "submission_timestamp"]
+
+    def __init__(self, spark: SparkSession, root: str, lookback: str = "2 hours", pane: str = "1 minute"):
+        self.horizon = Horizon(lookback, pane)
+        self.sums = Sums(spark, f"{root}/sums", ["pane", "student_id", "exam_id"],
+                         ["ai", "n_ai", "rt", "n_rt", "x", "xx", "correct", "n"], ["last_updated"])
+        self.log = Log(spark, f"{root}/rows")
+
+    def _sum(self, rows: DataFrame) -> DataFrame:
+        x = F.col("response_time").cast("decimal(14,4)")
+        return rows.groupBy("pane", "student_id", "exam_id").agg(
+            _sum("ai_usage_score").alias("ai"), F.count("ai_usage_score").alias("n_ai"),
+            _sum("response_time").alias("rt"), F.count("response_time").alias("n_rt"),
+            F.sum(x).cast("decimal(18,4)").alias("x"), F.sum((x * x).cast("decimal(28,8)")).cast("decimal(28,8)").alias("xx"),
+            F.count(F.when(F.col("is_correct"), 1)).alias("correct"), F.count(F.lit(1)).alias("n"),
+            F.max("submission_timestamp").alias("last_updated"))
+
+    def add(self, rows: DataFrame, batch: int, as_of: int | None = None) -> None:
+        """``as_of``: greatest event time (microseconds) of earlier batches; panes before its horizon may go."""
+        rows = rows.select(self.horizon.of(_micros("submission_timestamp")).alias("pane"), *self.COLUMNS)
+        live = None if as_of is None else F.col("pane") >= self.horizon.cut(as_of)
+        rows = rows if live is None else rows.filter(live)
+        self.log.add(rows, batch, live)
+        self.sums.add(self._sum(rows), batch, live)
+
+    def current(self, as_of: int) -> DataFrame:
+        edge = self.log.rows().filter((F.col("pane") == self.horizon.cut(as_of)) & (F.col("pane") < self.horizon.whole(as_of))
+                                      & (_micros("submission_timestamp") >= self.horizon.start(as_of)))
+        parts = self.sums.total().filter(F.col("pane") >= self.horizon.whole(as_of)).unionByName(self._sum(edge))
+        g = parts.groupBy("student_id", "exam_id").agg(
+            *[F.sum(c).alias(c) for c in ("ai", "n_ai", "rt", "n_rt", "x", "xx", "correct", "n")], F.max("last_updated").alias("last_updated"))
+        ratio = lambda c, n: F.col(c).cast("double") / F.nullif(F.col(n), F.lit(0))
+        n, x = F.col("n_rt").cast("decimal(9,0)"), F.col("x").cast("decimal(18,4)")
+        spread = (n * F.col("xx").cast("decimal(28,8)") - x * x).cast("double")
+        return g.select("student_id", "exam_id", ratio("rt", "n_rt").alias("avg_response_time"),
+                        (ratio("correct", "n") * 100).alias("accuracy_rate"), ratio("ai", "n_ai").alias("avg_ai_score"),
+                        (F.sqrt(spread) / F.nullif(F.col("n_rt"), F.lit(0))).alias("response_variance"),
+                        F.col("n").alias("total_attempts"), "last_updated").withColumn("risk_level", risk_level_pair("avg_ai_score"))
+
+
+class CollusionState:
+    """A20 kept by delta joins.
+
+    A batch's new rows meet all rows of their answer groups, and the recent stored rows meet
+    the new ones; two stored rows never meet again.  A match counts as long as its recent row
+    is inside the horizon, so sums are kept by (pair, question, pane of that row).  The current
+    pairs are the sums of the whole panes, and one join for the rows of the pane that
+    the horizon's start cuts.
+    """
+
+    KEYS = ["exam_id", "s1", "s2", "question_id", "pane"]
+
+    def __init__(self, spark: SparkSession, root: str, lookback: str = "2 hours", pane: str = "10 minutes"):
+        self.horizon, self.lookback = Horizon(lookback, pane), lookback
+        self.log = Log(spark, f"{root}/members")
+        self.sums = Sums(spark, f"{root}/sums", self.KEYS, ["n", "us"])
+
+    def _meet(self, recent: DataFrame, rows: DataFrame) -> DataFrame:
+        """Sums of the matches of recent rows (left) with rows of other students."""
+        g = collusion.GROUP
+        left = recent.select(*g, F.col("s").alias("s_l"), F.col("t").alias("t_l"))
+        right = rows.select(*g, F.col("s").alias("s_r"), F.col("t").alias("t_r"))
+        j = grid_join(left, right, g, F.struct("s_l", "t_l"), F.struct("s_r", "t_r"), condition=F.col("s_l") != F.col("s_r"))
+        return j.groupBy("exam_id", F.least("s_l", "s_r").alias("s1"), F.greatest("s_l", "s_r").alias("s2"), "question_id",
+                         self.horizon.of(F.col("t_l")).alias("pane")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.abs(F.col("t_l") - F.col("t_r"))).alias("us"))
+
+    def add(self, rows: DataFrame, batch: int, as_of: int | None = None) -> None:
+        new = rows.select(*collusion.GROUP, F.col("student_id").alias("s"), _micros("submission_timestamp").alias("t")).dropna()
+        live = None if as_of is None else F.col("pane") >= self.horizon.cut(as_of)
+        recent = (lambda df: df) if as_of is None else (lambda df: df.filter(F.col("t") >= self.horizon.cut(as_of)))
+        old = self.log.rows(before=batch)
+        if old is None:
+            found = self._meet(recent(new), new)
+        else:
+            old = old.join(new.select(*collusion.GROUP).distinct(), collusion.GROUP, "left_semi")
+            found = self._meet(recent(new), old.unionByName(new)).unionByName(self._meet(recent(old), new))
+            found = found.groupBy(*self.KEYS).agg(F.sum("n").alias("n"), F.sum("us").alias("us"))
+        self.sums.add(found, batch, live)
+        self.log.add(new, batch)
+
+    def current(self, as_of: int, min_matches: int = 3) -> DataFrame:
+        h = self.horizon
+        every = self.log.rows()
+        edge = every.filter((F.col("t") >= h.start(as_of)) & (F.col("t") < h.whole(as_of)))
+        groups = edge.select(*collusion.GROUP).distinct()
+        parts = self.sums.total().filter(F.col("pane") >= h.whole(as_of)).unionByName(
+            self._meet(edge, every.join(groups, collusion.GROUP, "left_semi")))
+        g = parts.groupBy("exam_id", "s1", "s2").agg(F.sum("n").alias("n"), F.sum("us").alias("us"),
+                                                     F.array_sort(F.collect_set("question_id")).alias("questions"))
+        n = F.col("n")
+        return g.filter(n >= min_matches).select(
+            F.col("s1").alias("student_1_id"), F.col("s2").alias("student_2_id"), "exam_id",
+            n.alias("matching_questions_count"), (F.col("us") / n / 1e6).alias("avg_time_difference_seconds"), "questions",
+            (n / 50).alias("similarity_score"), risk_level_collusion(n).alias("risk_level"),
+            F.timestamp_micros(F.lit(as_of)).alias("detected_at"))
+
+
+def _kept(attempts: DataFrame, name: str, state, on_current=None):
+    """Feed ``state`` with the new rows of every batch; returns the last as_of.  ``on_current``
+    gets the state and the as_of after each batch."""
+    seen: list[int] = []
+
+    def latest(spark, table):
+        return ingest_stats(spark, table).agg(F.max(_micros("max_ts"))).first()[0]
+
+    def on_batch(spark, table, _as_of):
+        as_of = latest(spark, table)
+        if as_of is not None:
+            seen.append(as_of)
+            if on_current is not None:
+                on_current(state, as_of)
+
+    ingest_table(attempts, name, on_batch, lambda rows, batch: state.add(rows, batch, seen[-1] if seen else None))
+    return seen[-1] if seen else 0
+
+
+def stream_rolling_kpis(attempts: DataFrame, lookback: str = "2 hours", pane: str = "1 minute", on_current=None) -> DataFrame:
+    """The A9 rollup over the last ``lookback`` of the stream, kept as panes (``RollingKpis``)."""
     spark = attempts.sparkSession
-    out = work_dir(spark, "collusion")
+    state = RollingKpis(spark, work_dir(spark, "rolling-kpis"), lookback, pane)
+    return state.current(_kept(attempts, "rolling", state, on_current))
 
-    def compute(recent_rows, all_rows, as_of):
-        # J2 itself restricts the full side to the recently active groups
-        return collusion.collusion_pairs(all_rows, as_of, lookback)
 
-    ingest_table(attempts, "collusion", _refresh(out, lookback, compute))
-    return spark.read.parquet(out)
+def stream_collusion(attempts: DataFrame, lookback: str = "2 hours", pane: str = "10 minutes", on_current=None) -> DataFrame:
+    """The A20 pairs of the last ``lookback`` of the stream, kept by delta joins (``CollusionState``)."""
+    spark = attempts.sparkSession
+    state = CollusionState(spark, work_dir(spark, "collusion"), lookback, pane)
+    return state.current(_kept(attempts, "collusion", state, on_current))
