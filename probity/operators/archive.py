@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from probity.functions.exact import mean
 from probity.functions.timecols import as_column, interval
+from probity.operators.publish import Published
 
 PARTS = ["year", "month", "day"]
 
@@ -36,18 +37,32 @@ def write_archive(df: DataFrame, ts: str, path: str, extra_partition: str | None
                   max_records_per_file: int = 5_000_000) -> None:
     """K1: append ``df`` to the archive at ``path``.
 
-    No shuffle: each task sorts its rows by partition so it writes one file
-    per day it holds, however skewed the days are.
+    The rows are rebalanced by day: a day's rows meet in one task, small days share
+    a task, and a day beyond the session's advisory partition size is split over several
+    (adaptive execution), so a day has few files and a hot day is no single task.
     """
     parts = PARTS + ([extra_partition] if extra_partition else [])
-    (with_date_parts(df, ts).sortWithinPartitions(*parts)
+    # enough partitions that few days share one with a hot day
+    n = max(200, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    (with_date_parts(df, ts).hint("rebalance", n, *parts)
      .write.mode("append").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*parts).parquet(path))
 
 
-def write_rollup(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K2: replace a published rollup table."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def write_rollup(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """K2: publish a rollup as a new version at ``path``; its readers see the old
+    version or the new one.  Returns the version's folder."""
+    return Published(df.sparkSession, path).publish(df, fmt=fmt)
+
+
+def read_rollup(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The current version of a published rollup."""
+    return Published(spark, path).read(fmt)
+
+
+def read_hot(spark: SparkSession, hot_path: str) -> DataFrame:
+    """The hot table that the last successful archival run left."""
+    return Published(spark, hot_path).read()
 
 
 def date_range_filter(date_from: dt.date | None, date_to: dt.date | None) -> Column:
@@ -231,13 +246,13 @@ def run_archival(spark: SparkSession, hot: DataFrame, ts: str, key: str, archive
 
     1. The eligible rows are written under ``run_id``; a retry of the run reads
        that snapshot again.
-    2. Rows that the archive does not hold yet are appended.  Only the day
-       partitions between the first and last staged day are read, so a retry
-       appends nothing twice.
+    2. Rows that the archive does not hold yet are appended.  Only the staged
+       days are read, so a retry appends nothing twice.
     3. The counts are compared.  Beyond ``tolerance_pct`` percent the run is
        logged as FAILED and raises ``ArchiveMismatch``; nothing is deleted.
-    4. The retained rows are written as a new version below ``hot_path``; a
-       version that is complete is never written over, so its readers keep it.
+    4. The retained rows are published as version ``run_id`` at ``hot_path``
+       (``read_hot`` gives the current one); a version that is complete is never
+       written over, so its readers keep it.
     5. One row with the measured duration is appended at ``log_path``.
 
     Without ``hot_path`` the retained frame is returned unwritten."""
@@ -247,10 +262,11 @@ def run_archival(spark: SparkSession, hot: DataFrame, ts: str, key: str, archive
     if staged is None:
         eligible(hot, ts, as_of, age).write.mode("overwrite").parquet(staging)
         staged = spark.read.schema(hot.schema).parquet(staging)
-    span = staged.agg(F.to_date(F.min(ts)).alias("a"), F.to_date(F.max(ts)).alias("b")).first()
+    days = with_date_parts(staged, ts).select(*PARTS).distinct()
 
     def held():
-        return read_archive(spark, archive_path, hot.schema, span["a"], span["b"]).select(key)
+        # the staged days only, whatever lies between them: partitions are pruned by the days at run time
+        return read_archive(spark, archive_path, hot.schema).join(days, PARTS, "left_semi").select(key)
 
     write_archive(staged.join(held(), key, "left_anti").select(*hot.columns), ts, archive_path)
     found = held().join(staged.select(key).distinct(), key, "left_semi")
@@ -260,9 +276,7 @@ def run_archival(spark: SparkSession, hot: DataFrame, ts: str, key: str, archive
     ok = check.first()["ok"]
     remaining = retain_hot(hot, staged, key)
     if ok and hot_path is not None:
-        version = f"{hot_path}/{run_id}"
-        if _stored(spark, version) is None:
-            remaining.write.mode("overwrite").parquet(version)
+        version = Published(spark, hot_path).publish(remaining, run_id)
         remaining = spark.read.schema(remaining.schema).parquet(version)
     log = log_run(spark, started, staged, remaining if ok else hot, "SUCCESS" if ok else "FAILED")
     if log_path is not None:

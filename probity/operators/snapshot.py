@@ -6,10 +6,11 @@ One naming scheme for keys: ``kpi:<name>[:<scope>]`` (quirk Q23).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.functions.timecols import as_column
+from probity.operators.publish import Published
 from probity.operators import collusion, rollups
 from probity.session import materialize
 
@@ -71,11 +72,16 @@ def kpi_snapshot(attempts: DataFrame, as_of, ttl_seconds: int = 60,
 
 
 def write_snapshot(snapshot: DataFrame, path: str) -> DataFrame:
-    """K5: store ``snapshot`` at ``path`` and return a reader on it.
+    """K5: publish ``snapshot`` as a new version at ``path`` and return a reader on it.
 
     The entries are a bounded table (one per exam and a few more), so one file."""
-    snapshot.coalesce(1).write.mode("overwrite").parquet(path)
-    return snapshot.sparkSession.read.schema(snapshot.schema).parquet(path)
+    version = Published(snapshot.sparkSession, path).publish(snapshot.coalesce(1))
+    return snapshot.sparkSession.read.schema(snapshot.schema).parquet(version)
+
+
+def stored_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of the snapshot at ``path``."""
+    return Published(spark, path).read()
 
 
 def read_snapshot(snapshot: DataFrame, as_of, keys: list[str] | None = None,

@@ -160,7 +160,7 @@ def q_a36(t):
 def q_k2(t):
     path = work_dir(t.spark, "rollup")
     A.write_rollup(rollups.aggregated_kpis(t.attempts, t.as_of, "7 days"), path)
-    return t.spark.read.parquet(path)
+    return A.read_rollup(t.spark, path)
 
 
 _SNAP_SQL = """
