@@ -2,20 +2,21 @@
 
 Rules are data: a ``Rule`` names its table and carries the violation
 predicate both as a Spark Column and as SQL text (the SQL form feeds the
-independent DuckDB oracle).  ``constraint_report`` evaluates *all* row rules
-of a table in one aggregate (one scan per table, no job per rule); key and
-foreign-key rules are one aggregate / anti-join each.
+DuckDB oracle).  ``constraint_report`` scans each table once, evaluates *all* its
+row rules in one aggregate, and all key rules of all tables in two shuffles.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from probity.functions.exact import mean
 from probity import schemas
+from probity.functions.exact import mean
+from probity.session import materialize
 
 # The validator enumerations.
 ENUMS = {
@@ -140,18 +141,6 @@ def table_rule_counts(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame
     return _rows(df.agg(*aggs), [(table, r.name, f"_v{i}") for i, r in enumerate(mine)])
 
 
-def unique_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """V6: per unique key, the number of key values that occur more than once."""
-    out = None
-    for t, k in UNIQUE_KEYS:
-        g = tables[t].groupBy(k).agg(F.count(F.lit(1)).alias("n"))
-        one = g.agg(F.sum("n").alias("_checked"),
-                    F.count(F.when(F.col("n") > 1, 1)).alias("_v"))
-        r = _rows(one, [(t, f"unique:{k}", "_v")]).withColumn("checked", F.coalesce("checked", F.lit(0)).cast("long"))
-        out = r if out is None else out.unionByName(r)
-    return out
-
-
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose foreign key has no parent (non-null keys only)."""
     p = parent.select(F.col(key).alias(column)).distinct()
@@ -171,43 +160,90 @@ def fk_orphan_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def table_pass(tables: dict[str, DataFrame], table: str, rules: list[Rule]) -> DataFrame:
-    """All checks of one table in one scan and one aggregate: its row rules,
-    its foreign keys (left joins against de-duplicated parent keys with a hit
-    marker, so the row count is unchanged) and, for attempts, marks <= the
-    question's max."""
+def _slim(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
+    """What the report needs of a table, in one scan: the broken row rules as bits, the key columns and
+    the columns of the marks rule."""
     mine = [r for r in rules if r.table == table]
-    j = tables[table]
-    aggs = [F.count(F.lit(1)).alias("_checked")]
-    aggs += [F.count(F.when(r.violation, 1)).alias(f"_v{i}") for i, r in enumerate(mine)]
-    entries = [(table, r.name, f"_v{i}") for i, r in enumerate(mine)]
-    for i, (child, col, parent, key) in enumerate(FOREIGN_KEYS):
-        if child != table:
-            continue
-        extra = [F.max("max_marks").alias(f"_mm{i}")] if (table, parent) == ("exam_attempts", "questions") else []
-        p = (tables[parent].groupBy(F.col(key).alias(f"_k{i}"))
-             .agg(F.lit(1).alias(f"_hit{i}"), *extra))
-        j = j.join(p, j[col] == p[f"_k{i}"], "left")
-        aggs.append(F.count(F.when(F.col(col).isNotNull() & F.col(f"_hit{i}").isNull(), 1))
-                    .alias(f"_f{i}"))
-        entries.append((table, f"fk:{col}->{parent}", f"_f{i}"))
-        if extra:
-            aggs.append(F.count(F.when(F.col("marks_obtained") > F.col(f"_mm{i}"), 1)).alias("_marks"))
-            entries.append((table, "marks_le_max", "_marks"))
-    return _rows(j.agg(*aggs), entries)
+    assert len(mine) < 63
+    bits = F.lit(0).cast("long")
+    for i, r in enumerate(mine):
+        bits = bits.bitwiseOR(F.when(r.violation, F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
+    keys = {c for t, c in UNIQUE_KEYS if t == table} | {c for t, c, _, _ in FOREIGN_KEYS if t == table}
+    keys |= {k for _, _, p, k in FOREIGN_KEYS if p == table}
+    more = {"exam_attempts": ["marks_obtained"], "questions": ["max_marks"]}.get(table, [])
+    return df.select(bits.alias("_broken"), *sorted(keys), *more)
+
+
+def _tagged(slim: DataFrame, parts: list) -> DataFrame:
+    """One row per row and part: (tag, key, marks), in one pass over ``slim``."""
+    rows = [F.struct(F.lit(tag).alias("tag"), F.col(c).cast("string").alias("key"), m.cast("double").alias("marks")) for tag, c, m in parts]
+    return slim.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def key_report(slim: dict[str, DataFrame]) -> DataFrame:
+    """V5, V7 (marks) and V6 of all tables: (table, rule, checked, violations).
+
+    The seven foreign keys are unpivoted to (relation, key, marks) with counts, in one
+    shuffle that combines before it; one join meets the tagged keys of the parents, so a hot
+    key is a few rows.  The unique keys of all tables are counted in one shuffle alike.
+    """
+    none = F.lit(None)
+    marks = lambda child, parent: (child, parent) == ("exam_attempts", "questions")
+    children, parents, unique = [], [], []
+    for t in slim:
+        refs = [(i, c, F.col("marks_obtained") if marks(t, p) else none) for i, (child, c, p, _) in enumerate(FOREIGN_KEYS) if child == t]
+        if refs:
+            children.append(_tagged(slim[t], refs))
+        heads = [(i, k, F.col("max_marks") if marks(child, t) else none) for i, (child, _, p, k) in enumerate(FOREIGN_KEYS) if p == t]
+        if heads:
+            parents.append(_tagged(slim[t], heads))
+        unique.append(_tagged(slim[t], [(i, k, none) for i, (u, k) in enumerate(UNIQUE_KEYS) if u == t]))
+    keys = _union(children).groupBy("tag", "key", "marks").agg(F.count(F.lit(1)).alias("n"))
+    held = _union(parents).filter("key is not null").groupBy("tag", "key").agg(F.max("marks").alias("most"), F.lit(True).alias("hit"))
+    bad = F.sum(F.when(F.col("key").isNotNull() & F.col("hit").isNull(), F.col("n")).otherwise(0))
+    over = F.sum(F.when(F.col("marks") > F.col("most"), F.col("n")).otherwise(0))
+    checked = F.sum("n").alias("checked")
+    refs = keys.join(held, ["tag", "key"], "left").groupBy("tag").agg(checked, bad.alias("bad"), over.alias("over"))
+    name = lambda i, rule: F.struct(F.lit(FOREIGN_KEYS[i][0]).alias("table"), F.lit(rule).alias("rule"))
+    names = [F.struct(F.lit(c).alias("table"), F.lit(f"fk:{col}->{p}").alias("rule")) for c, col, p, _ in FOREIGN_KEYS]
+    asked = held.sparkSession.range(len(FOREIGN_KEYS)).select(F.col("id").cast("int").alias("tag"))
+    refs = asked.join(refs, "tag", "left").fillna(0)       # a table without rows is checked as well
+    at = next(i for i, (c, _, p, _) in enumerate(FOREIGN_KEYS) if marks(c, p))
+    rows = refs.select(F.explode(F.array(
+        F.struct(F.element_at(F.array(*names), F.col("tag") + 1).alias("of"), "checked", F.col("bad").alias("violations")),
+        F.struct(F.when(F.col("tag") == at, name(at, "marks_le_max")).alias("of"), "checked", F.col("over").alias("violations")))).alias("r"))
+    rows = rows.select("r.of.*", "r.checked", "r.violations").filter("table is not null")
+    twice = _union(unique).groupBy("tag", "key").agg(F.count(F.lit(1)).alias("n")).groupBy("tag").agg(
+        checked, F.count(F.when(F.col("n") > 1, 1)).alias("violations"))
+    asked = held.sparkSession.range(len(UNIQUE_KEYS)).select(F.col("id").cast("int").alias("tag"))
+    names = [F.struct(F.lit(t).alias("table"), F.lit(f"unique:{k}").alias("rule")) for t, k in UNIQUE_KEYS]
+    twice = asked.join(twice, "tag", "left").fillna(0).select(
+        F.element_at(F.array(*names), F.col("tag") + 1).alias("of"), "checked", "violations").select("of.*", "checked", "violations")
+    return rows.unionByName(twice)
 
 
 def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     """V8: one row per rule: table, rule, checked, violations, passed.
 
-    One pass per table (``table_pass``) plus one aggregate per unique key."""
+    Every table is scanned once, for its slim form (``_slim``), which is written; the row
+    rules are one aggregate a table over it, all keys one report (``key_report``)."""
     rules = row_rules()
-    out = None
-    for t in REQUIRED:
-        r = table_pass(tables, t, rules)
-        out = r if out is None else out.unionByName(r)
-    out = out.unionByName(unique_violations(tables))
-    return out.withColumn("passed", F.col("violations") == 0)
+    with ThreadPoolExecutor(len(REQUIRED)) as pool:        # the six writes do not wait for each other
+        slim = dict(zip(REQUIRED, pool.map(lambda t: materialize(_slim(tables[t], t, rules), f"slim-{t}"), REQUIRED)))
+    parts = []
+    for t, df in slim.items():
+        mine = [r for r in rules if r.table == t]
+        bit = lambda i: F.col("_broken").bitwiseAND(F.lit(1 << i).cast("long")) != 0
+        one = df.agg(F.count(F.lit(1)).alias("_checked"), *[F.count(F.when(bit(i), 1)).alias(f"_v{i}") for i in range(len(mine))])
+        parts.append(_rows(one, [(t, r.name, f"_v{i}") for i, r in enumerate(mine)]))
+    return _union([*parts, key_report(slim)]).withColumn("passed", F.col("violations") == 0)
 
 
 def required_nulls(attempts: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -89,3 +89,44 @@ def test_every_relation_and_count_rule(spark):
               for x in Q.table_rule_counts(tables[n], n, Q.row_rules()).collect() if x.violations}
     assert broken == {"question_number_positive", "expected_time_positive", "non_negative:keystroke_count",
                       "non_negative:paste_count", "non_negative:marks_obtained"}
+
+
+def test_report_scans_each_fact_once(spark, monkeypatch):
+    """The events table stands in three plans: kinds of questions, attempts, sessions."""
+    from conftest import SF_SMALL
+    from probity.plans import q_quality
+    from probity.sources.tables import Tables
+    scans = []
+
+    def spy(real):
+        def write(df, name):
+            scans.append(df._jdf.queryExecution().optimizedPlan().toString().count("event_id#") > 0 or
+                         df._jdf.queryExecution().executedPlan().toString().count("events.parquet"))
+            return real(df, name)
+        return write
+
+    monkeypatch.setattr(Q, "materialize", spy(Q.materialize))
+    monkeypatch.setattr(q_quality, "materialize", spy(q_quality.materialize))
+    out = q_quality.Q.constraint_report(q_quality._tables_once(Tables(spark, SF_SMALL)))
+    assert "events.parquet" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sum(map(bool, scans)) == 3
+
+
+def test_report_counts_rows_of_hot_and_missing_keys(spark):
+    """A key that many rows share, null keys and marks above the question's most."""
+    t = dt.datetime(2024, 1, 1)
+    row = lambda a, s, q, m: (a, s, "E1", q, 1.0, True, 0.5, 0, 0, "h" * 64, "x", t, m, False)
+    attempts = [row(f"A{i}", "S1" if i % 2 else "S9", "Q1", i) for i in range(10)] + [row("A3", None, "Q1", 5), row("B", "S1", None, 99)]
+    empty = {n: spark.createDataFrame([], s) for n, s in (("courses", schemas.COURSES), ("session_logs", schemas.SESSION_LOGS))}
+    tables = {**empty, "students": spark.createDataFrame([("S1", "n", "a@b.co", "Physics", 2, "Europe", 0.5, t)], schemas.STUDENTS),
+              "exams": spark.createDataFrame([("E1", None, "e", t, 5, 100, "quiz", True)], schemas.EXAMS),
+              "questions": spark.createDataFrame([("Q1", "E1", 1, 3, "MCQ", 5, 60, "x"), ("Q1", "E1", 1, 3, "MCQ", 7, 60, "x")], schemas.QUESTIONS),
+              "exam_attempts": spark.createDataFrame(attempts, schemas.EXAM_ATTEMPTS)}
+    rep = {(r.table, r.rule): (r.checked, r.violations) for r in Q.constraint_report(tables).collect()}
+    assert rep["exam_attempts", "fk:student_id->students"] == (12, 5)
+    assert rep["exam_attempts", "fk:question_id->questions"] == (12, 0)
+    most = max(r.max_marks for r in tables["questions"].collect())
+    assert rep["exam_attempts", "marks_le_max"] == (12, sum(i > most for i in range(10)))
+    assert rep["exam_attempts", "unique:attempt_id"] == (12, 1) and rep["questions", "unique:question_id"] == (2, 1)
+    assert rep["session_logs", "fk:exam_id->exams"] == (0, 0) and rep["courses", "unique:course_id"] == (0, 0)
+    assert rep["exams", "fk:course_id->courses"] == (1, 0)
