@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from probity.functions.exact import mean
 from probity.functions.bands import risk_level_attempt, session_indicators
-from probity.functions.timecols import bucket_start
+from probity.functions.timecols import bucket_start, recent
 
 # --- star join and kpis_by -------------------------------------------------
 
@@ -170,9 +170,14 @@ def row_normalise(df: DataFrame, value: str, row_key: str, name: str = "share")
     return df.withColumn(name, F.col(value) / F.sum(value).over(Window.partitionBy(row_key)))
 
 
-def heatmap_exam_risk(attempts: DataFrame) -> DataFrame:
+def _window(attempts: DataFrame, as_of, lookback: str) -> DataFrame:
+    """The attempts of the last ``lookback`` at ``as_of``; all of them without an ``as_of``."""
+    return attempts if as_of is None else recent(attempts, "submission_timestamp", as_of, lookback)
+
+
+def heatmap_exam_risk(attempts: DataFrame, as_of=None, lookback: str = "2 hours") -> DataFrame:
     """Distinct students per exam x C4 band, normalised by exam."""
-    g = (attempts.groupBy("exam_id", risk_level_attempt("ai_usage_score").alias("risk_level"))
+    g = (_window(attempts, as_of, lookback).groupBy("exam_id", risk_level_attempt("ai_usage_score").alias("risk_level"))
          .agg(F.countDistinct("student_id").alias("student_count")))
     return row_normalise(g, "student_count", "exam_id")
 
@@ -183,21 +188,23 @@ def top_n_keys(df: DataFrame, key: str, n: int = 5) -> DataFrame:
             .orderBy(F.desc("n"), key).limit(n).select(key))
 
 
-def trend_top5_exams(attempts: DataFrame, minutes: int = 10, n: int = 5) -> DataFrame:
+def trend_top5_exams(attempts: DataFrame, minutes: int = 10, n: int = 5, as_of=None, lookback: str = "2 hours") -> DataFrame:
     """10-minute average AI score per exam, top 5 exams by attempts."""
+    attempts = _window(attempts, as_of, lookback)
     top = F.broadcast(top_n_keys(attempts, "exam_id", n))  # n rows by construction
     a = attempts.join(top, "exam_id")
     return (a.groupBy(bucket_start("submission_timestamp", minutes).alias("bucket"), "exam_id")
             .agg(mean("ai_usage_score").alias("avg_ai_usage")))
 
 
-def suspicious_leaderboard(attempts: DataFrame, k: int = 20, min_score: float = 0.5) -> DataFrame:
+def suspicious_leaderboard(attempts: DataFrame, k: int = 20, min_score: float = 0.5, as_of=None,
+                           lookback: str = "2 hours") -> DataFrame:
     """0.6 * avg AI + 0.4 * (count(distinct case correct then 1) / n),
     > 0.5, top 20.  The distinct term is 0 or 1 (quirk Q21); the intended
     accuracy form is returned beside it."""
     # count(distinct case when correct then 1) is 1 if any attempt is correct,
     # else 0 -- i.e. a max, which needs no Expand / distinct aggregation
-    g = attempts.groupBy("student_id").agg(
+    g = _window(attempts, as_of, lookback).groupBy("student_id").agg(
         mean("ai_usage_score").alias("avg_ai"),
         F.max(F.when(F.col("is_correct"), 1).otherwise(0)).alias("dc"),
         F.count(F.lit(1)).alias("n"),

@@ -269,12 +269,10 @@ def quarantine_split(df: DataFrame, table: str) -> DataFrame:
     return df.withColumn("reasons", reasons).withColumn("valid", F.size("reasons") == 0)
 
 
-def valid_rows(df: DataFrame, table: str) -> DataFrame:
-    return quarantine_split(df, table).filter("valid").drop("reasons", "valid")
-
-
-def rejected_rows(df: DataFrame, table: str) -> DataFrame:
-    return quarantine_split(df, table).filter(~F.col("valid"))
+def quarantine(tables: dict[str, DataFrame]) -> DataFrame:
+    """V9 of all tables: (table, key, reasons, valid), one row per row of each table."""
+    return _union([quarantine_split(tables[n], n).select(F.lit(n).alias("table"), F.col(k).cast("string").alias("key"), "reasons", "valid")
+                   for n, k in PRIMARY_KEYS.items()])
 
 
 def record_counts(tables: dict[str, DataFrame]) -> DataFrame:

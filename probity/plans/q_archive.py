@@ -115,6 +115,17 @@ def q_a28(t):
     return A.archive_eligibility(t.attempts, "submission_timestamp", t.as_of)
 
 
+@register("archive_eligibility_facts", sql=f"""
+SELECT 'exam_attempts' AS "table", count(*) > 0 AS eligible, count(*) AS n FROM exam_attempts WHERE {OLD}
+UNION ALL
+SELECT 'session_logs', count(*) > 0, count(*) FROM session_logs WHERE session_start < (SELECT t FROM as_of) - INTERVAL 48 HOUR""")
+def q_a28_facts(t):
+    """A28 for both facts."""
+    facts = (("exam_attempts", t.attempts, "submission_timestamp"), ("session_logs", t.sessions, "session_start"))
+    found = [A.archive_eligibility(df, ts, t.as_of).select(F.lit(n).alias("table"), "eligible", "n") for n, df, ts in facts]
+    return found[0].unionByName(found[1])
+
+
 @register("archive_monthly_trend", doubles=("avg_ai_score",), sql=ARCHIVE_SQL + """
 SELECT year, month, avg(ai_usage_score) AS avg_ai_score, count(*) AS attempts FROM arc GROUP BY 1, 2""")
 def q_a33(t):

@@ -159,6 +159,40 @@ def q_a31(t):
     return D.suspicious_leaderboard(t.attempts)
 
 
+_2H = ", last2h AS (SELECT * FROM exam_attempts WHERE submission_timestamp >= (SELECT t FROM as_of) - INTERVAL 2 HOUR)"
+
+
+@register("heatmap_exam_risk_2h", doubles=("share",), sql=_2H + """
+SELECT exam_id, risk_level, student_count, student_count / sum(student_count) OVER (PARTITION BY exam_id) AS share
+FROM (SELECT exam_id, CASE WHEN ai_usage_score < 0.3 THEN 'Low Risk' WHEN ai_usage_score < 0.7
+             THEN 'Medium Risk' ELSE 'High Risk' END AS risk_level,
+             count(DISTINCT student_id) AS student_count
+      FROM last2h GROUP BY 1, 2) g""")
+def q_a29_2h(t):
+    return D.heatmap_exam_risk(t.attempts, t.as_of)
+
+
+@register("trend_top5_exams_2h", doubles=("avg_ai_usage",), sql=_2H + """
+, top AS (SELECT exam_id FROM last2h GROUP BY exam_id ORDER BY count(*) DESC, exam_id LIMIT 5)
+SELECT time_bucket(INTERVAL 10 MINUTE, submission_timestamp) AS bucket, a.exam_id,
+       avg(ai_usage_score) AS avg_ai_usage
+FROM last2h a JOIN top ON a.exam_id = top.exam_id GROUP BY 1, 2""")
+def q_a30_2h(t):
+    return D.trend_top5_exams(t.attempts, as_of=t.as_of)
+
+
+@register("suspicious_leaderboard_2h", doubles=("suspicion_score", "suspicion_intended"), sql=_2H + """
+SELECT student_id,
+       avg(ai_usage_score) * 0.6 + (count(DISTINCT CASE WHEN is_correct THEN 1 END) / count(*)) * 0.4
+         AS suspicion_score,
+       avg(ai_usage_score) * 0.6 + avg(CASE WHEN is_correct THEN 1 ELSE 0 END) * 0.4 AS suspicion_intended
+FROM last2h GROUP BY student_id
+HAVING avg(ai_usage_score) * 0.6 + (count(DISTINCT CASE WHEN is_correct THEN 1 END) / count(*)) * 0.4 > 0.5
+ORDER BY suspicion_score DESC, student_id LIMIT 20""")
+def q_a31_2h(t):
+    return D.suspicious_leaderboard(t.attempts, as_of=t.as_of)
+
+
 @register("shared_answers", sql="""
 SELECT answer_hash, count(DISTINCT student_id) AS students, count(DISTINCT answer_hash) AS matching_answers,
        count(*) AS attempts

@@ -75,6 +75,14 @@ def q_v9(t):
     return Q.quarantine_split(t.sessions, "session_logs").select("log_id", "reasons", "valid")
 
 
+@register("quarantine_all", sql="\nUNION ALL\n".join(
+    f"SELECT '{n}' AS \"table\", CAST({Q.PRIMARY_KEYS[n]} AS VARCHAR) AS key, {_reasons_sql(n)} AS reasons, "
+    f"len({_reasons_sql(n)}) = 0 AS valid FROM {n}" for n in TABLES))
+def q_v9_all(t):
+    """V9 for every table: one row per row, with the rules that it breaks."""
+    return Q.quarantine(_tables_once(t))
+
+
 @register("record_counts", sql="\nUNION ALL\n".join(
     f"SELECT '{n}' AS \"table\", count(*) AS records FROM {n}" for n in TABLES))
 def q_v10(t):

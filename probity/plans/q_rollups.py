@@ -4,6 +4,9 @@ Fixture convention: ``as_of`` is the newest event time (a scalar subquery)
 and the rollup lookback is 7 days (2 hours leaves a handful of rows).
 """
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from probity.operators import rollups
 from probity.plans.catalog import register
 
@@ -40,6 +43,18 @@ def q_a10(t):
     return rollups.time_series_kpis(t.attempts, t.as_of, "7 days")
 
 
+@register("ai_trend_10m_ordered", doubles=("avg_ai_score",), sql=f"""
+SELECT row_number() OVER (ORDER BY timestamp) AS place, * FROM (
+  SELECT time_bucket(INTERVAL 10 MINUTE, submission_timestamp) AS timestamp,
+         round(avg(ai_usage_score), 3) AS avg_ai_score, count(*) AS count
+  FROM exam_attempts WHERE {RECENT_7D} GROUP BY 1) s""")
+def q_o2(t):
+    """O2: the series oldest first; the place of a row is its place in the sorted result."""
+    series = rollups.ai_trend(t.attempts, t.as_of, "7 days", ordered=True)
+    place = F.row_number().over(Window.orderBy("timestamp")).alias("place")     # a row per 10 minutes of a week: few
+    return series.select(place, "*")
+
+
 @register("ai_trend_10m", doubles=("avg_ai_score",), sql=f"""
 SELECT time_bucket(INTERVAL 10 MINUTE, submission_timestamp) AS timestamp,
        round(avg(ai_usage_score), 3) AS avg_ai_score, count(*) AS count

@@ -95,6 +95,18 @@ def q_k9(t):
     return I.encode(a, key="attempt_id", ts_fields=["submission_timestamp"]).select("key", "value")
 
 
+@register("publish_and_read", doubles=("response_time", "ai_usage_score"), sql="SELECT * FROM exam_attempts")
+def q_k9_sent(t):
+    """K9 and back: the messages are sent to a topic of files and ingested from it."""
+    topic = work_dir(t.spark, "topic")
+    I.publish(t.attempts, topic, key="attempt_id", ts_fields=["submission_timestamp"])
+    msgs = I.read_stream(t.spark, "parquet", topic, schema=I.MESSAGE, max_per_trigger=4)
+    table = W.ingest_table(I.decode(msgs, schemas.ATTEMPT_MESSAGE, ["submission_timestamp"]).drop("key"), "sent")
+    out = t.spark.read.parquet(table)
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "submission_timestamp"
+                        else F.col(c) for c in ATTEMPT_COLS])
+
+
 def _messages(t, rows=None, ts=("submission_timestamp",)):
     """K9 output written as JSON lines: one message per row, in eight files or
     more, so that a stream of two files per trigger takes several batches and

@@ -75,10 +75,22 @@ def encode(df: DataFrame, key: str | None = None, ts_fields: list[str] | None =
     return out
 
 
-def publish(df: DataFrame, topic: str, bootstrap: str, key: str | None = None) -> None:
-    """K9 sink: write the encoded rows to a Kafka topic (batch)."""
-    (encode(df, key).write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-     .option("topic", topic).save())
+def publish(df: DataFrame, topic: str, bootstrap: str | None = None, key: str | None = None,
+            ts_fields: list[str] | None = None, partitions: int = 8) -> None:
+    """K9 sink: send the encoded rows to a topic (batch).
+
+    With ``bootstrap`` the topic is a Kafka topic of those servers; without, it is a folder
+    of message files, which ``read_stream`` follows.  A message's key picks its partition, so the
+    messages of a key stay in one."""
+    out = encode(df, key, ts_fields)
+    if bootstrap is not None:
+        out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save()
+        return
+    by = F.xxhash64("key" if key else "value")
+    out.repartition(partitions, by).write.mode("append").parquet(topic)
+
+
+MESSAGE = T.StructType([T.StructField("value", T.StringType()), T.StructField("key", T.StringType())])
 
 
 def attempts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
