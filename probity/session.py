@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -67,24 +68,43 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_scopes: list[list[str]] = []
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     sep = "" if base.endswith("/") else "/"
-    return f"{base}{sep}probity-work/{name}-{uuid.uuid4().hex[:12]}"
+    return made(f"{base}{sep}probity-work/{name}-{uuid.uuid4().hex[:12]}")
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
+def made(path: str) -> str:
+    """Note a folder of intermediates for the open scopes."""
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return path
+
 
+@contextmanager
+def work_scope(spark: SparkSession):
+    """Delete, at its end, every intermediate that operators wrote inside.
 
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+    A query's result is lazy and reads its intermediates, so write or read it inside:
+    ``with work_scope(spark): query(spark, path).write.parquet(out)``.  A scope inside another
+    deletes its own only.  Yields the list of folders."""
+    mine: list[str] = []
+    _scopes.append(mine)
+    try:
+        yield mine
+    finally:
+        _scopes.remove(mine)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in mine:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
 
 
-__all__ = ["get_session", "checkpoint_dir", "work_dir", "DEFAULT_CONF",
-           "local_path", "is_local_fs"]
+__all__ = ["get_session", "checkpoint_dir", "work_dir", "work_scope", "made", "DEFAULT_CONF"]
 
 
 def materialize(df, name: str):

@@ -40,3 +40,18 @@ class _FakeSpark:
 def test_cluster_without_shared_folder_is_refused():
     with pytest.raises(ValueError):
         session.checkpoint_dir(_FakeSpark())
+
+
+def test_a_scope_deletes_what_its_queries_wrote(spark):
+    import os
+    from conftest import SF_SMALL
+    import __spark_entry__ as entry
+    with session.work_scope(spark) as outer:
+        kept = session.materialize(spark.range(3), "kept")
+        with session.work_scope(spark) as inner:
+            for name in ("collusion_pairs", "stream_tumbling_5m", "constraint_report"):
+                entry.queries()[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+            assert len(inner) > 6 and sum(map(os.path.isdir, inner)) > 4
+        assert not any(os.path.exists(p) for p in inner)
+        assert kept.count() == 3 and len(outer) == 1
+    assert not os.path.exists(outer[0])
