@@ -35,7 +35,7 @@ def fold_table() -> np.ndarray:
     """Code point -> its lower-cased letter, or 0 for anything but a letter."""
     if not _fold:
         t = np.zeros(0x110000, np.uint32)
-        for c in range(0x41, 0x30000):
+        for c in range(0x41, 0x40000):          # letters are in planes 0 to 3
             if unicodedata.category(s := chr(c))[0] == "L":
                 low = s.lower()
                 t[c] = ord(low) if len(low) == 1 else c
