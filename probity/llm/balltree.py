@@ -10,12 +10,14 @@ what the earlier ones found.  Within a tree the node of greater upper bound
 k-th score.  The runs' best k are merged per query.
 
 A component x is floor(256 x), an integer; products are summed in float64, exact
-below 2^53 (checked), and bounds are widened by a rounding margin, so scores and
-ties are exact.  Ties go to the smaller vec_id.
+below 2^53, and bounds are widened by a rounding margin, so scores and ties are
+exact.  Vectors whose squares sum to 2^52 or more stay out of the trees: they meet
+the queries in blocks, with sums of Python integers.  Ties go to the smaller vec_id.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, take
 no part; vectors of another length than the query's are no candidates; rows that
-share a query's vec_id are not its candidates; fewer than k candidates give all.
+share a query's vec_id are not its candidates; fewer than k candidates give all; a
+score beyond a long takes its place by the exact sum and is shown as the nearest long.
 """
 
 from __future__ import annotations
@@ -120,8 +122,6 @@ def _pack(kind):
 
         def flush():
             i, x = np.array(ids, np.int64), np.stack(vs)
-            if x.size and float((x * x).sum(1).max()) >= 2.0**52:
-                raise ValueError("components too large for exact sums")
             blob = pickle.dumps((i, x, build(x) if kind == "shard" else None))
             return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()),
                                                pa.array([seq], pa.int32()), pa.array([blob], pa.binary())],
@@ -179,7 +179,49 @@ def quantised(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     good = F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     return (rows.filter(c.isNotNull() & F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)))
             .select(F.col("vec_id").cast("long").alias("vec_id"), F.size(c).cast("int").alias("dim"),
-                    F.transform(c, lambda x: F.floor(x.cast("double") * 256).cast("double")).alias("v")))
+                    F.transform(c, lambda x: _floor(x.cast("double") * 256)).alias("v")))
+
+
+def _floor(x):
+    """floor as a double; from 2^53 on a double is an integer already."""
+    return F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)
+
+
+def _large(v):
+    """Whether sums of products with this vector may need more than a double's 53 bits."""
+    return F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x) >= 2.0**52
+
+
+def _order(score):
+    """A string that sorts as the integer does, whatever its length."""
+    s = score.cast("string")
+    digits = F.when(score < 0, F.substring(s, 2, 40)).otherwise(s)
+    return _ordered(score < 0, digits)
+
+
+def _ordered(negative, digits):
+    n = F.length(digits)
+    return F.when(negative, F.concat(F.lit("0"), F.lpad((99999 - n).cast("string"), 5, "0"), F.translate(digits, "0123456789", "9876543210"))
+                  ).otherwise(F.concat(F.lit("1"), F.lpad(n.cast("string"), 5, "0"), digits))
+
+
+def _exact(k):
+    """Blocks of vectors with large components: sums of Python integers, the k best of each query."""
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                (qi, q, _), (ci, c, _) = pickle.loads(r["qblob"]), pickle.loads(r["blob"])
+                q, c = ([[int(x) for x in v] for v in m] for m in (q, c))
+                rows = []
+                for i, a in zip(qi.tolist(), q):
+                    got = sorted(((sum(x * y for x, y in zip(a, b)), j) for j, b in zip(ci.tolist(), c) if j != i), key=lambda x: (-x[0], x[1]))
+                    rows += [(i, j, max(-(1 << 63), min((1 << 63) - 1, s)), s < 0, str(abs(s))) for s, j in got[:k]]
+                cols = list(zip(*rows)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(x, pa.int64()) for x in cols[:3]), pa.array(cols[3], pa.bool_()), pa.array(cols[4], pa.string())],
+                    names=["query_id", "vec_id", "score", "negative", "digits"])
+
+    return run
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -190,6 +232,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     spark = vectors.sparkSession
     scratch = Scratch(spark, "topk")
 
+    vectors, queries = (d.withColumn("large", _large(F.col("v"))) for d in (vectors, queries))
+    some = not vectors.filter("large").limit(1).isEmpty() or not queries.filter("large").limit(1).isEmpty()
+    every, asked = vectors, queries
+    if some:
+        vectors, queries = vectors.filter("not large"), queries.filter("not large")
+
     def packed(df, kind, size):
         parts = max(1, -(-df.count() // size))
         blob = "dim int, part int, seq int, blob binary"
@@ -207,6 +255,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
              .select("dim", "qpart", "qseq", "run", "qblob", "blob")
              .mapInArrow(_visit(k), "query_id long, vec_id long, score long"))
     from pyspark.sql import Window
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = F.desc("score")
+    if some:
+        # few rows, as a rule: large vectors against all queries, and large queries against the rest, exactly
+        def meet(c, q):
+            c, q = packed(c, "block", QUERIES), packed(q, "block", QUERIES).select("dim", F.col("blob").alias("qblob"))
+            pairs = c.join(q, "dim").select("qblob", "blob").repartition(F.xxhash64("qblob", "blob"))
+            return pairs.mapInArrow(_exact(k), "query_id long, vec_id long, score long, negative boolean, digits string").select(
+                "query_id", "vec_id", "score", _ordered(F.col("negative"), F.col("digits")).alias("order"))
+
+        more = meet(every.filter("large"), asked).union(meet(every.filter("not large"), asked.filter("large")))
+        found = found.withColumn("order", _order(F.col("score"))).union(more)
+        order = F.desc("order")
+    w = Window.partitionBy("query_id").orderBy(order, "vec_id")
     return (found.withColumn("rank", F.row_number().over(w).cast("int")).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probity.session import checkpoint_dir
+from probity.session import checkpoint_dir, made
 
 
 #: Arrow batches are bounded by bytes, so the memory of a Python task does not depend on the
@@ -31,7 +31,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         base = checkpoint_dir(spark).rstrip("/")
-        self.spark, self.base, self.n = spark, f"{base}/llm-{name}-{uuid.uuid4().hex[:12]}", 0
+        self.spark, self.base, self.n = spark, made(f"{base}/llm-{name}-{uuid.uuid4().hex[:12]}"), 0
 
     def write(self, df: DataFrame) -> DataFrame:
         self.n += 1
