@@ -293,6 +293,9 @@ class CollusionState:
 
     def add(self, rows: DataFrame, batch: int, as_of: int | None = None) -> None:
         new = rows.select(*collusion.GROUP, F.col("student_id").alias("s"), _micros("submission_timestamp").alias("t")).dropna()
+        # the horizon never goes back, so what lies before that of the batch's own newest row is not needed either
+        newest = [t for t in (as_of, new.agg(F.max("t")).first()[0]) if t is not None]
+        as_of = max(newest) if newest else None
         live = None if as_of is None else F.col("pane") >= self.horizon.cut(as_of)
         recent = (lambda df: df) if as_of is None else (lambda df: df.filter(F.col("t") >= self.horizon.cut(as_of)))
         old = self.log.rows(before=batch)
