@@ -2,9 +2,9 @@
 
 The normalised n-grams of the test items form a hash set that is broadcast when
 its counted rows allow it (``BROADCAST_ROWS``), and is a shuffled side otherwise.
-Every document is cut into its word windows, which probe that set on the whole
-window string: the hash only finds the bucket, equality of the words decides,
-so a hit is verified as it is made.  Only hits, and one row per document, are
+Every window of a document probes that set by a 64-bit hash of its words; where the
+hash is found, equality of the words decides, so a hit is verified as it is made and no
+string is made of the other windows.  Only hits, and one row per document, are
 shuffled, by document.
 
 A window is ``WINDOW`` consecutive words of an item; an item of fewer words, but not
@@ -47,10 +47,16 @@ def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW):
     wins = item_windows(items, window)
     named = wins.select("win", "k", F.xxhash64("win").alias("wid")).distinct()
     sizes = sorted(r["k"] for r in named.select("k").distinct().collect())   # at most ``window`` values
-    probe = named.select("win", "wid").union(docs.sparkSession.createDataFrame([(nw.ALONE, 0)], "win string, wid long"))
+    parts = F.split("win", " ")
+    key = F.xxhash64(*[F.get(parts, F.lit(j)) for j in range(max(sizes, default=1))])        # skips the nulls after the last word
+    alone = docs.sparkSession.createDataFrame([(nw.ALONE, 0, 0, nw.ALONE_KEY)], "win string, k int, wid long, key long")
+    probe = named.select("win", "k", "wid", key.alias("key")).union(alone)
     if probe.count() <= BROADCAST_ROWS:
         probe = F.broadcast(probe)
-    return nw.spread(docs, sizes).join(probe, "win").drop("win"), wins
+    rows = nw.placed(docs, sizes)
+    # not as an equality: that would become a join key and be computed for every window
+    equal = F.when(F.col("k") == 0, F.col("size") == 0).otherwise(nw.window_of("x", "size", sizes) == F.col("win"))
+    return rows.join(probe, (rows["key"] == probe["key"]) & equal).select("doc_id", "tkey", "n_words", "k", "at", "wid"), wins
 
 
 def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -88,6 +94,9 @@ def remove_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) ->
     """``docs`` without the rows that hold a window of an item."""
     found, _ = hits(docs, items, window)
     bad = found.filter("k > 0").select(F.col("doc_id").alias("__hit_doc"), F.col("tkey").alias("__hit_key")).distinct()
+    bad = Scratch(docs.sparkSession, "decontam").write(bad)
+    if bad.count() <= BROADCAST_ROWS:                          # else every text is shuffled and sorted
+        bad = F.broadcast(bad)
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__hit_doc")) & (F.xxhash64("text") == F.col("__hit_key")), "left_anti")
 
 

@@ -11,6 +11,7 @@ from probity.llm.common import ascii_lower
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: a key no window of words can equal; each document has one row with it
 ALONE = "\u0000"
+ALONE_KEY = 0
 
 
 def words(text: Column) -> Column:
@@ -27,6 +28,40 @@ def windows(w: str, k: int) -> Column:
     return F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), one)).otherwise(none)
 
 
+def placed(docs, sizes) -> "DataFrame":  # noqa: F821
+    """One row per document, word and size: (doc_id, tkey, n_words, at, size, key, x).
+
+    ``key`` hashes the window of ``size`` words that begins at word ``at``; its words are ``x.c0``,
+    ``x.c1``, ... (``window_of``), and no string is made of them here.  ``tkey`` hashes the
+    text, so rows that share a doc_id stay apart unless they are equal.  A row of size 0 and ``ALONE_KEY`` stands for
+    the document itself.
+    """
+    sizes = sorted(sizes) or [1]
+    cols = [f"c{j}" for j in range(sizes[-1])]
+    base = docs.select("doc_id", F.xxhash64("text").alias("tkey"), F.concat(F.array(F.lit(ALONE)), words(F.col("text"))).alias("w"))
+    base = base.select("doc_id", "tkey", (F.size("w") - 1).cast("long").alias("n_words"), F.col("w").alias("c0"),
+                       *[F.slice("w", j + 1, F.size("w")).alias(c) for j, c in enumerate(cols) if j])
+    rows = base.select("doc_id", "tkey", "n_words", F.posexplode(F.arrays_zip(*cols)).alias("at", "x"))
+    alone = F.col("at") == 0                                   # the word before the first one
+    one = lambda k: F.struct(F.when(alone, 0).otherwise(k).alias("size"),
+                             F.when(alone, F.lit(ALONE_KEY)).otherwise(F.xxhash64(*[F.col(f"x.{c}") for c in cols[:k]])).alias("key"))
+    fits = lambda k: F.col(f"x.{cols[k - 1]}").isNotNull()
+    if len(sizes) == 1:
+        rows = rows.filter(alone | fits(sizes[0])).withColumn("y", one(sizes[0]))
+    else:
+        some = F.array(*[F.when((alone & F.lit(k == sizes[0])) | (~alone & fits(k)), one(k)) for k in sizes])
+        rows = rows.withColumn("y", F.explode(some)).filter("y is not null")
+    return rows.select("doc_id", "tkey", "n_words", F.greatest(F.col("at") - 1, F.lit(0)).alias("at"), "y.size", "y.key", "x")
+
+
+def window_of(x: str, size: str, sizes) -> Column:
+    """The words of a row of ``placed`` as one string."""
+    out = F.lit(ALONE)
+    for k in sizes:
+        out = F.when(F.col(size) == k, F.concat_ws(" ", *[F.col(f"{x}.c{j}") for j in range(k)])).otherwise(out)
+    return out
+
+
 def spread(docs, sizes) -> "DataFrame":  # noqa: F821
     """One row per document and window: (doc_id, tkey, n_words, k, at, win).
 
