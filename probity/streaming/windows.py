@@ -8,8 +8,8 @@ older than the watermark are dropped there.  Its changed rows are appended with
 the batch id, and the current value of a key is its row from the latest batch
 (``latest``).
 
-KPIs over a rolling horizon (R8) are a ring of panes, and collusion (R11) is kept by
-joining a batch's new rows with the stored ones: nothing is recomputed from the table.
+KPIs over a rolling horizon (R8) are a ring of panes.  Collusion (R11) keeps its rows in few columns and the answer
+groups of each pane; pairs are joined when they are asked for.  The ingested table is not read again.
 """
 
 from __future__ import annotations
@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.functions.exact import SCALE
-from probity.functions.bands import risk_level_collusion, risk_level_pair
+from probity.functions.bands import risk_level_pair
 from probity.operators import collusion
-from probity.operators.pairs import grid_join
 from probity.session import materialize, work_dir
 from probity.streaming.ingest import ingest_stats, run_available_now, upsert
 from probity.streaming.runs import Log, Sums
@@ -265,31 +264,20 @@ class RollingKpis:
 
 
 class CollusionState:
-    """A20 kept by delta joins.
+    """A20 over a rolling horizon, from kept rows.
 
-    A batch's new rows meet all rows of their answer groups, and the recent stored rows meet
-    the new ones; two stored rows never meet again.  A match counts as long as its recent row
-    is inside the horizon, so sums are kept by (pair, question, pane of that row).  The current
-    pairs are the sums of the whole panes, and one join for the rows of the pane that
-    the horizon's start cuts.
+    A batch adds its rows, in few columns, and counts its recent ones by (answer group, pane).  A match needs a
+    recent row, so the pairs are those of the groups that have one in a pane of the horizon: they are joined when they
+    are asked for, by blocks of students (``collusion.collusion_pairs``).  The state grows with the rows; sums by
+    (pair, question, pane) would be as many as the matches.
     """
 
-    KEYS = ["exam_id", "s1", "s2", "question_id", "pane"]
+    KEYS = [*collusion.GROUP, "pane"]
 
     def __init__(self, spark: SparkSession, root: str, lookback: str = "2 hours", pane: str = "10 minutes"):
-        self.horizon, self.lookback = Horizon(lookback, pane), lookback
+        self.horizon = Horizon(lookback, pane)
         self.log = Log(spark, f"{root}/members")
-        self.sums = Sums(spark, f"{root}/sums", self.KEYS, ["n", "us"])
-
-    def _meet(self, recent: DataFrame, rows: DataFrame) -> DataFrame:
-        """Sums of the matches of recent rows (left) with rows of other students."""
-        g = collusion.GROUP
-        left = recent.select(*g, F.col("s").alias("s_l"), F.col("t").alias("t_l"))
-        right = rows.select(*g, F.col("s").alias("s_r"), F.col("t").alias("t_r"))
-        j = grid_join(left, right, g, F.struct("s_l", "t_l"), F.struct("s_r", "t_r"), condition=F.col("s_l") != F.col("s_r"))
-        return j.groupBy("exam_id", F.least("s_l", "s_r").alias("s1"), F.greatest("s_l", "s_r").alias("s2"), "question_id",
-                         self.horizon.of(F.col("t_l")).alias("pane")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.abs(F.col("t_l") - F.col("t_r"))).alias("us"))
+        self.sums = Sums(spark, f"{root}/sums", self.KEYS, ["n"])
 
     def add(self, rows: DataFrame, batch: int, as_of: int | None = None) -> None:
         new = rows.select(*collusion.GROUP, F.col("student_id").alias("s"), _micros("submission_timestamp").alias("t")).dropna()
@@ -297,32 +285,16 @@ class CollusionState:
         newest = [t for t in (as_of, new.agg(F.max("t")).first()[0]) if t is not None]
         as_of = max(newest) if newest else None
         live = None if as_of is None else F.col("pane") >= self.horizon.cut(as_of)
-        recent = (lambda df: df) if as_of is None else (lambda df: df.filter(F.col("t") >= self.horizon.cut(as_of)))
-        old = self.log.rows(before=batch)
-        if old is None:
-            found = self._meet(recent(new), new)
-        else:
-            old = old.join(new.select(*collusion.GROUP).distinct(), collusion.GROUP, "left_semi")
-            found = self._meet(recent(new), old.unionByName(new)).unionByName(self._meet(recent(old), new))
-            found = found.groupBy(*self.KEYS).agg(F.sum("n").alias("n"), F.sum("us").alias("us"))
-        self.sums.add(found, batch, live)
+        paned = new.withColumn("pane", self.horizon.of(F.col("t")))
+        paned = paned if live is None else paned.filter(live)
+        self.sums.add(paned.groupBy(*self.KEYS).agg(F.count(F.lit(1)).alias("n")), batch, live)
         self.log.add(new, batch)
 
     def current(self, as_of: int, min_matches: int = 3) -> DataFrame:
-        h = self.horizon
-        every = self.log.rows()
-        edge = every.filter((F.col("t") >= h.start(as_of)) & (F.col("t") < h.whole(as_of)))
-        groups = edge.select(*collusion.GROUP).distinct()
-        parts = self.sums.total().filter(F.col("pane") >= h.whole(as_of)).unionByName(
-            self._meet(edge, every.join(groups, collusion.GROUP, "left_semi")))
-        g = parts.groupBy("exam_id", "s1", "s2").agg(F.sum("n").alias("n"), F.sum("us").alias("us"),
-                                                     F.array_sort(F.collect_set("question_id")).alias("questions"))
-        n = F.col("n")
-        return g.filter(n >= min_matches).select(
-            F.col("s1").alias("student_1_id"), F.col("s2").alias("student_2_id"), "exam_id",
-            n.alias("matching_questions_count"), (F.col("us") / n / 1e6).alias("avg_time_difference_seconds"), "questions",
-            (n / 50).alias("similarity_score"), risk_level_collusion(n).alias("risk_level"),
-            F.timestamp_micros(F.lit(as_of)).alias("detected_at"))
+        groups = self.sums.total().filter(F.col("pane") >= self.horizon.cut(as_of)).select(*collusion.GROUP).distinct()
+        rows = self.log.rows().join(groups, collusion.GROUP, "left_semi").select(
+            *collusion.GROUP, F.col("s").alias("student_id"), F.timestamp_micros("t").alias("submission_timestamp"))
+        return collusion.collusion_pairs(rows, F.timestamp_micros(F.lit(as_of)), f"{self.horizon.length} microseconds", min_matches)
 
 
 def _kept(attempts: DataFrame, name: str, state, on_current=None):
